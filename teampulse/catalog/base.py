@@ -59,7 +59,7 @@ class Base:
 
     @cached_property
     def members(self) -> DataFrame:
-        return C.clean_members(self.raw("community_members"), X.AS_OF)
+        return self.stored("members", C.clean_members(self.raw("community_members"), X.AS_OF))
 
     @cached_property
     def people(self) -> DataFrame:
@@ -67,11 +67,11 @@ class Base:
 
     @cached_property
     def tags(self) -> DataFrame:
-        return C.clean_tags(self.raw("member_tags_list"), X.AS_OF)
+        return self.stored("tags", C.clean_tags(self.raw("member_tags_list"), X.AS_OF))
 
     @cached_property
     def invited(self) -> DataFrame:
-        return C.clean_invited_managers(self.raw("managers_not_joined"))
+        return self.stored("invited", C.clean_invited_managers(self.raw("managers_not_joined")))
 
     @cached_property
     def feeds(self) -> dict[str, DataFrame]:
@@ -85,7 +85,7 @@ class Base:
 
     @cached_property
     def courses(self) -> DataFrame:
-        return C.clean_courses(self.raw("course_completed"))
+        return self.stored("courses", C.clean_courses(self.raw("course_completed")))
 
     @cached_property
     def weekly(self) -> dict[str, DataFrame]:
@@ -99,11 +99,13 @@ class Base:
     def businesses(self) -> DataFrame:
         return self.stored("businesses", B.business_names(self.tags, self.members))
 
+    @cached_property
+    def mapping(self) -> DataFrame:
+        return self.stored("mapping", B.manager_mapping(self.members, self.tags, self.invited, self.businesses))
+
     @cached_property
     def relationships(self) -> DataFrame:
-        return self.stored(
-            "relationships", B.business_relationships(self.members, self.tags, self.invited, self.businesses)
-        )
+        return self.stored("relationships", B.business_relationships(self.mapping, self.members, self.tags))
 
     @cached_property
     def team(self) -> DataFrame:

@@ -43,7 +43,7 @@ def _joined(column: str, sep: str = "|"):
 def _(b: Base):
     # the fixture lists tags in no fixed order, so they are sorted for the comparison
     pairs = F.array_sort(F.arrays_zip("tag_ids", "tag_names"))
-    return b.members.withColumn("pairs", pairs).select(
+    return C.clean_members(b.raw("community_members"), X.AS_OF).withColumn("pairs", pairs).select(
         "community_member_id",
         "first_name",
         "last_name",
@@ -77,7 +77,7 @@ def _(b: Base):
     FROM fx_tag""",
 )
 def _(b: Base):
-    return b.tags.select(
+    return C.clean_tags(b.raw("member_tags_list"), X.AS_OF).select(
         "tag_id",
         "tag_name",
         "show_in_member_directory",
@@ -133,7 +133,7 @@ def _(b: Base):
            created_at, record_id FROM fx_first_course""",
 )
 def _(b: Base):
-    return b.courses.select(
+    return C.clean_courses(b.raw("course_completed")).select(
         "initiator_email", "initiator_community_id", "course_id", "course_name", "created_at", "record_id"
     )
 
@@ -274,7 +274,7 @@ def _(b: Base):
     FROM fx_invited""",
 )
 def _(b: Base):
-    return b.invited.withColumn("tag_names", F.array_join("tag_names", "|"))
+    return C.clean_invited_managers(b.raw("managers_not_joined")).withColumn("tag_names", F.array_join("tag_names", "|"))
 
 
 @query(
@@ -374,7 +374,7 @@ ENGAGEMENT_SQL = "SELECT *, FALSE AS is_backfill FROM fx_engagement"
 
 @query("member_engagement_full", ENGAGEMENT_SQL)
 def _(b: Base):
-    return E.engagement_full(b.people, M.weekly_tables(b.feeds))
+    return E.engagement_full(b.people, b.weekly)
 
 
 # --- relations ---------------------------------------------------------------
@@ -403,7 +403,7 @@ def _(b: Base):
     FROM fx_relation""",
 )
 def _(b: Base):
-    return B.business_relationships(b.members, b.tags, b.invited, b.businesses)
+    return B.business_relationships(b.mapping, b.members, b.tags)
 
 
 @query(
@@ -443,7 +443,7 @@ def _(b: Base):
            + comments_made AS total_engagement_score FROM fx_team""",
 )
 def _(b: Base):
-    return W.team_engagement(b.relationships, b.engagement, X.AS_OF)
+    return W.team_engagement(b.relationships, b.engagement, X.AS_OF).drop("previous")
 
 
 @query("manager_rankings", "SELECT * FROM fx_ranking")

@@ -97,13 +97,17 @@ def _hot_only(df: DataFrame, group: list[str], hot: DataFrame) -> DataFrame:
 def percent_rank_rows(
     df: DataFrame, group: list[str], value: str, out: str, hot: DataFrame | None = None
 ) -> DataFrame:
-    """``percent_rank()`` by one value.
+    """``percent_rank()`` by one number that is never NULL.
 
     With hot groups it works on the count per distinct value, so a group of any
     size shrinks before the window sees it.
     """
     if hot is None:
-        return df.withColumn(out, F.percent_rank().over(Window.partitionBy(*group).orderBy(value)))
+        # counted from the top, which is the order the performance rank has sorted already
+        from_top = F.count(F.lit(1)).over(Window.partitionBy(*group).orderBy(-F.col(value)))
+        everyone = F.count(F.lit(1)).over(Window.partitionBy(*group))
+        share = F.try_divide((everyone - from_top).cast("double"), (everyone - 1).cast("double"))
+        return df.withColumn(out, F.coalesce(share, F.lit(0.0)))
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
     by_value = Window.partitionBy(*group).orderBy(value)
     smaller = F.sum("__c").over(by_value.rowsBetween(Window.unboundedPreceding, -1))

@@ -113,7 +113,8 @@ def load_relations(store: Store, members: DataFrame, raw: dict[str, DataFrame],
     tags = store.flat(STAGING, "tags", C.clean_tags(raw["member_tags_list"], as_of, staff_tag))
     invited = C.clean_invited_managers(raw["managers_not_joined"])
     businesses = store.flat(MARTS, "businesses", B.business_names(tags, members))
-    relations = store.flat(MARTS, "relationships", B.business_relationships(members, tags, invited, businesses))
+    mapping = store.flat(MARTS, "manager_mapping", B.manager_mapping(members, tags, invited, businesses))
+    relations = store.flat(MARTS, "relationships", B.business_relationships(mapping, members, tags))
     return {
         "tags": tags,
         "businesses": businesses,

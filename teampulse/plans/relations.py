@@ -162,10 +162,17 @@ def with_team_size(assignments: DataFrame) -> DataFrame:
     return assignments.join(active, TAG, "left").withColumn("team_size", size).drop("__managers")
 
 
-def business_relationships(members: DataFrame, tags: DataFrame, invited: DataFrame, businesses: DataFrame) -> DataFrame:
-    """Every manager of a business with every member of its team; managers without a team stay."""
+def manager_mapping(members: DataFrame, tags: DataFrame, invited: DataFrame, businesses: DataFrame) -> DataFrame:
+    """Managers of each business from both origins, once per e-mail and business."""
     both = community_assignments(members, tags, businesses).unionByName(invited_assignments(invited, businesses))
-    mapping = with_team_size(one_assignment(both))
+    return with_team_size(one_assignment(both))
+
+
+def business_relationships(mapping: DataFrame, members: DataFrame, tags: DataFrame) -> DataFrame:
+    """Every manager of a business with every member of its team; managers without a team stay.
+
+    ``mapping`` is read twice, so store it first.
+    """
     rows = joins.left_keep_all(mapping, team_members(members, tags), [TAG])
     kind = F.when(F.col("member_community_id").isNotNull(), "has_team").otherwise("manager_only")
     return rows.withColumn("relationship_type", kind)

@@ -14,7 +14,7 @@ from teampulse.functions.rules import METRICS
 from teampulse.functions.safe import total, zero_if_null
 from teampulse.operators import ordered, ranking
 from teampulse.operators.grid import WEEK
-from teampulse.operators.weeks import last_finished_week, newest, only_newest, with_previous_week
+from teampulse.operators.weeks import last_finished_week, newest, only_newest
 from teampulse.plans.relations import team_stats
 
 MAPPING = [
@@ -33,8 +33,19 @@ MAPPING = [
     "member_first_name",
     "member_last_name",
 ]
+# working columns and mapping details the rankings leave out
+NOT_IN_RANKINGS = [
+    "business_tag_id",
+    "business_total_members",
+    "business_size",
+    "business_confidence",
+    "manager_community_id",
+    "has_activity",
+    "total_engagement_score",
+    "inactive_rank",
+    "performance_percentile",
+]
 TEAM = ["manager_email", WEEK]
-ROW = ["manager_email", "business_name", "member_community_id"]
 
 
 def team_engagement(
@@ -43,23 +54,34 @@ def team_engagement(
     """Every (manager, business, member) with the activity of the last finished weeks.
 
     ``n_weeks=2`` includes the week before, which the comparisons need;
-    ``n_weeks=1`` is the report on its own.  The weeks of a member are folded into
-    one array before the join, so the mapping is shuffled once however many weeks
-    are asked for.
+    ``n_weeks=1`` is the report on its own.  ``previous`` holds the metrics of the
+    week before a row's week when that week is part of the report, so comparing
+    weeks later takes no join.
+
+    The weeks of a member are turned into columns before the join: the mapping is
+    shuffled once however many weeks are asked for.
     """
     latest = last_finished_week(engagement, as_of)
-    wanted = F.array(*[F.date_sub(latest, 7 * i) for i in range(n_weeks)])
-    recent = engagement.where(
-        (F.col(WEEK) <= latest) & (F.col(WEEK) >= F.date_sub(latest, 7 * (n_weeks - 1)))
-    )
+    weeks = [F.date_sub(latest, 7 * i) for i in range(n_weeks)]
+    recent = engagement.where((F.col(WEEK) <= latest) & (F.col(WEEK) >= weeks[-1]))
     per_member = recent.groupBy(F.col("community_member_id").alias("member_community_id")).agg(
-        F.collect_list(F.struct(WEEK, *METRICS)).alias("__weeks")
+        *[F.max(F.when(F.col(WEEK) == week, F.col(m))).alias(f"__{m}{i}") for i, week in enumerate(weeks) for m in METRICS]
     )
     mapping = relationships.select(*MAPPING, "relationship_type").distinct().drop("relationship_type")
-    rows = mapping.join(per_member, "member_community_id", "left").withColumn(WEEK, F.explode(wanted))
-    hit = F.element_at(F.filter("__weeks", lambda w: w[WEEK] == F.col(WEEK)), 1)
-    found = rows.withColumn("__hit", F.when(F.size(F.filter("__weeks", lambda w: w[WEEK] == F.col(WEEK))) > 0, hit))
-    filled = found.withColumns({m: zero_if_null(F.col(f"__hit.{m}")) for m in METRICS})
+
+    def metrics(i: int) -> list:
+        return [zero_if_null(f"__{m}{i}").alias(m) for m in METRICS]
+
+    none = F.lit(None).cast("struct<" + ",".join(f"{m}:bigint" for m in METRICS) + ">")
+    rows = [
+        F.struct(
+            week.alias(WEEK),
+            *metrics(i),
+            (F.struct(*metrics(i + 1)) if i + 1 < n_weeks else none).alias("previous"),
+        )
+        for i, week in enumerate(weeks)
+    ]
+    filled = mapping.join(per_member, "member_community_id", "left").select(*MAPPING, F.inline(F.array(*rows)))
     score = total(*METRICS)
     return filled.select(
         *MAPPING,
@@ -68,6 +90,7 @@ def team_engagement(
         *METRICS,
         (score > 0).alias("has_activity"),
         score.alias("total_engagement_score"),
+        "previous",
     )
 
 
@@ -93,11 +116,11 @@ def scored(team: DataFrame, weights: dict[str, int] = R.POINTS) -> DataFrame:
     )
 
 
-def week_over_week(points: DataFrame) -> DataFrame:
+def week_over_week(points: DataFrame, weights: dict[str, int] = R.POINTS) -> DataFrame:
     """Newest week with the points of the week before."""
-    both = with_previous_week(points, ROW, {"total_points": "previous_week_points"})
-    change = F.col("total_points") - F.col("previous_week_points")
-    return only_newest(both).withColumn("points_change", change)
+    before = zero_if_null(total(*[F.col(f"previous.{m}") * F.lit(w).cast("bigint") for m, w in weights.items()]))
+    rows = only_newest(points).withColumn("previous_week_points", before).drop("previous")
+    return rows.withColumn("points_change", F.col("total_points") - F.col("previous_week_points"))
 
 
 def rank_keys() -> dict[str, list]:
@@ -115,7 +138,10 @@ def with_ranks(rows: DataFrame, group: list[str], hot: DataFrame | None = None)
     # the business settles rows of a member that a manager sees in two businesses
     for name, keys in rank_keys().items():
         rows = ranking.rank_rows(rows, group, [*keys, F.col("business_name")], name, hot)
-    return ranking.percent_rank_rows(rows, group, "total_points", "performance_percentile", hot)
+        if name == "performance_rank":
+            # next to the rank with the same leading sort key, so the rows are sorted once for both
+            rows = ranking.percent_rank_rows(rows, group, "total_points", "performance_percentile", hot)
+    return rows
 
 
 def with_labels(rows: DataFrame) -> DataFrame:
@@ -170,15 +196,14 @@ def manager_rankings(
     hot = ranking.hot_groups(
         relationships, [c for c in group if c != WEEK], limit
     )
-    rows = week_over_week(scored(team, weights))
+    rows = week_over_week(scored(team, weights), weights)
     if hot is not None:
         hot = hot.withColumn(WEEK, newest(team)).select(*group)
     summary = team_summary(rows, team_stats(relationships)).drop("manager_full_name", "week_end_date")
     if not per_business:
         summary = summary.drop("business_name")
     labelled = with_labels(with_ranks(rows, group, hot))
-    keep = [c for c in labelled.columns if c not in ("business_total_members", "inactive_rank", "performance_percentile")]
-    dated = labelled.select(*keep).withColumns(
+    dated = labelled.drop(*NOT_IN_RANKINGS).withColumns(
         {"week_start_formatted": D.long_date(WEEK), "week_end_formatted": D.long_date("week_end_date")}
     )
     return dated.join(summary, group, "inner")
@@ -227,8 +252,10 @@ DETAIL = {
 
 def team_detail_rows(team: DataFrame) -> DataFrame:
     """Members of the newest week with counts, last week's counts and differences."""
-    rows = team.withColumn("week_total_engagement", total(*METRICS))
-    both = only_newest(with_previous_week(rows, ROW, {m: prev for m, (_, prev, _) in DETAIL.items()}))
+    rows = only_newest(team).withColumn("week_total_engagement", total(*METRICS))
+    before = {m: F.col(f"previous.{m}") for m in METRICS}
+    before["week_total_engagement"] = total(*before.values())
+    both = rows.withColumns({prev: zero_if_null(before[m]) for m, (_, prev, _) in DETAIL.items()})
     renamed = both.withColumnRenamed("classes_attended", "live_classes_attended")
     out = renamed.withColumns({diff: F.col(now) - F.col(prev) for now, prev, diff in DETAIL.values()})
     return out.select(

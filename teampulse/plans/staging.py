@@ -168,9 +168,13 @@ def _record() -> list[Column]:
     ]
 
 
-def _latest_records(raw: DataFrame) -> DataFrame:
-    """One raw row per record, before anything is parsed, so that copies cost nothing more."""
-    return dedup.keep_first(raw, ["id"], [N.to_ts(S.EXTRACTED_AT).desc(), F.col(S.RAW_ID).desc()])
+def _latest_records(rows: DataFrame) -> DataFrame:
+    """Newest copy of each record.
+
+    Applied after parsing, so that the shuffle carries the leaves a query reads and
+    not the whole payload.
+    """
+    return dedup.keep_latest(rows, ["record_id"], S.EXTRACTED_AT, [S.RAW_ID]).drop(S.RAW_ID)
 
 
 def _parsed(raw: DataFrame) -> tuple[DataFrame, Column]:
@@ -178,25 +182,28 @@ def _parsed(raw: DataFrame) -> tuple[DataFrame, Column]:
 
 
 def clean_comments(raw: DataFrame) -> DataFrame:
-    df, p = _parsed(_latest_records(raw))
-    return df.select(*_comment(p), *_initiator(p, "initiator_community_id"), *_post(p, "post_basic_id"), *_space(p), *_record())
+    df, p = _parsed(raw)
+    rows = df.select(
+        *_comment(p), *_initiator(p, "initiator_community_id"), *_post(p, "post_basic_id"), *_space(p), *_record(), S.RAW_ID
+    )
+    return _latest_records(rows)
 
 
 def clean_comment_likes(raw: DataFrame) -> DataFrame:
-    df, p = _parsed(_latest_records(raw))
-    return df.select(
-        *_comment(p), *_initiator(p, "initiator_community_member_id"), *_post(p, "post_basic_id"), *_space(p), *_record()
-    )
+    df, p = _parsed(raw)
+    who = _initiator(p, "initiator_community_member_id")
+    return _latest_records(df.select(*_comment(p), *who, *_post(p, "post_basic_id"), *_space(p), *_record(), S.RAW_ID))
 
 
 def clean_post_likes(raw: DataFrame) -> DataFrame:
-    df, p = _parsed(_latest_records(raw))
-    return df.select(*_initiator(p, "initiator_community_member_id"), *_post(p, "post_id"), *_space(p), *_record())
+    df, p = _parsed(raw)
+    who = _initiator(p, "initiator_community_member_id")
+    return _latest_records(df.select(*who, *_post(p, "post_id"), *_space(p), *_record(), S.RAW_ID))
 
 
 def clean_lessons(raw: DataFrame) -> DataFrame:
-    df, p = _parsed(_latest_records(raw))
-    return df.select(
+    df, p = _parsed(raw)
+    rows = df.select(
         *_initiator(p, "initiator_community_id"),
         N.to_long(p["lesson"]["id"]).alias("lesson_id"),
         p["lesson"]["type"].alias("lesson_type"),
@@ -205,7 +212,9 @@ def clean_lessons(raw: DataFrame) -> DataFrame:
         X.clean_email(p["space"]["slug"]).alias("course_slug"),
         p["space"]["type"].alias("space_type"),
         *_record(),
+        S.RAW_ID,
     )
+    return _latest_records(rows)
 
 
 def clean_courses(raw: DataFrame) -> DataFrame:

@@ -66,8 +66,8 @@ def replace_table(df: DataFrame, path: str, by: str, cluster: list[str] = ()) ->
 
 
 def replace_flat(df: DataFrame, path: str) -> DataFrame:
-    """Write a whole table without month folders."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Write a whole table without month folders, in files of even size."""
+    df.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
