@@ -16,10 +16,6 @@ from teampulse.plans import staging as C
 from teampulse.sources import delivery
 
 
-def _joined(column: str, sep: str = "|"):
-    return F.array_join(F.transform(column, lambda x: x.cast("string")), sep).alias(column)
-
-
 # --- staging -----------------------------------------------------------------
 
 
@@ -109,10 +105,13 @@ WHO = [
     "initiator_is_admin",
     "initiator_is_moderator",
     "created_at",
-    F.col("_airbyte_extracted_at").alias("extracted_at"),
 ]
 
 
+def _who():
+    return [*WHO, F.col("_airbyte_extracted_at").alias("extracted_at")]
+
+
 @query(
     "clean_lessons",
     f"""
@@ -122,7 +121,7 @@ WHO = [
 )
 def _(b: Base):
     return b.feeds["lessons"].select(
-        *WHO, F.col("initiator_community_id").alias("user_id"), "lesson_id", "course_id", "course_name", "course_slug"
+        *_who(), F.col("initiator_community_id").alias("user_id"), "lesson_id", "course_id", "course_name", "course_slug"
     )
 
 
@@ -162,7 +161,7 @@ COMMENT = [
 )
 def _(b: Base):
     return b.feeds["comments"].select(
-        *WHO,
+        *_who(),
         F.col("initiator_community_id").alias("user_id"),
         *COMMENT,
         "post_owner_community_member_id",
@@ -182,7 +181,7 @@ def _(b: Base):
 )
 def _(b: Base):
     return b.feeds["post_likes"].select(
-        *WHO,
+        *_who(),
         F.col("initiator_community_member_id").alias("user_id"),
         "post_owner_community_member_id",
         "post_id",
@@ -202,7 +201,7 @@ def _(b: Base):
 )
 def _(b: Base):
     return b.feeds["comment_likes"].select(
-        *WHO, F.col("initiator_community_member_id").alias("user_id"), *COMMENT, "post_owner_community_member_id"
+        *_who(), F.col("initiator_community_member_id").alias("user_id"), *COMMENT, "post_owner_community_member_id"
     )
 
 

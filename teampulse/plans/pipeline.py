@@ -50,7 +50,7 @@ class Store:
         return f"{self.root}/{layer}/{name}"
 
     def has(self, layer: str, name: str) -> bool:
-        return tables.exists(self.spark, self.path(layer, name) + "/_columns")
+        return tables.exists(self.spark, f"{self.path(layer, name)}/{tables.COLUMNS}")
 
     def read(self, layer: str, name: str) -> DataFrame:
         return tables.read_table(self.spark, self.path(layer, name))
@@ -141,15 +141,13 @@ def run_weekly(
     engagement = load_engagement(store, people, weekly, as_of, full_refresh, spine)
     related = load_relations(store, members, raw, as_of, staff_tag)
     relations = related["relationships"]
-    team = tables.replace_table(
-        W.team_engagement(relations, engagement, as_of), store.path(MARTS, "team"), WEEK, ["manager_email", WEEK]
-    )
-    rankings = tables.replace_table(
-        W.manager_rankings(team, relations), store.path(MARTS, "rankings"), WEEK, ["manager_email", WEEK]
-    )
-    detail = tables.replace_table(
-        W.team_detail(team), store.path(MARTS, "detail"), WEEK, ["manager_email", WEEK]
-    )
+
+    def report(name: str, df: DataFrame) -> DataFrame:
+        return tables.replace_table(df, store.path(MARTS, name), WEEK, ["manager_email", WEEK], many_months=False)
+
+    team = report("team", W.team_engagement(relations, engagement, as_of))
+    rankings = report("rankings", W.manager_rankings(team, relations))
+    detail = report("detail", W.team_detail(team))
     return {
         **related,
         "members": members,

@@ -37,6 +37,7 @@ def local_session(cores: int | str = 8, app: str = "teampulse") -> SparkSession:
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

@@ -20,6 +20,7 @@ from teampulse.operators.dedup import keep_first
 from teampulse.session import scratch_path
 
 MONTH = "month"
+COLUMNS = "_columns.json"  # current columns; Spark skips names that start with an underscore
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,34 +34,45 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).text(f"{path}/_columns")
+    fs, p = _fs(spark, f"{path}/{COLUMNS}")
+    out = fs.create(p, True)
+    out.write(bytearray(schema.json(), "utf-8"))
+    out.close()
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table with its current columns; files written before a column existed give NULL."""
-    text = spark.read.text(f"{path}/_columns").head()[0]
-    schema = T.StructType.fromJson(json.loads(text))
-    return spark.read.schema(schema).parquet(path)
+    fs, p = _fs(spark, f"{path}/{COLUMNS}")
+    source = fs.open(p)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    source.close()
+    return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
 
 
 def _with_month(df: DataFrame, by: str) -> DataFrame:
     return df.withColumn(MONTH, month_start(by))
 
 
-def _write(df: DataFrame, path: str, cluster: list[str], mode: str, overwrite: str) -> None:
-    # rebalance lets the runtime split a large month and join small ones, so that
-    # neither one task nor thousands of files hold a month
-    shaped = df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *cluster)
+def _write(df: DataFrame, path: str, cluster: list[str], mode: str, overwrite: str, many_months: bool = True) -> None:
+    if many_months:
+        # rebalance lets the runtime split a large month and join small ones, so that
+        # neither one task nor thousands of files hold a month
+        df = df.hint("rebalance", F.col(MONTH))
+    shaped = df.sortWithinPartitions(MONTH, *cluster)
     shaped.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(MONTH).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str, by: str, cluster: list[str] = ()) -> DataFrame:
-    """Write the whole table in month folders, sorted by the cluster columns inside each file."""
+def replace_table(
+    df: DataFrame, path: str, by: str, cluster: list[str] = (), many_months: bool = True
+) -> DataFrame:
+    """Write the whole table in month folders, sorted by the cluster columns inside each file.
+
+    ``many_months=False`` is for tables of a week or two: each task writes what it
+    has, without another shuffle.
+    """
     spark = df.sparkSession
     full = _with_month(df, by)
-    _write(full, path, list(cluster), "overwrite", "static")
+    _write(full, path, list(cluster), "overwrite", "static", many_months)
     _save_schema(spark, path, full.schema)
     return read_table(spark, path)
 
@@ -128,7 +140,7 @@ def upsert(
     ``updates`` has one row per key.  It is written to the shared folder first:
     the merge reads it several times and must see the same rows each time.
     """
-    if not exists(spark, f"{path}/_columns"):
+    if not exists(spark, f"{path}/{COLUMNS}"):
         return replace_table(updates, path, by, cluster)
     staged_path = scratch_path(spark, "updates")
     staged_schema = _with_month(updates, by).schema
