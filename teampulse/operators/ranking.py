@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from teampulse.session import stored
+
 HOT_ROWS = 5_000_000  # rows one task may sort as a single group
 SAMPLE = 512  # keys sampled per hot group to place the borders
 RANGES = 64  # key ranges per hot group
@@ -23,10 +25,12 @@ _BUCKET, _KEY, _CUTS, _LOCAL, _BEFORE, _H = "__bucket", "__key", "__cuts", "__lo
 def hot_groups(df: DataFrame, group: list[str], limit: int = HOT_ROWS) -> DataFrame | None:
     """Groups with more than ``limit`` rows, or None when there are none.
 
-    Runs one counting job.  The result has at most ``rows / limit`` rows.
+    Runs one counting job.  Only the group keys come back, and there are fewer than
+    ``rows / limit`` of them.
     """
     big = df.groupBy(*group).count().where(F.col("count") > limit).select(*group)
-    return None if big.isEmpty() else big
+    found = big.collect()
+    return df.sparkSession.createDataFrame(found, big.schema) if found else None
 
 
 def _null_safe_left(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
@@ -41,47 +45,73 @@ def _null_safe_left(left: DataFrame, right: DataFrame, cols: list[str]) -> DataF
     return left.join(F.broadcast(renamed), cond, "left").drop(*[f"__r_{c}" for c in cols])
 
 
-def add_key_range(df: DataFrame, group: list[str], keys: list[Column], hot: DataFrame | None) -> DataFrame:
-    """Add the number of the key range a row falls in; 0 for groups that are not hot."""
-    if hot is None:
-        return df.withColumn(_BUCKET, F.lit(0))
-    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-    keyed = df.withColumn(_KEY, key)
-    marked = _null_safe_left(keyed, hot.withColumn("__hot", F.lit(True)), group)
+def key_cuts(base: DataFrame, group: list[str], keys: list[Column], hot: DataFrame) -> DataFrame:
+    """Borders between the key ranges of each hot group, as one sorted array."""
     order = Window.partitionBy(*group).orderBy(_H, _KEY)
-    picked = (
-        marked.where("__hot")
-        .select(*group, _KEY, F.xxhash64(_KEY).alias(_H))
+    sample = (
+        _hot_only(base, group, hot)
+        .select(*group, _key(keys).alias(_KEY))
+        .withColumn(_H, F.xxhash64(_KEY))
         .withColumn("__n", F.row_number().over(order))
         .where(F.col("__n") <= SAMPLE)
     )
     step = SAMPLE // RANGES
-    cuts = (
-        picked.groupBy(*group)
+    return (
+        sample.groupBy(*group)
         .agg(F.array_sort(F.collect_set(_KEY)).alias("__s"))
         .select(*group, F.filter("__s", lambda _, i: i % step == step - 1).alias(_CUTS))
     )
-    with_cuts = _null_safe_left(keyed, cuts, group)
+
+
+def _key(keys: list[Column]) -> Column:
+    return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+
+
+def add_key_range(
+    df: DataFrame, group: list[str], keys: list[Column], hot: DataFrame | None, base: DataFrame | None = None
+) -> DataFrame:
+    """Add the number of the key range a row falls in; 0 for groups that are not hot.
+
+    ``base`` is a stored frame with the group and key columns of ``df`` to take the
+    borders from, so that ``df`` itself is not computed for them.
+    """
+    if hot is None:
+        return df.withColumn(_BUCKET, F.lit(0))
+    cuts = key_cuts(df if base is None else base, group, keys, hot)
+    with_cuts = _null_safe_left(df.withColumn(_KEY, _key(keys)), cuts, group)
     lower = F.size(F.filter(F.col(_CUTS), lambda cut: cut < F.col(_KEY)))
     return with_cuts.withColumn(_BUCKET, F.when(F.col(_CUTS).isNull(), 0).otherwise(lower)).drop(_KEY, _CUTS)
 
 
 def rank_rows(
-    df: DataFrame, group: list[str], keys: list[Column], out: str, hot: DataFrame | None = None
+    df: DataFrame,
+    group: list[str],
+    keys: list[Column],
+    out: str,
+    hot: DataFrame | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number()`` per group in ascending order of ``keys``.
 
     Negate numeric keys for a descending order.  ``hot`` comes from
-    :func:`hot_groups`; without it this is a plain window.
+    :func:`hot_groups`; without it this is a plain window.  With it, borders and
+    sizes of the ranges are read from ``base``, a stored frame with the same rows;
+    when none is given, ``df`` is stored first.
     """
     if hot is None:
         w = Window.partitionBy(*group).orderBy(*keys)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    split = add_key_range(df, group, keys, hot)
+    if base is None:
+        df = base = stored(df, "ranked")
+    split = add_key_range(df, group, keys, hot, base)
     local = split.withColumn(
         _LOCAL, F.row_number().over(Window.partitionBy(*group, _BUCKET).orderBy(*keys)).cast("bigint")
     )
-    sizes = _hot_only(split, group, hot).groupBy(*group, _BUCKET).agg(F.count(F.lit(1)).alias("__size"))
+    sizes = (
+        add_key_range(_hot_only(base, group, hot), group, keys, hot, base)
+        .groupBy(*group, _BUCKET)
+        .agg(F.count(F.lit(1)).alias("__size"))
+    )
     before = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn(_BEFORE, F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size")
     joined = _null_safe_left(local, offsets, [*group, _BUCKET])
@@ -95,7 +125,12 @@ def _hot_only(df: DataFrame, group: list[str], hot: DataFrame) -> DataFrame:
 
 
 def percent_rank_rows(
-    df: DataFrame, group: list[str], value: str, out: str, hot: DataFrame | None = None
+    df: DataFrame,
+    group: list[str],
+    value: str,
+    out: str,
+    hot: DataFrame | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """``percent_rank()`` by one number that is never NULL.
 
@@ -108,7 +143,7 @@ def percent_rank_rows(
         everyone = F.count(F.lit(1)).over(Window.partitionBy(*group))
         share = F.try_divide((everyone - from_top).cast("double"), (everyone - 1).cast("double"))
         return df.withColumn(out, F.coalesce(share, F.lit(0.0)))
-    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
+    counts = (df if base is None else base).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
     by_value = Window.partitionBy(*group).orderBy(value)
     smaller = F.sum("__c").over(by_value.rowsBetween(Window.unboundedPreceding, -1))
     everyone = F.sum("__c").over(Window.partitionBy(*group))

@@ -16,6 +16,7 @@ from teampulse.operators import ordered, ranking
 from teampulse.operators.grid import WEEK
 from teampulse.operators.weeks import last_finished_week, newest, only_newest
 from teampulse.plans.relations import team_stats
+from teampulse.session import stored
 
 MAPPING = [
     "business_name",
@@ -136,11 +137,14 @@ def rank_keys() -> dict[str, list]:
 
 def with_ranks(rows: DataFrame, group: list[str], hot: DataFrame | None = None) -> DataFrame:
     # the business settles rows of a member that a manager sees in two businesses
+    base = None
+    if hot is not None:
+        rows = base = stored(rows, "team_points")
     for name, keys in rank_keys().items():
-        rows = ranking.rank_rows(rows, group, [*keys, F.col("business_name")], name, hot)
+        rows = ranking.rank_rows(rows, group, [*keys, F.col("business_name")], name, hot, base)
         if name == "performance_rank":
             # next to the rank with the same leading sort key, so the rows are sorted once for both
-            rows = ranking.percent_rank_rows(rows, group, "total_points", "performance_percentile", hot)
+            rows = ranking.percent_rank_rows(rows, group, "total_points", "performance_percentile", hot, base)
     return rows
 
 
