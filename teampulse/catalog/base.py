@@ -54,8 +54,8 @@ class Base:
     def path(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
-    def stored(self, name: str, df: DataFrame) -> DataFrame:
-        return tables.replace_flat(df, self.path(name))
+    def stored(self, name: str, df: DataFrame, spread: list[str] = ()) -> DataFrame:
+        return tables.replace_flat(df, self.path(name), spread)
 
     @cached_property
     def members(self) -> DataFrame:
@@ -105,7 +105,8 @@ class Base:
 
     @cached_property
     def relationships(self) -> DataFrame:
-        return self.stored("relationships", B.business_relationships(self.mapping, self.members, self.tags))
+        rows = B.business_relationships(self.mapping, self.members, self.tags)
+        return self.stored("relationships", rows, B.SPREAD)
 
     @cached_property
     def team(self) -> DataFrame:

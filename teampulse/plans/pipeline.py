@@ -58,8 +58,8 @@ class Store:
     def read_or_none(self, layer: str, name: str) -> DataFrame | None:
         return self.read(layer, name) if self.has(layer, name) else None
 
-    def flat(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        return tables.replace_flat(df, self.path(layer, name))
+    def flat(self, layer: str, name: str, df: DataFrame, spread: list[str] = ()) -> DataFrame:
+        return tables.replace_flat(df, self.path(layer, name), spread)
 
 
 def load_feeds(store: Store, raw: dict[str, DataFrame], full_refresh: bool = False, first_wins: bool = True) -> dict:
@@ -114,7 +114,7 @@ def load_relations(store: Store, members: DataFrame, raw: dict[str, DataFrame],
     invited = C.clean_invited_managers(raw["managers_not_joined"])
     businesses = store.flat(MARTS, "businesses", B.business_names(tags, members))
     mapping = store.flat(MARTS, "manager_mapping", B.manager_mapping(members, tags, invited, businesses))
-    relations = store.flat(MARTS, "relationships", B.business_relationships(mapping, members, tags))
+    relations = store.flat(MARTS, "relationships", B.business_relationships(mapping, members, tags), B.SPREAD)
     return {
         "tags": tags,
         "businesses": businesses,
@@ -145,7 +145,8 @@ def run_weekly(
     def report(name: str, df: DataFrame) -> DataFrame:
         return tables.replace_table(df, store.path(MARTS, name), WEEK, ["manager_email", WEEK], many_months=False)
 
-    team = report("team", W.team_engagement(relations, engagement, as_of))
+    # rows of the newest week; the week before is in their ``previous`` column
+    team = report("team", W.team_engagement(relations, engagement, as_of, keep_weeks=1))
     rankings = report("rankings", W.manager_rankings(team, relations))
     detail = report("detail", W.team_detail(team))
     return {

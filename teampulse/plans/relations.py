@@ -10,6 +10,7 @@ from teampulse.functions import safe as N
 from teampulse.operators import dedup, joins, ordered, ranking
 
 TAG = "business_tag_id"
+SPREAD = ["manager_email", "member_community_id"]  # evens out the files of the relationship table
 
 
 def tag_member_counts(members: DataFrame) -> DataFrame:

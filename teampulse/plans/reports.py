@@ -50,14 +50,18 @@ TEAM = ["manager_email", WEEK]
 
 
 def team_engagement(
-    relationships: DataFrame, engagement: DataFrame, as_of: dt.date | str, n_weeks: int = 2
+    relationships: DataFrame,
+    engagement: DataFrame,
+    as_of: dt.date | str,
+    n_weeks: int = 2,
+    keep_weeks: int | None = None,
 ) -> DataFrame:
     """Every (manager, business, member) with the activity of the last finished weeks.
 
     ``n_weeks=2`` includes the week before, which the comparisons need;
     ``n_weeks=1`` is the report on its own.  ``previous`` holds the metrics of the
-    week before a row's week when that week is part of the report, so comparing
-    weeks later takes no join.
+    week before a row's week when that week is among the ``n_weeks``, so comparing
+    weeks later takes no join.  ``keep_weeks=1`` gives rows for the newest week only.
 
     The weeks of a member are turned into columns before the join: the mapping is
     shuffled once however many weeks are asked for.
@@ -80,7 +84,7 @@ def team_engagement(
             *metrics(i),
             (F.struct(*metrics(i + 1)) if i + 1 < n_weeks else none).alias("previous"),
         )
-        for i, week in enumerate(weeks)
+        for i, week in enumerate(weeks[:keep_weeks])
     ]
     filled = mapping.join(per_member, "member_community_id", "left").select(*MAPPING, F.inline(F.array(*rows)))
     score = total(*METRICS)
@@ -99,22 +103,23 @@ def member_name():
     return X.full_name("member_first_name", "member_last_name")
 
 
+POINT_PARTS = {
+    "classes_attended": "points_from_classes",
+    "lessons_completed": "points_from_lessons",
+    "likes_received": "points_from_likes_received",
+    "comments_received": "points_from_comments_received",
+    "comments_made": "points_from_comments_made",
+}
+
+
 def scored(team: DataFrame, weights: dict[str, int] = R.POINTS) -> DataFrame:
-    """Points per activity kind and in total."""
-    names = {
-        "classes_attended": "points_from_classes",
-        "lessons_completed": "points_from_lessons",
-        "likes_received": "points_from_likes_received",
-        "comments_received": "points_from_comments_received",
-        "comments_made": "points_from_comments_made",
-    }
-    return team.withColumns(
-        {
-            "member_full_name": member_name(),
-            **{new: R.points_for(m, weights) for m, new in names.items()},
-            "total_points": R.weighted_points(weights),
-        }
-    )
+    """Names and weighted points in total."""
+    return team.withColumns({"member_full_name": member_name(), "total_points": R.weighted_points(weights)})
+
+
+def with_point_parts(rows: DataFrame, weights: dict[str, int] = R.POINTS) -> DataFrame:
+    """Points per activity kind; added after ranking, so that they are not sorted along."""
+    return rows.withColumns({new: R.points_for(m, weights) for m, new in POINT_PARTS.items()})
 
 
 def week_over_week(points: DataFrame, weights: dict[str, int] = R.POINTS) -> DataFrame:
@@ -206,7 +211,7 @@ def manager_rankings(
     summary = team_summary(rows, team_stats(relationships)).drop("manager_full_name", "week_end_date")
     if not per_business:
         summary = summary.drop("business_name")
-    labelled = with_labels(with_ranks(rows, group, hot))
+    labelled = with_point_parts(with_labels(with_ranks(rows, group, hot)), weights)
     dated = labelled.drop(*NOT_IN_RANKINGS).withColumns(
         {"week_start_formatted": D.long_date(WEEK), "week_end_formatted": D.long_date("week_end_date")}
     )

@@ -77,9 +77,15 @@ def replace_table(
     return read_table(spark, path)
 
 
-def replace_flat(df: DataFrame, path: str) -> DataFrame:
-    """Write a whole table without month folders, in files of even size."""
-    df.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+def replace_flat(df: DataFrame, path: str, spread: list[str] = ()) -> DataFrame:
+    """Write a whole table without month folders.
+
+    ``spread`` names columns to even the files out by; it is for joins whose
+    fan-out leaves some tasks with far more rows than others.
+    """
+    if spread:
+        df = df.hint("rebalance", *[F.col(c) for c in spread])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
