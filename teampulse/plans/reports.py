@@ -69,6 +69,9 @@ def team_engagement(
     latest = last_finished_week(engagement, as_of)
     weeks = [F.date_sub(latest, 7 * i) for i in range(n_weeks)]
     recent = engagement.where((F.col(WEEK) <= latest) & (F.col(WEEK) >= weeks[-1]))
+    if "month" in engagement.columns:
+        # stored history: only the folders of these weeks are read
+        recent = recent.where(F.col("month").between(F.trunc(weeks[-1], "month"), F.trunc(latest, "month")))
     per_member = recent.groupBy(F.col("community_member_id").alias("member_community_id")).agg(
         *[F.max(F.when(F.col(WEEK) == week, F.col(m))).alias(f"__{m}{i}") for i, week in enumerate(weeks) for m in METRICS]
     )

@@ -1,12 +1,14 @@
 """The weekly and monthly runs from raw tables, in one go and in steps."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from teampulse.catalog import fixtures as X
 from teampulse.plans import pipeline as P
+from teampulse.plans import reports as W
 from teampulse.session import scratch_path
 from teampulse.sources.schemas import EXTRACTED_AT
 from teampulse.streaming import weekly as ST
@@ -89,3 +91,17 @@ def test_stream_drops_repeated_records(spark):
     writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
     ST.run_to_end(writer.trigger(availableNow=True))
     assert spark.read.schema(events.schema).parquet(out).count() == events.count()
+
+
+def test_reports_read_only_their_months(spark, runs):
+    """The team report prunes the month folders of the engagement history."""
+    store = P.Store(spark, runs[0])
+    relations = spark.read.parquet(store.path(P.MARTS, "relationships"))
+    team = W.team_engagement(relations, store.read(P.INTERMEDIATE, "engagement"), X.AS_OF)
+    plan = team._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*month.*scalar-subquery", plan) or re.search(
+        r"PartitionFilters: \[.*month.*Subquery", plan
+    )
+    assert rows(team.where(F.col("week_start_date") == F.lit(dt.date(2024, 1, 22)))) == rows(
+        runs[3]["team"], ["month"]
+    )
