@@ -73,7 +73,9 @@ def numbered(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
 
     A range sort spreads the rows; each gets its place in its partition, and the
     partitions' sizes, one row each, give the offsets.  Equal rows are spread too.
+    The rows are stored before, since the sort reads them twice, once for its bounds.
     """
+    df = stored(df, "rows")
     placed = df.withColumn("tie", F.monotonically_increasing_id()).orderBy(*order, "tie").drop("tie")
     placed = stored(placed.withColumn("place", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("place", 33)
