@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, sharding, simhash, token_counts
-from teampulse.llm.common import table
+from teampulse.llm import bpe, langid, sharding, simhash, token_counts
+from teampulse.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +40,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simhash_components")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op10_language_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(fold("doc_id", 3) != 1))
+    rows = langid.labelled(docs, model)
+    return rows.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
