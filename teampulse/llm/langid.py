@@ -1,8 +1,8 @@
 """Language spans: script ranges, per-word scores and a Viterbi path.
 
-Each word (a run of letters) has the languages as candidates that write its script.
-Its score for a candidate is a tempered sum of log probabilities of its character
-n-grams.  The best path over a text's words, with a penalty for each switch, labels
+Each word between white space has the languages as candidates that write the scripts
+of its letters.  Its score for a candidate is a tempered sum of log probabilities of
+the letters' n-grams.  The best path over a text's words, with a penalty for each switch, labels
 spans, so a few odd words do not break a span and a real passage in another language
 is found.  The predicted language covers most letters.
 
@@ -44,10 +44,12 @@ TEMPER, MIXED, CLIP = 0.8, 0.05, 8.0
 SWITCH = 12.0
 #: Share of a language's letters from which a script counts as its own.
 SCRIPT_SHARE = 0.02
-CACHE, CACHED_CHARS = 1 << 18, 40
+#: Words in a worker's cache (fewer with many languages), and letters of a word; a longer one is scored in parts.
+CACHE, LONGEST = 1 << 19, 64
 #: Number signs and letter numbers, which Python counts as word characters but not as letters.
 NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{NUMBERS}]+")
+LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
+WORD = re.compile(rf"\S{{1,{LONGEST}}}")
 
 # First code points of script ranges.
 SCRIPTS = [
@@ -100,6 +102,7 @@ class Labeller:
 
     def __init__(self, model: Model):
         self.model, self.rows = model, {}
+        self.most = min(CACHE, (1 << 24) // max(1, len(model.languages)))
         self.table = np.zeros((1 << 12, len(model.languages)), np.float32)
         self.letters = np.zeros(1 << 12, np.int64)  # of a word in a script of some language, else 0
         self.sizes = np.zeros(1 << 12, np.int64)
@@ -107,12 +110,8 @@ class Labeller:
     def places(self, words: list[str]) -> np.ndarray:
         """The cache row of each word; new words are scored first."""
         rows = self.rows
-        try:
-            return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            pass
         new = [w for w in dict.fromkeys(words) if w not in rows]
-        if len(rows) + len(new) > CACHE:
+        if len(rows) + len(new) > self.most:
             rows.clear()
             new = list(dict.fromkeys(words))
         while len(rows) + len(new) > len(self.table):
@@ -126,23 +125,24 @@ class Labeller:
     def _score(self, words: list[str]) -> None:
         """Rows of scores: 0 for a word's best candidate, down to -CLIP for others."""
         unknown, known = len(self.model.grams), self.model.grams.get
-        ids, starts = [], []
-        for w in words:
+        ids, starts, barred, first = [], [], [], len(self.rows)
+        for i, w in enumerate(words, first):
             starts.append(len(ids))
-            ids += [known(g, unknown) for g in grams(w.lower()[:CACHED_CHARS])]
+            self.rows[w] = i
+            self.sizes[i] = self.letters[i] = 0
+            for run in LETTERS.findall(w):
+                allowed = self.model.allowed.get(script(run))
+                self.sizes[i] += len(run)
+                if allowed is not None:
+                    self.letters[i] += len(run)
+                    ids += [known(g, unknown) for g in grams(run.lower())]
+                    if not allowed.all():
+                        barred.append((i - first, ~allowed))
+            ids.append(unknown)
         sums = np.add.reduceat(self.model.logs[ids], starts, axis=0)
-        first = len(self.rows)
-        for i, w in enumerate(words):
-            allowed = self.model.allowed.get(script(w))
-            self.sizes[first + i] = len(w)
-            self.letters[first + i] = 0 if allowed is None else len(w)
-            if allowed is None:
-                sums[i] = 0
-            elif not allowed.all():
-                sums[i, ~allowed] = -np.inf
-            self.rows[w] = first + i
-        sums = np.maximum(sums - sums.max(1, keepdims=True), -CLIP)
-        self.table[first : first + len(words)] = sums
+        for i, out in barred:
+            sums[i, out] -= 4 * CLIP
+        self.table[first : first + len(words)] = np.maximum(sums - sums.max(1, keepdims=True), -CLIP)
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The language index of each word on the best path."""
@@ -165,14 +165,20 @@ class Labeller:
 
     def label(self, text: str | None) -> tuple[str, float, list[dict]]:
         """Predicted language, share of letters in its spans, and the spans with their code point ranges."""
-        words = WORD.findall(text or "")
-        if not words or not self.model.languages:
+        words = (text or "").split()
+        try:
+            places = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            if any(len(w) > LONGEST for w in words):
+                words = WORD.findall(text)
+            places = self.places(words)
+        total = self.sizes[places].sum()
+        if not total or not self.model.languages:
             return UNKNOWN, 0.0, []
-        places = self.places(words)
         path = self.path(self.table[places])
         letters = np.bincount(path, self.letters[places], minlength=len(self.model.languages))
         best = int(letters.argmax())
-        return self.model.languages[best], float(letters[best] / self.sizes[places].sum()), self.spans(text, path)
+        return self.model.languages[best], float(letters[best] / total), self.spans(text, path)
 
     def spans(self, text: str, path: np.ndarray) -> list[dict]:
         firsts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist()]
@@ -192,9 +198,9 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TR
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             seen = Counter()
             for of, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w, n in Counter(WORD.findall(t)).items():
+                for w, n in Counter(run for word in WORD.findall(t) for run in LETTERS.findall(word)).items():
                     seen[of, "script", script(w)] += n * len(w)
-                    for g in grams(w.lower()[:CACHED_CHARS]):
+                    for g in grams(w.lower()):
                         seen[of, "gram", g] += n
             keys = list(zip(*seen)) or [(), (), ()]
             arrays = [pa.array(k, pa.string()) for k in keys] + [pa.array(seen.values(), pa.int64())]
