@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, langid, sharding, simhash, token_counts
+from teampulse.llm import bpe, langid, quality_nbsvm, sharding, simhash, token_counts
 from teampulse.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(fold("doc_id", 3) != 1))
     rows = langid.labelled(docs, model)
     return rows.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_nbsvm_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_nbsvm.fit(docs, labels, use=fold("doc_id", 5) != 0)
+    rows = quality_nbsvm.scored(docs, model)
+    predicted = (F.col("score") >= quality_nbsvm.THRESHOLD).cast("int").alias("predicted")
+    return rows.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", predicted)
