@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, langid, quality_nbsvm, sharding, simhash, token_counts
+from teampulse.llm import bpe, langid, line_rules, quality_nbsvm, sharding, simhash, token_counts
 from teampulse.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_nbsvm.scored(docs, model)
     predicted = (F.col("score") >= quality_nbsvm.THRESHOLD).cast("int").alias("predicted")
     return rows.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", predicted)
+
+
+@query("op5_line_rules")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_rules.line_verdicts(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op5_line_rules"] = line_rules.ORACLE
