@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, langid, line_rules, quality_nbsvm, sharding, simhash, token_counts
+from teampulse.llm import bpe, decontamination, langid, line_rules, quality_nbsvm, sharding, simhash, token_counts
 from teampulse.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_line_rules"] = line_rules.ORACLE
+
+
+@query("op1_spaced_seeds")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op1_spaced_seeds"] = decontamination.ORACLE
