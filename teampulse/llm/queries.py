@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, decontamination, langid, line_rules, quality_nbsvm, sharding, simhash, surrogates, token_counts
+from teampulse.llm import bpe, decontamination, langid, line_rules, main_text, quality_nbsvm, sharding, simhash, surrogates, token_counts
 from teampulse.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ ORACLES["op1_spaced_seeds"] = decontamination.ORACLE
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"))
+
+
+@query("op4_nearest_page")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
