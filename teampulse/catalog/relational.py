@@ -238,9 +238,8 @@ def _(b: Base):
 )
 def _(b: Base):
     rows = W.week_over_week(W.scored(b.team)).select("manager_email", "member_email", "total_points")
-    hot = ranking.hot_groups(rows, ["manager_email"])
     order = [-F.col("total_points"), F.col("member_email")]
-    return ordered.text_per_group(rows, ["manager_email"], order, F.col("member_email"), ", ", "emails", hot)
+    return ordered.text_per_group(rows, ["manager_email"], order, F.col("member_email"), ", ", "emails")
 
 
 @query(
@@ -399,10 +398,10 @@ def _(b: Base):
 # --- windows -------------------------------------------------------------------------------
 
 
-def _rank(b: Base, name: str, hot=None):
+def _rank(b: Base, name: str):
     rows = W.week_over_week(W.scored(b.team))
     keys = [*W.rank_keys()[name], F.col("business_name")]
-    return ranking.rank_rows(rows, TEAM, keys, name, hot).select(*KEY, name)
+    return ranking.rank_rows(rows, TEAM, keys, name).select(*KEY, name)
 
 
 @query("rank_performance", f"SELECT {KEY_SQL}, performance_rank FROM fx_ranked")
@@ -422,9 +421,13 @@ def _(b: Base):
 
 @query("rank_performance_split", f"SELECT {KEY_SQL}, performance_rank FROM fx_ranked")
 def _(b: Base):
-    """The same rank with every team above 20 rows treated as hot and cut into key ranges."""
-    hot = ranking.hot_groups(weeks.only_newest(b.team), TEAM, 20)
-    return _rank(b, "performance_rank", hot)
+    """The same rank with each row counted over the whole table first."""
+    rows = W.week_over_week(W.scored(b.team))
+    keys = [*W.rank_keys()["performance_rank"], F.col("business_name")]
+    rows = ranking.numbered(rows, [*map(F.col, TEAM), *keys], "n")
+    firsts = rows.groupBy(*TEAM).agg(F.min("n").alias("first"))
+    rank = (F.col("n") - F.col("first") + 1).alias("performance_rank")
+    return ranking.null_safe_join(rows, firsts, TEAM).select(*KEY, rank)
 
 
 @query("percent_rank", f"SELECT {KEY_SQL}, performance_percentile FROM fx_ranked")
@@ -438,10 +441,13 @@ def _(b: Base):
 @query("percent_rank_split", f"SELECT {KEY_SQL}, performance_percentile FROM fx_ranked")
 def _(b: Base):
     rows = W.week_over_week(W.scored(b.team))
-    hot = ranking.hot_groups(weeks.only_newest(b.team), TEAM, 20)
-    return ranking.percent_rank_rows(rows, TEAM, "total_points", "performance_percentile", hot).select(
-        *KEY, "performance_percentile"
-    )
+    ranked = ranking.rank_rows(rows, TEAM, [F.col("total_points"), F.col("member_community_id"), F.col("business_name")], "n")
+    # the share from the first rank of a value, not from counts
+    least = ranked.groupBy(*TEAM, "total_points").agg(F.min("n").alias("least"))
+    sizes = ranked.groupBy(*TEAM).agg(F.max("n").alias("size"))
+    both = ranking.null_safe_join(ranking.null_safe_join(ranked, least, [*TEAM, "total_points"]), sizes, TEAM)
+    share = F.coalesce(F.try_divide((F.col("least") - 1).cast("double"), (F.col("size") - 1).cast("double")), F.lit(0.0))
+    return both.select(*KEY, share.alias("performance_percentile"))
 
 
 @query(
@@ -449,10 +455,10 @@ def _(b: Base):
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderdate, o_orderkey) AS order_rank FROM orders",
 )
 def _(b: Base):
-    """A rank over the whole table; the row limit is set low so that it is cut into key ranges."""
+    """A rank over the whole table, which no task sees as a whole."""
     keys = [F.col("o_orderpriority"), F.col("o_orderdate"), F.col("o_orderkey")]
     rows = b.table("orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    return ranking.global_rank(rows, keys, "order_rank", limit=1000).select("o_orderkey", "order_rank")
+    return ranking.global_rank(rows, keys, "order_rank").select("o_orderkey", "order_rank")
 
 
 COPIES_SQL = "'e' || event_id AS record_id, CASE WHEN event_id % 10 = 0 THEN 'v1' ELSE 'v0' END AS version"

@@ -1,11 +1,10 @@
-"""Exact row numbers that do not put one large group into one task.
-
-A plain window sorts every group inside a single task.  That is fine for a team
-of ordinary size.  ``hot_groups`` finds the groups above a row limit (normally
-none); for those, ``rank_rows`` cuts the group into key ranges, numbers each
-range on its own and adds the sizes of the ranges before it.  The range borders
-come from a small fixed-size sample, which only decides how even the ranges are;
-the numbers are exact for any borders.
+"""Exact row numbers that never put one group into one task.
+
+All rows are sorted by group and key in one range sort, which spreads a large group
+over as many tasks as its rows need.  Each row's number over the whole table follows
+from its place in its partition and the sizes of the partitions before.  The rank in
+a group is that number less the smallest of the group.  There is one way for groups
+of every size.
 """
 
 from __future__ import annotations
@@ -15,146 +14,57 @@ from pyspark.sql import functions as F
 
 from teampulse.session import stored
 
-HOT_ROWS = 5_000_000  # rows one task may sort as a single group
-SAMPLE = 512  # keys sampled per hot group to place the borders
-RANGES = 64  # key ranges per hot group
-
-_BUCKET, _KEY, _CUTS, _LOCAL, _BEFORE, _H = "__bucket", "__key", "__cuts", "__local", "__before", "__h"
-
-
-def hot_groups(df: DataFrame, group: list[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """Groups with more than ``limit`` rows, or None when there are none.
-
-    Runs one counting job.  Only the group keys come back, and there are fewer than
-    ``rows / limit`` of them.
-    """
-    big = df.groupBy(*group).count().where(F.col("count") > limit).select(*group)
-    found = big.collect()
-    return df.sparkSession.createDataFrame(found, big.schema) if found else None
+_TIE, _PLACE, _PART, _START, _NUMBER, _FIRST = "__tie", "__place", "__part", "__start", "__number", "__first"
 
 
-def _null_safe_left(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    """Left join on NULL-safe equality that keeps the left copy of the keys.
-
-    ``right`` must be bounded: every caller passes one row per hot group or range.
-    """
+def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same name where NULL equals NULL; keeps the left copy of them."""
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
     cond = F.lit(True)
     for c in cols:
         cond = cond & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
-    return left.join(F.broadcast(renamed), cond, "left").drop(*[f"__r_{c}" for c in cols])
-
-
-def key_cuts(base: DataFrame, group: list[str], keys: list[Column], hot: DataFrame) -> DataFrame:
-    """Borders between the key ranges of each hot group, as one sorted array."""
-    order = Window.partitionBy(*group).orderBy(_H, _KEY)
-    sample = (
-        _hot_only(base, group, hot)
-        .select(*group, _key(keys).alias(_KEY))
-        .withColumn(_H, F.xxhash64(_KEY))
-        .withColumn("__n", F.row_number().over(order))
-        .where(F.col("__n") <= SAMPLE)
-    )
-    step = SAMPLE // RANGES
-    return (
-        sample.groupBy(*group)
-        .agg(F.array_sort(F.collect_set(_KEY)).alias("__s"))
-        .select(*group, F.filter("__s", lambda _, i: i % step == step - 1).alias(_CUTS))
-    )
-
-
-def _key(keys: list[Column]) -> Column:
-    return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-
-
-def add_key_range(
-    df: DataFrame, group: list[str], keys: list[Column], hot: DataFrame | None, base: DataFrame | None = None
-) -> DataFrame:
-    """Add the number of the key range a row falls in; 0 for groups that are not hot.
-
-    ``base`` is a stored frame with the group and key columns of ``df`` to take the
-    borders from, so that ``df`` itself is not computed for them.
+    return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in cols])
+
+
+def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Row numbers from 1 over the whole table.
+
+    The sorted rows are stored, so that sizes and places come from the same sort.
+    Rows with equal keys are told apart, so that they can lie in different tasks.
     """
-    if hot is None:
-        return df.withColumn(_BUCKET, F.lit(0))
-    cuts = key_cuts(df if base is None else base, group, keys, hot)
-    with_cuts = _null_safe_left(df.withColumn(_KEY, _key(keys)), cuts, group)
-    lower = F.size(F.filter(F.col(_CUTS), lambda cut: cut < F.col(_KEY)))
-    return with_cuts.withColumn(_BUCKET, F.when(F.col(_CUTS).isNull(), 0).otherwise(lower)).drop(_KEY, _CUTS)
-
-
-def rank_rows(
-    df: DataFrame,
-    group: list[str],
-    keys: list[Column],
-    out: str,
-    hot: DataFrame | None = None,
-    base: DataFrame | None = None,
-) -> DataFrame:
+    placed = df.withColumn(_TIE, F.monotonically_increasing_id()).orderBy(*order, _TIE).drop(_TIE)
+    placed = stored(placed.withColumn(_PLACE, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(_PLACE, 33)
+    # one row per partition of the sort
+    sizes = placed.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(_PART, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias(_START))
+    number = F.col(_START) + F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.withColumn(_PART, part).join(starts, _PART).withColumn(out, number).drop(_PART, _START, _PLACE)
+
+
+def rank_rows(df: DataFrame, group: list[str], keys: list[Column], out: str) -> DataFrame:
     """``row_number()`` per group in ascending order of ``keys``.
 
-    Negate numeric keys for a descending order.  ``hot`` comes from
-    :func:`hot_groups`; without it this is a plain window.  With it, borders and
-    sizes of the ranges are read from ``base``, a stored frame with the same rows;
-    when none is given, ``df`` is stored first.
+    Negate numeric keys for a descending order.
     """
-    if hot is None:
-        w = Window.partitionBy(*group).orderBy(*keys)
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    if base is None:
-        df = base = stored(df, "ranked")
-    split = add_key_range(df, group, keys, hot, base)
-    local = split.withColumn(
-        _LOCAL, F.row_number().over(Window.partitionBy(*group, _BUCKET).orderBy(*keys)).cast("bigint")
-    )
-    sizes = (
-        add_key_range(_hot_only(base, group, hot), group, keys, hot, base)
-        .groupBy(*group, _BUCKET)
-        .agg(F.count(F.lit(1)).alias("__size"))
-    )
-    before = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn(_BEFORE, F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size")
-    joined = _null_safe_left(local, offsets, [*group, _BUCKET])
-    return joined.withColumn(out, F.col(_LOCAL) + F.coalesce(F.col(_BEFORE), F.lit(0).cast("bigint"))).drop(
-        _LOCAL, _BEFORE, _BUCKET
-    )
-
-
-def _hot_only(df: DataFrame, group: list[str], hot: DataFrame) -> DataFrame:
-    return _null_safe_left(df, hot.withColumn("__hot", F.lit(True)), group).where("__hot").drop("__hot")
-
-
-def percent_rank_rows(
-    df: DataFrame,
-    group: list[str],
-    value: str,
-    out: str,
-    hot: DataFrame | None = None,
-    base: DataFrame | None = None,
-) -> DataFrame:
+    rows = numbered(df, [*[F.col(c) for c in group], *keys], _NUMBER)
+    firsts = rows.groupBy(*group).agg(F.min(_NUMBER).alias(_FIRST))
+    joined = null_safe_join(rows, firsts, group)
+    return joined.withColumn(out, F.col(_NUMBER) - F.col(_FIRST) + 1).drop(_NUMBER, _FIRST)
+
+
+def percent_rank_rows(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
     """``percent_rank()`` by one number that is never NULL.
 
-    With hot groups it works on the count per distinct value, so a group of any
-    size shrinks before the window sees it.
+    Rows are counted per value first, so the window sees the distinct values of a
+    group only.
     """
-    if hot is None:
-        # counted from the top, which is the order the performance rank has sorted already
-        from_top = F.count(F.lit(1)).over(Window.partitionBy(*group).orderBy(-F.col(value)))
-        everyone = F.count(F.lit(1)).over(Window.partitionBy(*group))
-        share = F.try_divide((everyone - from_top).cast("double"), (everyone - 1).cast("double"))
-        return df.withColumn(out, F.coalesce(share, F.lit(0.0)))
-    counts = (df if base is None else base).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
-    by_value = Window.partitionBy(*group).orderBy(value)
-    smaller = F.sum("__c").over(by_value.rowsBetween(Window.unboundedPreceding, -1))
+    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
+    smaller = F.sum("__c").over(Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1))
     everyone = F.sum("__c").over(Window.partitionBy(*group))
-    pct = counts.select(
-        *[F.col(c).alias(f"__r_{c}") for c in [*group, value]],
-        F.coalesce(F.try_divide(F.coalesce(smaller, F.lit(0)).cast("double"), (everyone - 1).cast("double")), F.lit(0.0)).alias(out),
-    )
-    cond = F.lit(True)
-    for c in [*group, value]:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
-    return df.join(pct, cond, "left").drop(*[f"__r_{c}" for c in [*group, value]])
+    share = F.try_divide(F.coalesce(smaller, F.lit(0)).cast("double"), (everyone - 1).cast("double"))
+    return null_safe_join(df, counts.select(*group, value, F.coalesce(share, F.lit(0.0)).alias(out)), [*group, value])
 
 
 def top_rows(df: DataFrame, group: list[str], order: list[Column], n: int, out: str = "rank") -> DataFrame:
@@ -163,7 +73,6 @@ def top_rows(df: DataFrame, group: list[str], order: list[Column], n: int, out:
     return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n).withColumn(out, F.col(out).cast("bigint"))
 
 
-def global_rank(df: DataFrame, keys: list[Column], out: str, limit: int = HOT_ROWS) -> DataFrame:
-    """Row number over the whole table, split into key ranges when it is large."""
-    one = df.withColumn("__all", F.lit(0))
-    return rank_rows(one, ["__all"], keys, out, hot_groups(one, ["__all"], limit)).drop("__all")
+def global_rank(df: DataFrame, keys: list[Column], out: str) -> DataFrame:
+    """Row number over the whole table."""
+    return numbered(df, keys, out)

@@ -54,12 +54,12 @@ def candidate_businesses(tags: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def business_names(tags: DataFrame, members: DataFrame, limit: int = ranking.HOT_ROWS) -> DataFrame:
+def business_names(tags: DataFrame, members: DataFrame) -> DataFrame:
     """Businesses ranked by member count, newest first among equals."""
     keys = [-F.col("actual_member_count"), -F.unix_micros("created_at"), F.col("tag_id")]
     # a missing creation time sorts last in a descending order
     keys = [keys[0], F.col("created_at").isNull().cast("int"), keys[1], keys[2]]
-    return ranking.global_rank(candidate_businesses(tags, members), keys, "business_rank", limit)
+    return ranking.global_rank(candidate_businesses(tags, members), keys, "business_rank")
 
 
 def managers(members: DataFrame, tags: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def business_relationships(mapping: DataFrame, members: DataFrame, tags: DataFra
 
 
 def businesses_without_managers(
-    businesses: DataFrame, relationships: DataFrame, members: DataFrame, tags: DataFrame, limit: int = ranking.HOT_ROWS
+    businesses: DataFrame, relationships: DataFrame, members: DataFrame, tags: DataFrame
 ) -> DataFrame:
     """Businesses nobody manages, with the members who could."""
     managed = relationships.select(F.col(TAG).alias("tag_id")).distinct()
@@ -190,9 +190,7 @@ def businesses_without_managers(
         (~joins.has_item("tag_ids", manager_id) | manager_id.isNull()) & F.col("email").isNotNull()
     ).select("email", "tag_ids")
     candidates = joins.on_array_member(free, "tag_ids", open_ones.select("tag_id"), "tag_id")
-    # counted before the join, which is cheaper and never less
-    hot = ranking.hot_groups(free.select(F.explode(F.array_distinct("tag_ids")).alias("tag_id")), ["tag_id"], limit)
-    lists = ordered.text_per_group(candidates, ["tag_id"], [F.col("email")], F.col("email"), ", ", "__mails", hot)
+    lists = ordered.text_per_group(candidates, ["tag_id"], [F.col("email")], F.col("email"), ", ", "__mails")
     # The report's wording.
     advice = F.concat(
         F.lit("Add Manager tag to at least one member from: "), F.coalesce("__mails", F.lit("NO MEMBERS FOUND"))

@@ -14,7 +14,7 @@ from teampulse.functions.rules import METRICS
 from teampulse.functions.safe import total, zero_if_null
 from teampulse.operators import ordered, ranking
 from teampulse.operators.grid import WEEK
-from teampulse.operators.weeks import last_finished_week, newest, only_newest
+from teampulse.operators.weeks import last_finished_week, only_newest
 from teampulse.plans.relations import team_stats
 from teampulse.session import stored
 
@@ -47,6 +47,7 @@ NOT_IN_RANKINGS = [
     "performance_percentile",
 ]
 TEAM = ["manager_email", WEEK]
+INACTIVE = 3  # inactive members of a team that are looked at
 
 
 def team_engagement(
@@ -143,17 +144,16 @@ def rank_keys() -> dict[str, list]:
     }
 
 
-def with_ranks(rows: DataFrame, group: list[str], hot: DataFrame | None = None) -> DataFrame:
+def with_ranks(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Performance and mover rank, percentile, and ``inactive_rank`` where it is three or less."""
     # the business settles rows of a member that a manager sees in two businesses
-    base = None
-    if hot is not None:
-        rows = base = stored(rows, "team_points")
-    for name, keys in rank_keys().items():
-        rows = ranking.rank_rows(rows, group, [*keys, F.col("business_name")], name, hot, base)
-        if name == "performance_rank":
-            # next to the rank with the same leading sort key, so the rows are sorted once for both
-            rows = ranking.percent_rank_rows(rows, group, "total_points", "performance_percentile", hot, base)
-    return rows
+    keys = {name: [*order, F.col("business_name")] for name, order in rank_keys().items()}
+    for name in ("mover_rank", "performance_rank"):
+        rows = ranking.rank_rows(rows, group, keys[name], name)
+    rows = stored(ranking.percent_rank_rows(rows, group, "total_points", "performance_percentile"), "ranked")
+    # the performance rank names a row of its group
+    first = ranking.top_rows(rows, group, keys["inactive_rank"], INACTIVE, "inactive_rank")
+    return ranking.null_safe_join(rows, first.select(*group, "performance_rank", "inactive_rank"), [*group, "performance_rank"], "left")
 
 
 def with_labels(rows: DataFrame) -> DataFrame:
@@ -196,7 +196,6 @@ def manager_rankings(
     relationships: DataFrame,
     per_business: bool = False,
     weights: dict[str, int] = R.POINTS,
-    limit: int = ranking.HOT_ROWS,
 ) -> DataFrame:
     """Newest week ranked per manager, labelled, with the team's totals on each row.
 
@@ -204,24 +203,18 @@ def manager_rankings(
     reports expect; ``per_business=True`` ranks and joins per business instead.
     """
     group = [*TEAM, "business_name"] if per_business else TEAM
-    # team rows of a manager and week are rows of the mapping, which is cheaper to count
-    hot = ranking.hot_groups(
-        relationships, [c for c in group if c != WEEK], limit
-    )
     rows = week_over_week(scored(team, weights), weights)
-    if hot is not None:
-        hot = hot.withColumn(WEEK, newest(team)).select(*group)
     summary = team_summary(rows, team_stats(relationships)).drop("manager_full_name", "week_end_date")
     if not per_business:
         summary = summary.drop("business_name")
-    labelled = with_point_parts(with_labels(with_ranks(rows, group, hot)), weights)
+    labelled = with_point_parts(with_labels(with_ranks(rows, group)), weights)
     dated = labelled.drop(*NOT_IN_RANKINGS).withColumns(
         {"week_start_formatted": D.long_date(WEEK), "week_end_formatted": D.long_date("week_end_date")}
     )
-    return dated.join(summary, group, "inner")
+    return ranking.null_safe_join(dated, summary, group)
 
 
-def manager_report_nested(team: DataFrame, relationships: DataFrame, limit: int = ranking.HOT_ROWS) -> DataFrame:
+def manager_report_nested(team: DataFrame, relationships: DataFrame) -> DataFrame:
     """One row per manager and business with the members as an array, best first."""
     group = ["manager_email", "manager_full_name", "business_name", WEEK, "week_end_date"]
     rows = only_newest(team).withColumn("member_name", member_name())
@@ -229,7 +222,6 @@ def manager_report_nested(team: DataFrame, relationships: DataFrame, limit: int
         "member_name", "member_email", "member_community_id", *METRICS, "total_engagement_score"
     )
     order = [-F.col("total_engagement_score"), F.col("member_email"), F.col("member_community_id")]
-    hot = ranking.hot_groups(rows, group, limit)
     score = F.col("total_engagement_score")
     totals = [
         F.count(F.lit(1)).alias("__rows"),
@@ -237,11 +229,8 @@ def manager_report_nested(team: DataFrame, relationships: DataFrame, limit: int
         F.sum(score).alias("team_total_engagement_score"),
         F.round(F.avg(score), 2).alias("avg_engagement_score_per_member"),
     ]
-    if hot is None:
-        both = rows.groupBy(*group).agg(ordered.sorted_values(order, member).alias("team_members"), *totals)
-    else:
-        lists = ordered.list_per_group(rows, group, order, member, "team_members", hot)
-        both = rows.groupBy(*group).agg(*totals).join(lists, group)
+    lists = ordered.list_per_group(rows, group, order, member, "team_members")
+    both = ranking.null_safe_join(rows.groupBy(*group).agg(*totals), lists, group)
     return (
         both.join(team_stats(relationships), ["manager_email", "business_name"], "left")
         .withColumn("team_size", F.coalesce("team_size", "__rows"))

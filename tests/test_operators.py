@@ -36,57 +36,57 @@ def skewed(spark):
     return data, spark.createDataFrame(data, "g string, points bigint, name string, id bigint").repartition(6)
 
 
-def test_split_rank_is_row_number(skewed):
+def test_rank_is_row_number(skewed):
     data, df = skewed
-    hot = ranking.hot_groups(df, ["g"], 500)
-    assert {r[0] for r in hot.collect()} == {"big", None}
     keys = [-F.col("points"), F.col("name"), F.col("id")]
-    got = ranking.rank_rows(df, ["g"], keys, "r", hot)
+    got = ranking.rank_rows(df, ["g"], keys, "r")
     expected = {}
     for g in {d[0] for d in data}:
         for i, d in enumerate(sorted((d for d in data if d[0] == g), key=lambda d: (-d[1], d[2], d[3])), 1):
             expected[(d[0], d[3])] = i
     assert {(r["g"], r["id"]): r["r"] for r in got.collect()} == expected
-    plain = ranking.rank_rows(df, ["g"], keys, "r")
-    assert {(r["g"], r["id"]): r["r"] for r in plain.collect()} == expected
 
 
-def test_hot_group_is_spread(skewed):
+def test_rank_has_no_window_over_groups(skewed):
     _, df = skewed
-    hot = ranking.hot_groups(df, ["g"], 500)
-    split = ranking.add_key_range(df, ["g"], [-F.col("points"), F.col("name"), F.col("id")], hot)
-    sizes = [r["count"] for r in split.where("g = 'big'").groupBy(ranking._BUCKET).count().collect()]
-    assert len(sizes) > 30 and max(sizes) < 3000 / 10
+    plan = ranking.rank_rows(df, ["g"], [F.col("id")], "r")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number()" not in plan and "windowspecdefinition(g" not in plan
 
 
-def test_no_hot_groups(skewed):
+def test_large_group_is_spread(skewed):
     _, df = skewed
-    assert ranking.hot_groups(df, ["g"], 5000) is None
+    rows = df.repartitionByRange(4, "g", F.col("points"), "id").withColumn("p", F.spark_partition_id())
+    assert rows.where("g = 'big'").select("p").distinct().count() > 1
 
 
 def test_percent_rank(skewed):
     data, df = skewed
-    hot = ranking.hot_groups(df, ["g"], 500)
-    for h in (None, hot):
-        got = ranking.percent_rank_rows(df, ["g"], "points", "p", h).collect()
-        assert len(got) == len(data)
-        sizes, less = {}, {}
-        for d in data:
-            sizes[d[0]] = sizes.get(d[0], 0) + 1
-        for r in got:
-            key = (r["g"], r["points"])
-            if key not in less:
-                less[key] = sum(d[0] == r["g"] and d[1] < r["points"] for d in data)
-            assert r["p"] == pytest.approx(less[key] / max(sizes[r["g"]] - 1, 1))
+    got = ranking.percent_rank_rows(df, ["g"], "points", "p").collect()
+    assert len(got) == len(data)
+    sizes, less = {}, {}
+    for d in data:
+        sizes[d[0]] = sizes.get(d[0], 0) + 1
+    for r in got:
+        key = (r["g"], r["points"])
+        if key not in less:
+            less[key] = sum(d[0] == r["g"] and d[1] < r["points"] for d in data)
+        assert r["p"] == pytest.approx(less[key] / max(sizes[r["g"]] - 1, 1))
 
 
 def test_global_rank(skewed):
     data, df = skewed
     keys = [-F.col("points"), F.col("name"), F.col("id"), F.coalesce("g", F.lit(""))]
-    got = ranking.global_rank(df, keys, "r", limit=100)
+    got = ranking.global_rank(df, keys, "r")
     assert [r["r"] for r in got.orderBy("r").collect()] == list(range(1, len(data) + 1))
 
 
+def test_rank_of_equal_and_no_rows(spark):
+    df = spark.createDataFrame([("m", 1)] * 50 + [(None, 1)] * 3, "g string, p int").repartition(5)
+    got = rows_of(ranking.rank_rows(df, ["g"], [F.col("p")], "r").where("g is not null").select("r"))
+    assert got == [(i,) for i in range(1, 51)]
+    assert ranking.rank_rows(df.where("p > 1"), ["g"], [F.col("p")], "r").count() == 0
+
+
 def test_ranks_with_ties(spark):
     df = spark.createDataFrame([("m", 10, "b", 1), ("m", 10, "a", 2), ("m", 0, "c", 3)], "g string, p bigint, n string, id int")
     ranked = ranking.rank_rows(df, ["g"], [-F.col("p"), F.col("n")], "r")
@@ -97,23 +97,19 @@ def test_ranks_with_ties(spark):
 # --- ordered lists ---------------------------------------------------------------------
 
 
-def test_text_per_group_split(skewed):
+def test_text_per_group(skewed):
     data, df = skewed
-    hot = ranking.hot_groups(df, ["g"], 500)
     value = F.when(F.col("points") != 1, F.col("name"))
-    order = [F.col("name"), F.col("id")]
-    got = {r["g"]: r["t"] for r in ordered.text_per_group(df, ["g"], order, value, ", ", "t", hot).collect()}
-    plain = {r["g"]: r["t"] for r in ordered.text_per_group(df, ["g"], order, value, ", ", "t").collect()}
+    got = ordered.text_per_group(df, ["g"], [F.col("name"), F.col("id")], value, ", ", "t")
+    got = {r["g"]: r["t"] for r in got.collect()}
     for g in {d[0] for d in data}:
         names = [d[2] for d in sorted((d for d in data if d[0] == g), key=lambda d: (d[2], d[3])) if d[1] != 1]
-        assert got[g] == plain[g] == ", ".join(names)
+        assert got[g] == ", ".join(names)
 
 
-def test_list_per_group_split(skewed):
+def test_list_per_group(skewed):
     data, df = skewed
-    hot = ranking.hot_groups(df, ["g"], 500)
-    order = [F.col("id")]
-    got = {r["g"]: r["v"] for r in ordered.list_per_group(df, ["g"], order, F.col("name"), "v", hot).collect()}
+    got = {r["g"]: r["v"] for r in ordered.list_per_group(df, ["g"], [F.col("id")], F.col("name"), "v").collect()}
     assert got["big"] == [d[2] for d in data if d[0] == "big"]
     assert len(got[None]) == 700
 

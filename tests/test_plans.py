@@ -56,12 +56,36 @@ def test_multi_business_manager(spark, two_businesses):
     assert split.count() == 4
 
 
-def test_split_path_gives_the_same_report(spark, two_businesses):
-    for per_business in (False, True):
-        _, plain = report(spark, *two_businesses, per_business=per_business)
-        _, split = report(spark, *two_businesses, per_business=per_business, limit=1)
-        cols = sorted(plain.columns)
-        assert sorted(map(str, plain.select(cols).collect())) == sorted(map(str, split.select(cols).collect()))
+@pytest.fixture(scope="module")
+def keyless(spark):
+    """Three managers of two members each: one without e-mail, one without name; one business without name."""
+    rel = []
+    for k, (mail, name, business) in enumerate((("m@x", "Man", "A"), (None, "No Mail", "A"), ("n@x", None, None))):
+        for i in (1, 2):
+            row = list(relation(mail, "A", 10 * k + i, f"N{i}"))
+            row[0], row[10], row[8], row[9] = business, name, name, None
+            rel.append(tuple(row))
+    eng = [(r[11], LAST, 1, 0, 0, 0, 0) for r in rel] + [(r[11], BEFORE, 2, 0, 0, 0, 0) for r in rel]
+    return rel, eng
+
+
+def test_null_keys_keep_their_groups(spark, keyless):
+    rel = spark.createDataFrame(keyless[0], RELATION)
+    team, ranked = report(spark, *keyless)
+    nested = W.manager_report_nested(team, rel).collect()
+    assert sorted((r["manager_email"] or "", len(r["team_members"])) for r in nested) == [("", 2), ("m@x", 2), ("n@x", 2)]
+    assert ranked.count() == 6
+    counts = ranked.groupBy("manager_email").agg(F.max("team_total_points").alias("t"))
+    assert sorted((r["manager_email"] or "", r["t"]) for r in counts.collect()) == [("", 10), ("m@x", 10), ("n@x", 10)]
+
+
+def test_monthly_report_of_a_manager_without_name(spark, keyless):
+    rel = spark.createDataFrame(keyless[0], RELATION)
+    done = [(i, dt.datetime(2024, 1, 5), "Course") for i in (1, 2, 21, 22)]
+    courses = spark.createDataFrame(done, "initiator_community_id bigint, created_at timestamp, course_name string")
+    got = {r["manager_email"]: r for r in MO.monthly_report(courses, rel).collect()}
+    assert {k: r["total_course_completions"] for k, r in got.items()} == {"m@x": 2, "n@x": 2}
+    assert got["n@x"]["unique_learners_count"] == 2
 
 
 def test_week_over_week(spark, two_businesses):
@@ -132,10 +156,9 @@ def test_nested_report_order(spark):
     rel = [relation("m@x", "A", i, f"N{i}") for i in (1, 2, 3)]
     team, _ = report(spark, rel, [(2, LAST, 1, 0, 0, 0, 0)])
     relations = spark.createDataFrame(rel, RELATION)
-    for limit in (5, 1):
-        row = W.manager_report_nested(team, relations, limit).head()
-        assert [m["member_community_id"] for m in row["team_members"]] == [2, 1, 3]
-        assert (row["team_size"], row["business_total_members"]) == (2, 5)
+    row = W.manager_report_nested(team, relations).head()
+    assert [m["member_community_id"] for m in row["team_members"]] == [2, 1, 3]
+    assert (row["team_size"], row["business_total_members"]) == (2, 5)
 
 
 # --- relations ----------------------------------------------------------------------------------
@@ -210,12 +233,11 @@ def test_relationships(world):
 def test_unmanaged_businesses(world):
     members, tags, invited, businesses = world
     rel = B.business_relationships(B.manager_mapping(members, tags, invited, businesses), members, tags)
-    for limit in (100, 0):
-        rows = B.businesses_without_managers(businesses, rel, members, tags, limit).collect()
-        # member 5 has an unknown tag, so whether they are a manager is unknown and they are left out
-        assert [(r["business_name"], r["action_needed"]) for r in rows] == [
-            ("Other", "Add Manager tag to at least one member from: m4@x")
-        ]
+    rows = B.businesses_without_managers(businesses, rel, members, tags).collect()
+    # member 5 has an unknown tag, so whether they are a manager is unknown and they are left out
+    assert [(r["business_name"], r["action_needed"]) for r in rows] == [
+        ("Other", "Add Manager tag to at least one member from: m4@x")
+    ]
 
 
 # --- monthly ---------------------------------------------------------------------------------------
@@ -231,13 +253,12 @@ def test_monthly_report(spark):
         [(i, c, n, dt.datetime(2024, 2, 5)) for i, c, n in done] + [("3", "c1", "Plc", dt.datetime(2024, 1, 31))],
         "initiator_community_id string, course_id string, course_name string, created_at timestamp",
     )
-    for limit in (100, 0):
-        rows = {r["manager_email"]: r for r in MO.monthly_report(courses, rel, limit).collect()}
-        m, n = rows["m@x"], rows["n@x"]
-        assert (m["total_distinct_courses"], m["total_course_completions"]) == (2, 3)
-        assert (m["team_size"], m["unique_learners_count"], m["zero_completions_members_list"]) == (3, 2, "")
-        assert m["report_month_formatted"] == "February 2024"
-        html = m["courses_completed_rows_html"]
-        assert html.index("Intro &amp; More") < html.index("Plc") and "Al L, Bo &lt;b&gt; L" in html
-        assert (n["team_size"], n["zero_completions_members_list"]) == (0, "None 🎉")
-        assert "No course completions this month." in n["courses_completed_table_html"]
+    rows = {r["manager_email"]: r for r in MO.monthly_report(courses, rel).collect()}
+    m, n = rows["m@x"], rows["n@x"]
+    assert (m["total_distinct_courses"], m["total_course_completions"]) == (2, 3)
+    assert (m["team_size"], m["unique_learners_count"], m["zero_completions_members_list"]) == (3, 2, "")
+    assert m["report_month_formatted"] == "February 2024"
+    html = m["courses_completed_rows_html"]
+    assert html.index("Intro &amp; More") < html.index("Plc") and "Al L, Bo &lt;b&gt; L" in html
+    assert (n["team_size"], n["zero_completions_members_list"]) == (0, "None 🎉")
+    assert "No course completions this month." in n["courses_completed_table_html"]
