@@ -26,6 +26,11 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def plain_names(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The frame with columns ``c0``, ``c1``, ..., so that added names clash with none, and the real names."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))), docs.columns
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back, so that later steps survive lost executors."""
     path = scratch_path(df.sparkSession, name)

@@ -36,12 +36,14 @@ UNKNOWN = "und"
 #: Rows expected in the training sample, and n-grams that the model keeps of a language.
 TRAIN_ROWS = 3000
 MODEL_GRAMS = 20_000
-SIZES = (3,)
+GRAM = 3
 #: Weight of an n-gram's log probability (n-grams overlap), share of the mean
 #: distribution mixed into each language, and the most that a word can hold against one.
 TEMPER, MIXED, CLIP = 0.8, 0.05, 8.0
 #: Cost of a change of language between two words.
 SWITCH = 12.0
+#: Least share of its letters that a kept document has in its language.
+LEAST_SHARE = 0.5
 #: Share of a language's letters from which a script counts as its own.
 SCRIPT_SHARE = 0.02
 #: Words in a worker's cache (fewer with many languages), and letters of a word; a longer one is scored in parts.
@@ -64,14 +66,23 @@ SCRIPTS = [
 _STARTS = [start for start, _ in SCRIPTS]
 
 
+ASCII_LETTERS = re.compile(r"[A-Za-z]+")
+
+
+def letter_runs(word: str) -> list[str]:
+    if word.isalpha():
+        return [word]
+    return (ASCII_LETTERS if word.isascii() else LETTERS).findall(word)
+
+
 def script(word: str) -> str:
     return SCRIPTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
 
-def grams(word: str) -> list[str]:
-    """Character n-grams of a word with its ends marked."""
-    marked = f"^{word}$"
-    return [marked[i : i + n] for n in SIZES for i in range(len(marked) - n + 1)]
+def grams(run: str) -> list[str]:
+    """Character n-grams of a run of letters with its ends marked."""
+    marked = f"^{run.lower()}$"
+    return [marked[k : k + GRAM] for k in range(max(1, len(marked) - GRAM + 1))]
 
 
 class Model:
@@ -95,6 +106,8 @@ class Model:
         for (lang, kind), n in scripts.items():
             if lang in at and n >= SCRIPT_SHARE * letters[lang]:
                 self.allowed.setdefault(kind, np.zeros(len(at), bool))[at[lang]] = True
+        self.every = np.ones(len(at), bool)
+        self.allowed = {kind: self.every if allowed.all() else allowed for kind, allowed in self.allowed.items()}
 
 
 class Labeller:
@@ -124,25 +137,30 @@ class Labeller:
 
     def _score(self, words: list[str]) -> None:
         """Rows of scores: 0 for a word's best candidate, down to -CLIP for others."""
-        unknown, known = len(self.model.grams), self.model.grams.get
-        ids, starts, barred, first = [], [], [], len(self.rows)
-        for i, w in enumerate(words, first):
+        unknown, known, latin = len(self.model.grams), self.model.grams.get, self.model.allowed.get("latin")
+        ids, starts, barred, first, every = [], [], [], len(self.rows), self.model.every
+        all_letters, own_letters = [], []
+        for i, w in enumerate(words):
             starts.append(len(ids))
-            self.rows[w] = i
-            self.sizes[i] = self.letters[i] = 0
-            for run in LETTERS.findall(w):
-                allowed = self.model.allowed.get(script(run))
-                self.sizes[i] += len(run)
+            letters = own = 0
+            for run in letter_runs(w):
+                allowed = latin if run.isascii() else self.model.allowed.get(script(run))
+                letters += len(run)
                 if allowed is not None:
-                    self.letters[i] += len(run)
-                    ids += [known(g, unknown) for g in grams(run.lower())]
-                    if not allowed.all():
-                        barred.append((i - first, ~allowed))
+                    own += len(run)
+                    ids += [known(g, unknown) for g in grams(run)]
+                    if allowed is not every:
+                        barred.append((i, ~allowed))
             ids.append(unknown)
+            all_letters.append(letters)
+            own_letters.append(own)
+        last = first + len(words)
+        self.rows.update(zip(words, range(first, last)))
+        self.sizes[first:last], self.letters[first:last] = all_letters, own_letters
         sums = np.add.reduceat(self.model.logs[ids], starts, axis=0)
         for i, out in barred:
             sums[i, out] -= 4 * CLIP
-        self.table[first : first + len(words)] = np.maximum(sums - sums.max(1, keepdims=True), -CLIP)
+        self.table[first:last] = np.maximum(sums - sums.max(1, keepdims=True), -CLIP)
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The language index of each word on the best path."""
@@ -169,7 +187,7 @@ class Labeller:
         try:
             places = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
         except KeyError:
-            if any(len(w) > LONGEST for w in words):
+            if max(map(len, words)) > LONGEST:
                 words = WORD.findall(text)
             places = self.places(words)
         total = self.sizes[places].sum()
@@ -198,9 +216,9 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TR
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             seen = Counter()
             for of, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w, n in Counter(run for word in WORD.findall(t) for run in LETTERS.findall(word)).items():
+                for w, n in Counter(run for word in WORD.findall(t) for run in letter_runs(word)).items():
                     seen[of, "script", script(w)] += n * len(w)
-                    for g in grams(w.lower()):
+                    for g in grams(w):
                         seen[of, "gram", g] += n
             keys = list(zip(*seen)) or [(), (), ()]
             arrays = [pa.array(k, pa.string()) for k in keys] + [pa.array(seen.values(), pa.int64())]
@@ -220,21 +238,31 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TR
 
 
 def labelled(docs: DataFrame, model: Model, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns, lang_pred, score and spans of every row."""
+    """The ``keep`` columns, lang_pred, lang_score and spans of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = list(keep)
+    keep, names = list(keep), ["lang_pred", "lang_score", "spans"]
+    columns = keep if text in keep else [*keep, text]
+    at = columns.index(text)
 
     def make():
         label = Labeller(shared.value).label
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = list(zip(*map(label, batch.column(len(keep)).to_pylist()))) or [(), (), ()]
+            found = list(zip(*map(label, batch.column(at).to_pylist()))) or [(), (), ()]
             kinds = pa.string(), pa.float64(), pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(f, k) for f, k in zip(found, kinds)]
-            return pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "spans"])
+            return pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
         return step
 
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep)
-    return map_batches(rows, make, f"{schema}, lang_pred string, score double, spans array<struct<lang: string, start: int, end: int>>")
+    rows = docs.select(*columns)
+    schema = "".join(f"`{k}` {rows.schema[k].dataType.simpleString()}, " for k in keep)
+    return map_batches(rows, make, f"{schema}lang_pred string, lang_score double, spans array<struct<lang: string, start: int, end: int>>")
+
+
+def in_known_language(docs: DataFrame, model: Model, text: str = "text", least: float = LEAST_SHARE) -> DataFrame:
+    """The rows of ``docs`` whose letters stand in one learned language by ``least`` of them or more."""
+    own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    rows = labelled(own, model, own.columns[docs.columns.index(text)], own.columns)
+    rows = rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least))
+    return rows.select(*own.columns).toDF(*docs.columns)
