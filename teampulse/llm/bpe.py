@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from teampulse.llm.common import map_batches
 
 TOKENIZER = "word_bpe_49k.json"
-#: Entries of a worker's caches, and the longest word that they keep.
-CACHE, CACHED_CHARS = 1 << 18, 64
+#: Entries of a worker's caches of words, parts of words and pairs, and the longest word that they keep.
+CACHE, PART_CACHE, PAIR_CACHE, CACHED_CHARS = 1 << 19, 1 << 18, 1 << 18, 64
 #: Stands for the word-end mark; no byte symbol is NUL.
 END = "\0"
 #: Separators that Python takes for white space and Unicode does not.
@@ -79,7 +79,7 @@ class Merges:
     def compatible(self, left: int, right: int) -> bool:
         known = self.fits.get((left, right))
         if known is None:
-            if len(self.fits) >= CACHE:
+            if len(self.fits) >= PAIR_CACHE:
                 self.fits.clear()
             known = self.fits[left, right] = self._seam_holds(left, right)
         return known
@@ -109,25 +109,33 @@ class Merges:
                         return True
 
     def ranks(self, word: str) -> list[int]:
-        size = len(word)
-        longest: list[int] = [-1] * size
-        width = [0] * size
+        """The tokens of a word: the leftmost longest matches as they are where all pairs fit, else by backtracking."""
+        size, known = len(word), self.fits.get
+        covered, out, last = 0, [], -1
+        for end, (n, r) in self.automaton.iter_long(word):
+            if end - n + 1 != covered or (last >= 0 and not (known((last, r)) or self.compatible(last, r))):
+                return self.backtracked(word, out)
+            covered, last = end + 1, r
+            out.append(r)
+        return out if covered == size else self.backtracked(word, out)
+
+    def backtracked(self, word: str, out: list[int]) -> list[int]:
+        """Goes on from the compatible longest matches ``out`` that cover the start of the word."""
+        size, text, shorter = len(word), self.text, self.shorter
+        at = sum(len(text[r]) for r in out)
+        longest, width = [-1] * (size + 1), [0] * (size + 1)
         for end, (n, r) in self.automaton.iter(word):
-            at = end - n + 1
-            if n > width[at]:
-                width[at], longest[at] = n, r
-        if size and longest[0] >= 0 and width[0] == size:
-            return [longest[0]]
-        out: list[int] = []
-        open_ends, at = bytearray([1]) * (size + 1), 0
-        token = longest[0] if size else -1
-        text, shorter, fits = self.text, self.shorter, self.compatible
+            start = end - n + 1
+            if n > width[start]:
+                width[start], longest[start] = n, r
+        open_ends, known = bytearray([1]) * (size + 1), self.fits.get
+        token = longest[at]
         while at < size:
             end = at + len(text[token]) if token >= 0 else 0
-            if token >= 0 and open_ends[end] and (not out or fits(out[-1], token)):
+            if token >= 0 and open_ends[end] and (not out or known((out[-1], token)) or self.compatible(out[-1], token)):
                 out.append(token)
                 at = end
-                token = longest[at] if at < size else -1
+                token = longest[at]
             elif token >= 0 and shorter[token] >= 0:
                 token = shorter[token]
             elif not out:
@@ -156,36 +164,49 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         texts = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
-        body = [texts.get(i, "").encode() for i in range(max(texts) + 1)]
-        self.buffer, self.offsets = b"".join(body), np.cumsum([0, *map(len, body)]).tolist()
+        body = [texts.get(i, "").encode() + b" " for i in range(max(texts) + 1)]
+        self.buffer, self.offsets = b"".join(body), np.cumsum([0, *map(len, body)])
+        self.bytes, self.starts = np.frombuffer(self.buffer, np.uint8), self.offsets.tolist()
         self.cache: dict[str, tuple[int, str, bytes]] = {}
+        self.part_cache: dict[str, tuple[int, str, bytes]] = {}
 
     def token_text(self, i: int) -> bytes:
-        return self.buffer[self.offsets[i] : self.offsets[i + 1]]
-
-    def decode(self, ids: list[int]) -> str:
-        """Token texts with one space between them: the tokenizer names no other decoder."""
-        return b" ".join(map(self.token_text, ids)).decode()
-
-    def word_ids(self, word: str) -> list[int]:
-        """The ids of a stretch without white space."""
-        word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
-        out = []
-        for part in self.parts(word):
-            symbols = "".join(map(self.symbols.__getitem__, part.encode()))
-            out += map(self.merges.id.__getitem__, self.merges.ranks(symbols + END))
-        return out
+        return self.buffer[self.starts[i] : self.starts[i + 1] - 1]
 
-    def word(self, word: str) -> tuple[int, str, bytes]:
-        """Number of ids, the ids as text and their decoded text."""
-        found = self.cache.get(word)
+    def decode(self, ids: np.ndarray | list[int]) -> bytes:
+        """Token texts with one space between them: the tokenizer names no other decoder.
+
+        The bytes of all tokens are gathered from the buffer at once.
+        """
+        ids = np.asarray(ids, np.int64)
+        starts, sizes = self.offsets[ids], self.offsets[ids + 1] - self.offsets[ids]
+        ends = np.cumsum(sizes)
+        places = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.bytes[places[:-1]].tobytes()
+
+    def part(self, part: str) -> tuple[int, str, bytes]:
+        """Number of ids of one part of a word, the ids as text and their decoded text."""
+        found = self.part_cache.get(part)
         if found is None:
-            ids = self.word_ids(word)
+            symbols = part if part.isascii() and part.isprintable() else "".join(map(self.symbols.__getitem__, part.encode()))
+            ids = [self.merges.id[r] for r in self.merges.ranks(symbols + END)]
             found = len(ids), " ".join(map(str, ids)), b" ".join(map(self.token_text, ids))
-            if len(word) <= CACHED_CHARS:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[word] = found
+            if len(part) <= CACHED_CHARS:
+                if len(self.part_cache) >= PART_CACHE:
+                    self.part_cache.clear()
+                self.part_cache[part] = found
+        return found
+
+    def word(self, word: str) -> tuple[int, str, bytes]:
+        """The same for a stretch without white space."""
+        plain = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+        known, parts = self.part_cache.get, self.parts(plain)
+        found = [known(p) or self.part(p) for p in parts]
+        found = found[0] if len(found) == 1 else (sum(f[0] for f in found), " ".join(f[1] for f in found), b" ".join(f[2] for f in found))
+        if len(word) <= CACHED_CHARS:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = found
         return found
 
     def stretches(self, text: str):
@@ -200,8 +221,8 @@ class WordBpe:
                 for w in words:
                     yield known(w) or look(w)
 
-    def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.stretches(text) for i in ids.split()]
+    def encode(self, text: str) -> np.ndarray:
+        return np.fromstring(" ".join(ids for n, ids, _ in self.stretches(text) if n), np.int32, sep=" ")
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, sha256 of the ids as text, sha256 of the decoded text."""
@@ -233,9 +254,8 @@ def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokeniz
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.string())], names=["doc_id", "ids", "decoded"]
-            )
+            decoded = pa.array([bpe.decode(i).decode() for i in ids], pa.string())
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), decoded], names=["doc_id", "ids", "decoded"])
 
         return step
 
