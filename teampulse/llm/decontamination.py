@@ -28,67 +28,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teampulse.llm.common import map_batches, stored
+from teampulse.llm.common import map_batches, plain_names, stored
+from teampulse.llm.words import IS_WORD, MIX, joined, mixed, pieces, stretch_hashes, stretches
 
 #: Ones are compared, zeros ignored.
 MASKS = ("11111", "111011", "11001011")
 WINDOW = 30
 SIMILAR = 0.8
 LEAST_WORDS = 8
-#: Bits of the filter for each seed, and the least and most that it may have (4 MB at most 32 MB).
+#: Bits of the filter for each seed, and the least and most that it may have (half a MB to 32 MB).
 BITS_PER_SEED, LEAST_BITS, MOST_BITS = 32, 1 << 22, 1 << 28
-#: Bytes that are cut into words at a time.
-PIECE = 1 << 20
-
-_IS_WORD = np.zeros(256, bool)
-_IS_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_BASE = 0x9E3779B97F4A7C15
-_MIX = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
-_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
-
-
-def _powers(n: int) -> list[np.ndarray]:
-    """Powers of an odd base modulo 2**64, and of its inverse."""
-    if len(_POWERS[0]) < n:
-        size = max(n, PIECE + (1 << 12))
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[i] = np.cumprod(steps)
-    return _POWERS
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(31))
-    h *= _MIX[0]
-    return h ^ (h >> np.uint64(29))
-
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the number of the text that it is from.
-
-    The hash of a word is a difference of running sums of bytes times powers, brought
-    back to power zero, so all words of a buffer are hashed at once.
-    """
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    firsts = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    hashes, places, at = [], [], 0
-    while at < len(data):
-        end = min(len(data), at + PIECE)
-        while end < len(data) and _IS_WORD[data[end]]:
-            end += 1
-        piece = data[at:end]
-        edges = np.diff(np.concatenate([[False], _IS_WORD[piece], [False]]).astype(np.int8))
-        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        up, down = _powers(len(piece))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * up[: len(piece)])])
-        hashes.append(_mixed((sums[ends] - sums[starts]) * down[starts]))
+    """Hash of every word, and the number of the text that it is from."""
+    data, firsts = joined(texts)
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    inside = IS_WORD[data]
+    for at, end in pieces(data, ~inside):
+        starts, ends = stretches(inside[at:end])
+        hashes.append(stretch_hashes(data[at:end], starts, ends))
         places.append(starts + at)
-        at = end
-    hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    places = np.concatenate(places) if places else np.zeros(0, np.int64)
-    return hashes, np.searchsorted(firsts, places, "right") - 1
+    return np.concatenate(hashes), np.searchsorted(firsts, np.concatenate(places), "right") - 1
 
 
 def seeds(words: np.ndarray, of: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -101,9 +61,9 @@ def seeds(words: np.ndarray, of: np.ndarray) -> list[tuple[np.ndarray, np.ndarra
             continue
         total = np.full(n, k + 1, np.uint64)
         for j, i in enumerate(i for i, bit in enumerate(mask) if bit == "1"):
-            total += words[i : i + n] * _MIX[j]
+            total += words[i : i + n] * MIX[j]
         places = np.flatnonzero(of[:n] == of[len(mask) - 1 :])
-        out.append((_mixed(total[places]), places))
+        out.append((mixed(total[places]), places))
     return out
 
 
@@ -117,7 +77,7 @@ class Filter:
         """Indexes of the hashes that may be in the set."""
         left = None
         for k in range(3):
-            p = (h if left is None else h[left]) * _MIX[k + 2] >> self.shift
+            p = (h if left is None else h[left]) * MIX[k + 2] >> self.shift
             ok = (self.body[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1
             found = np.flatnonzero(ok)
             left = found if left is None else left[found]
@@ -173,7 +133,7 @@ def seed_filter(found: DataFrame) -> Filter:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             h = np.array(batch.column(0).to_pylist(), np.int64).view(np.uint64)
-            p = np.unique(np.concatenate([h * _MIX[k + 2] >> shift for k in range(3)])).astype(np.int64)
+            p = np.unique(np.concatenate([h * MIX[k + 2] >> shift for k in range(3)])).astype(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(p >> 15), pa.array(p & 32767)], names=["bucket", "bit"])
 
         return step
@@ -271,7 +231,8 @@ def passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id:
 def without_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no passage of an item was found."""
     found = passages(docs, items, doc_id=doc_id, text=text).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(found, F.col(doc_id).eqNullSafe(F.col("found_id")), "left_anti")
+    own, names = plain_names(docs)
+    return own.join(found, F.col(own.columns[names.index(doc_id)]).eqNullSafe(F.col("found_id")), "left_anti").toDF(*names)
 
 
 ORACLE = rf"""

@@ -1,7 +1,7 @@
 """Quality scores by naive Bayes support vectors.
 
 Features are the n-grams that a text has: one and two words in lower case without
-outer signs, and one to three word shapes (case, digits, the signs around a word,
+signs, and one to three word shapes (capitals, small letters, digits and signs, and
 whether it repeats the word before).  Each is hashed into a fixed space and counts
 once.  An indicator is scaled by the log ratio of its class shares, the scaled row is
 brought to length one, and a linear hinge-loss model is fitted by dual coordinate
@@ -18,16 +18,13 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from teampulse.llm.common import map_batches
+from teampulse.llm.words import IS_WHITE, IS_WORD, MIX, joined, mixed, pieces, stretch_hashes, stretches
 
 #: Size of the hashed feature space; the model is two floats for each.
 SPACE_BITS = 18
@@ -37,85 +34,74 @@ TRAIN_ROWS = 3000
 #: the fitted weights against their mean size.
 SMOOTH, PRICE, PASSES, OWN = 1.0, 1.0, 12, 0.9
 THRESHOLD = 0.3
-#: Words in a worker's cache.
-CACHE = 1 << 18
-#: Bytes of a text that are cut into words at a time.
-PIECE = 1 << 20
-CORE = re.compile(rb"^([^0-9A-Za-z\x80-\xff]*)(.*?)([^0-9A-Za-z\x80-\xff]*)$", re.S)
-_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Letters, digits and other bytes as classes: capitals, small and non-ASCII letters, digits; signs stand for themselves.
+_CLASS = np.arange(256, dtype=np.uint8)
+_CLASS[65:91], _CLASS[97:123], _CLASS[128:], _CLASS[48:58] = 65, 97, 97, 57
 
 
-def _spread(keys: np.ndarray, kind: int) -> np.ndarray:
+def _feature(keys: np.ndarray, kind: int) -> np.ndarray:
     """Feature numbers from 64-bit keys; ``kind`` keeps the sorts of n-grams apart."""
-    keys = (keys + _MIX[kind]) * _MIX[0]
-    keys ^= keys >> np.uint64(29)
-    keys *= _MIX[1]
-    return (keys >> np.uint64(64 - SPACE_BITS)).astype(np.int32)
-
-
-def shape(word: bytes) -> bytes:
-    before, core, after = CORE.match(word).groups()
-    if core.isdigit():
-        kind = b"9"
-    elif any(48 <= c < 58 for c in core):
-        kind = b"x9"
-    else:
-        text = core.decode("utf-8", "replace")
-        kind = b"A" if len(text) > 1 and text.isupper() else b"Aa" if text[:1].isupper() else b"a" if text else b""
-    return before[:4] + kind + after[:4]
-
-
-class Features:
-    """The feature numbers of texts; keeps the hashes of words in a bounded cache."""
-
-    def __init__(self):
-        self.rows: dict[bytes, int] = {}
-        self.words, self.shapes = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
-
-    def _places(self, words: list[bytes]) -> np.ndarray:
-        """The cache row of each word; new words are hashed first."""
-        rows = self.rows
-        try:
-            return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            pass
-        new = [w for w in dict.fromkeys(words) if w not in rows]
-        if len(rows) + len(new) > CACHE:
-            rows.clear()
-            new = list(dict.fromkeys(words))
-        while len(rows) + len(new) > len(self.words):
-            self.words, self.shapes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.words, self.shapes))
-        for w in new:
-            at = rows[w] = len(rows)
-            self.words[at] = xxhash.xxh3_64_intdigest(CORE.match(w).group(2).lower())
-            self.shapes[at] = xxhash.xxh3_64_intdigest(shape(w[:4096]))
-        return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-
-    def _pieces(self, text: bytes) -> Iterator[list[bytes]]:
-        at = 0
-        while at < len(text):
-            end = at + PIECE
-            while end < len(text) and text[end] not in b" \t\n\r\x0b\x0c":
-                end += 1
-            yield text[at:end].split()
-            at = end
-
-    def of(self, text: bytes) -> np.ndarray:
-        """Sorted distinct feature numbers; the constant feature is number 0."""
-        parts, tail = [np.zeros(1, np.int32)], []
-        for words in self._pieces(text):
-            words = tail + words
-            tail = words[-2:]
-            if not words:
-                continue
-            places = self._places(words)
-            word, form = self.words[places], self.shapes[places]
-            form[1:][word[1:] == word[:-1]] += np.uint64(1)  # repeats the word before
-            two, three = form[:-1] * _MIX[2] + form[1:], form[:-2] * _MIX[3] + form[1:-1] * _MIX[2] + form[2:]
-            parts += [_spread(word, 0), _spread(word[:-1] * _MIX[2] + word[1:], 1), _spread(form, 2), _spread(two, 3), _spread(three, 4)]
-            if len(parts) > 64:
-                parts = [np.unique(np.concatenate(parts))]
-        return np.unique(np.concatenate(parts))
+    return (mixed(keys + MIX[kind]) * MIX[1] >> np.uint64(64 - SPACE_BITS)).astype(np.int64)
+
+
+def _kept_hashes(data: np.ndarray, keep: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of stretches without the bytes that are not kept."""
+    before = np.concatenate([[0], np.cumsum(keep)])
+    return stretch_hashes(data[keep], before[starts], before[ends])
+
+
+def _word_keys(data: np.ndarray, white: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, hash of the letters and digits in lower case, and hash of the shape of every word.
+
+    A shape is the classes of a word's bytes, runs of one class written once.
+    """
+    starts, ends = stretches(~white)
+    words = _kept_hashes(_LOWER[data], IS_WORD[data], starts, ends)
+    classes = _CLASS[data]
+    turn = np.ones(len(data), bool)
+    turn[1:] = classes[1:] != classes[:-1]
+    return starts, words, _kept_hashes(classes, turn & ~white, starts, ends)
+
+
+def _grams(of: np.ndarray, words: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+    """Sorted distinct pairs of text and feature, as one number each."""
+    two, three = of[1:] == of[:-1], of[2:] == of[:-2]
+    twin = shapes[:-1] * MIX[2] + shapes[1:]
+    found = [
+        (of, _feature(words, 0)),
+        (of[1:][two], _feature((words[:-1] * MIX[2] + words[1:])[two], 1)),
+        (of, _feature(shapes, 2)),
+        (of[1:][two], _feature(twin[two], 3)),
+        (of[2:][three], _feature((twin[:-1] * MIX[3] + shapes[2:])[three], 4)),
+    ]
+    return np.unique(np.concatenate([(o << SPACE_BITS) | f for o, f in found]))
+
+
+def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the text and the feature, for each feature of each text; feature 0 is constant."""
+    data, firsts = joined(texts)
+    white = IS_WHITE[data]
+    found, tail = [np.arange(len(texts), dtype=np.int64) << SPACE_BITS], None
+    for at, end in pieces(data, white):
+        starts, words, shapes = _word_keys(data[at:end], white[at:end])
+        of = np.searchsorted(firsts, starts + at, "right") - 1
+        kept = 0 if tail is None else len(tail[0])
+        if kept:  # n-grams over the cut
+            of, words, shapes = (np.concatenate(x) for x in zip(tail, (of, words, shapes)))
+        again = (words[1:] == words[:-1]) & (of[1:] == of[:-1])  # repeats the word before
+        again[: max(0, kept - 1)] = False  # known from the last piece
+        shapes[1:][again] += np.uint64(1)
+        found.append(_grams(of, words, shapes))
+        tail = of[-2:], words[-2:], shapes[-2:]
+    pairs = np.unique(np.concatenate(found))
+    return pairs >> SPACE_BITS, pairs & ((1 << SPACE_BITS) - 1)
+
+
+def lists(of: np.ndarray, found: np.ndarray, n: int) -> list[np.ndarray]:
+    return np.split(found, np.searchsorted(of, np.arange(1, n)))
 
 
 class Model:
@@ -124,12 +110,12 @@ class Model:
     def __init__(self, ratio: np.ndarray, weight: np.ndarray, slope: float, shift: float):
         self.ratio, self.weight, self.slope, self.shift = ratio.astype(np.float32), weight.astype(np.float32), slope, shift
 
-    def margin(self, features: np.ndarray) -> float:
-        r = self.ratio[features]
-        return float((r * self.weight[features]).sum(dtype=np.float64) / max(1e-9, np.sqrt((r * r).sum(dtype=np.float64))))
-
-    def score(self, features: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(features) + self.shift, -30, 30))))
+    def scores(self, of: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+        """Scores of ``n`` texts from their features."""
+        r = self.ratio[found]
+        norms = np.sqrt(np.bincount(of, r * r, n))
+        margins = np.bincount(of, r * self.weight[found], n) / np.maximum(norms, 1e-9)
+        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
 def log_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
@@ -193,10 +179,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", use: Column
     """A model from at most ``limit`` labelled rows."""
 
     def make():
-        features = Features()
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [features.of(t or b"") for t in batch.column(1).to_pylist()]
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            found = lists(*features(texts), len(texts))[: len(texts)]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["good", "features"])
 
         return step
@@ -215,10 +200,11 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        features, model = Features(), shared.value
+        model = shared.value
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [model.score(features.of(t or b"")) for t in batch.column(1).to_pylist()]
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            found = model.scores(*features(texts), len(texts))
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
         return step

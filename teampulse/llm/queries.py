@@ -47,7 +47,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(fold("doc_id", 3) != 1))
     rows = langid.labelled(docs, model)
-    return rows.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+    return rows.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
 @query("op2_nbsvm_quality")
@@ -78,8 +78,8 @@ ORACLES["op1_spaced_seeds"] = decontamination.ORACLE
 
 @query("op8_surrogates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return rows.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"))
+    rows = surrogates.checked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(F.col("c0").alias("doc_id"), F.col("c1").alias("text"), F.size("entities").cast("long").alias("n_entities"))
 
 
 @query("op4_nearest_page")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teampulse.llm.common import map_batches, stored
+from teampulse.llm.common import map_batches, plain_names, stored
 from teampulse.llm.components import components
 
 SHINGLE = 3
@@ -140,10 +140,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, one row for an id."""
+    """The rows of ``docs`` whose id is the smallest of its component, one row for an id; rows without an id go."""
     fps = fingerprints(docs, doc_id, text)
     found = linked(fps)
     keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("keep_id")).distinct()
-    kept = docs.join(keep, F.col(doc_id) == F.col("keep_id"), "left_semi")
+    own, names = plain_names(docs)
+    own_id = own.columns[names.index(doc_id)]
+    kept = own.join(keep, F.col(own_id) == F.col("keep_id"), "left_semi")
     repeated = fps.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates([doc_id]) if repeated else kept
+    return (kept.dropDuplicates([own_id]) if repeated else kept).toDF(*names)

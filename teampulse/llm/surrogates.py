@@ -13,13 +13,13 @@ backwards.  Numbers are permuted without punctuation, so one number in two forma
 keeps its identity; letters are permuted in lower case and get their case back.  The
 form of an entity is kept, so that values of different forms stay apart too.
 
-``replaced`` stores its rows and then checks all entities for collisions; it changes
-the key and starts again if there is one.
+``checked`` stores its rows and then looks for collisions over all entities; it
+changes the key and starts again if there is one.
 
 Defined cases: NULL texts stay NULL, empty ones empty; a text without an entity stays
 as it is; of overlapping patterns the first from the left counts, then the first in
 the list; repeated rows are replaced alike; an empty table gives no rows; other
-columns are kept by ``replaced_text`` and not read by ``replaced``.
+columns, whatever their names, are kept.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from teampulse.llm.common import stored
+from teampulse.llm.common import plain_names, stored
 
 KEY = "surrogates-1"
 
@@ -171,32 +171,38 @@ def entity(found: Column, key: str = KEY) -> Column:
     )
 
 
-def replaced_text(docs: DataFrame, text: str = "text", key: str = KEY, entities: str = "entities") -> DataFrame:
-    """All columns of ``docs`` with ``text`` replaced, and an array column of the entities found.
+def replaced_text(docs: DataFrame, text: str, key: str = KEY) -> DataFrame:
+    """All columns of ``docs`` with ``text`` replaced, and an array column ``entities`` of what was found.
 
     The pieces between matches and the matches come from one pattern, so they alternate.
     """
     hit = F.coalesce(F.col(text).rlike(CUE), F.lit(False))
     none = F.array().cast("array<string>")
-    cut = docs.withColumn("__found", F.when(hit, F.regexp_extract_all(F.col(text), F.lit(ENTITY), F.lit(0))).otherwise(none))
-    cut = cut.withColumn("__found", F.transform("__found", lambda m: entity(m, key)))
-    pieces = F.when(F.size("__found") > 0, F.split(F.col(text), ENTITY, -1)).otherwise(none)
-    cut = cut.withColumn("__pieces", pieces)
-    rest = F.transform("__found", lambda e, i: F.concat(e["out"], F.get("__pieces", i + 1)))
-    cut = cut.withColumn(text, F.when(F.size("__found") > 0, F.concat(F.get("__pieces", F.lit(0)), F.array_join(rest, ""))).otherwise(F.col(text)))
-    return cut.withColumn(entities, F.filter("__found", lambda e: e["kind"].isNotNull())).drop("__found", "__pieces")
-
-
-def collisions(found: DataFrame, entities: str = "entities") -> DataFrame:
-    """kind, surrogate of every surrogate that stands for two values or more of its form."""
-    each = found.select(F.explode(entities).alias("e")).select("e.kind", "e.value", "e.surrogate").distinct()
+    cut = docs.withColumn("found", F.when(hit, F.regexp_extract_all(F.col(text), F.lit(ENTITY), F.lit(0))).otherwise(none))
+    cut = cut.withColumn("found", F.transform("found", lambda m: entity(m, key)))
+    pieces = F.when(F.size("found") > 0, F.split(F.col(text), ENTITY, -1)).otherwise(none)
+    cut = cut.withColumn("pieces", pieces)
+    rest = F.transform("found", lambda e, i: F.concat(e["out"], F.get("pieces", i + 1)))
+    cut = cut.withColumn(text, F.when(F.size("found") > 0, F.concat(F.get("pieces", F.lit(0)), F.array_join(rest, ""))).otherwise(F.col(text)))
+    return cut.withColumn("entities", F.filter("found", lambda e: e["kind"].isNotNull())).drop("found", "pieces")
+
+
+def collisions(found: DataFrame) -> DataFrame:
+    """kind, surrogate of every surrogate that stands for two values or more."""
+    each = found.select(F.explode("entities").alias("e")).select("e.kind", "e.value", "e.surrogate").distinct()
     return each.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).where("n > 1").select("kind", "surrogate")
 
 
-def replaced(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with personal data replaced and ``entities``, stored and checked for collisions."""
+def checked(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+    """Columns ``c0``, ``c1``, ... of ``docs`` with ``text`` replaced, and ``entities``, stored and checked for collisions."""
+    own, names = plain_names(docs)
     while True:
-        out = stored(replaced_text(docs, text, key), "surrogates")
+        out = stored(replaced_text(own, own.columns[names.index(text)], key), "surrogates")
         if collisions(out).isEmpty():
             return out
         key += "+"
+
+
+def replaced(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+    """``docs`` with the personal data in ``text`` replaced."""
+    return checked(docs, text, key).drop("entities").toDF(*docs.columns)
