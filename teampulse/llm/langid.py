@@ -2,9 +2,10 @@
 
 Each word between white space has the languages as candidates that write the scripts
 of its letters.  Its score for a candidate is a tempered sum of log probabilities of
-the letters' n-grams.  The best path over a text's words, with a penalty for each switch, labels
-spans, so a few odd words do not break a span and a real passage in another language
-is found.  The predicted language covers most letters.
+each letter with its neighbours, hashed into slots.  The best path over a text's
+words, with a penalty for each switch, labels spans, so a few odd words do not break
+a span and a real passage in another language is found.  The predicted language
+covers most letters.
 
 Most texts have one language.  If no stretch of words gains more than the penalty by
 any other language, no path with a switch can beat the single best language, so the
@@ -21,8 +22,6 @@ are labelled each; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -31,13 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from teampulse.llm.common import map_batches
+from teampulse.llm.words import MIX, mixed, pieces, stretches
 
 UNKNOWN = "und"
-#: Rows expected in the training sample, and n-grams that the model keeps of a language.
+#: Rows expected in the training sample, and trigrams that the model keeps of a language.
 TRAIN_ROWS = 3000
 MODEL_GRAMS = 20_000
-GRAM = 3
-#: Weight of an n-gram's log probability (n-grams overlap), share of the mean
+#: Weight of a trigram's log probability (they overlap), share of the mean
 #: distribution mixed into each language, and the most that a word can hold against one.
 TEMPER, MIXED, CLIP = 0.8, 0.05, 8.0
 #: Cost of a change of language between two words.
@@ -46,12 +45,8 @@ SWITCH = 12.0
 LEAST_SHARE = 0.5
 #: Share of a language's letters from which a script counts as its own.
 SCRIPT_SHARE = 0.02
-#: Words in a worker's cache (fewer with many languages), and letters of a word; a longer one is scored in parts.
-CACHE, LONGEST = 1 << 19, 64
-#: Number signs and letter numbers, which Python counts as word characters but not as letters.
-NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
-WORD = re.compile(rf"\S{{1,{LONGEST}}}")
+#: Slots that trigrams are hashed into, and scores that are held at a time.
+SLOT_BITS, HELD = 20, 1 << 23
 
 # First code points of script ranges.
 SCRIPTS = [
@@ -63,104 +58,126 @@ SCRIPTS = [
     (0x3130, "hangul"), (0x3190, "other"), (0x3400, "han"), (0xA000, "other"), (0xAC00, "hangul"),
     (0xD7B0, "other"), (0xF900, "han"), (0xFB00, "other"), (0x20000, "han"), (0x30000, "other"),
 ]
-_STARTS = [start for start, _ in SCRIPTS]
+NAMES = sorted({name for _, name in SCRIPTS})
 
 
-ASCII_LETTERS = re.compile(r"[A-Za-z]+")
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: is it a letter, is it white space, and the number of its script."""
+    size = 0x110000
+    letter, white, kind = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, np.uint8)
+    for (start, name), end in zip(SCRIPTS, [start for start, _ in SCRIPTS[1:]] + [size]):
+        kind[start:end] = NAMES.index(name)
+    for at in range(0, size, 1 << 14):
+        for i, c in enumerate(map(chr, range(at, at + (1 << 14))), at):
+            letter[i], white[i] = c.isalpha(), c.isspace()
+    return letter, white, kind
 
 
-def letter_runs(word: str) -> list[str]:
-    if word.isalpha():
-        return [word]
-    return (ASCII_LETTERS if word.isascii() else LETTERS).findall(word)
+LETTER, WHITE, KIND = _tables()
 
 
-def script(word: str) -> str:
-    return SCRIPTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts in lower case with a line break after each, and where each starts.
 
+    Capitals whose lower case is longer stay as they are, so that places stay right.
+    """
+    lower = [t.lower() for t in texts]
+    lower = [a if len(a) == len(t) else "".join(c.lower() if len(c.lower()) == 1 else c for c in t) for a, t in zip(lower, texts)]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    data = "\n".join([*lower, ""]).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(data, "<u4"), np.cumsum(sizes) - sizes
 
-def grams(run: str) -> list[str]:
-    """Character n-grams of a run of letters with its ends marked."""
-    marked = f"^{run.lower()}$"
-    return [marked[k : k + GRAM] for k in range(max(1, len(marked) - GRAM + 1))]
+
+def slots(points: np.ndarray, letter: np.ndarray) -> np.ndarray:
+    """A slot for each letter, from it and its neighbours; the ends of a run of letters count as one sign."""
+    inner = np.where(letter, points, 0).astype(np.uint64)
+    before = np.concatenate([np.zeros(1, np.uint64), inner[:-1]])
+    after = np.concatenate([inner[1:], np.zeros(1, np.uint64)])
+    keys = (before << np.uint64(42) | inner << np.uint64(21) | after)[letter]
+    return (mixed(keys * MIX[1]) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
 
 
 class Model:
-    """Log probabilities of n-grams by language, and the languages of each script."""
+    """Log probabilities of trigram slots by language, and the languages of each script."""
 
-    def __init__(self, counts: dict[tuple[str, str], int], scripts: dict[tuple[str, str], int]):
-        """``counts`` by (language, n-gram), ``scripts`` letters by (language, script)."""
+    def __init__(self, counts: dict[tuple[str, int], int], scripts: dict[tuple[str, int], int]):
+        """``counts`` by (language, slot), ``scripts`` letters by (language, number of the script)."""
         self.languages = sorted({lang for lang, _ in counts})
         at = {lang: i for i, lang in enumerate(self.languages)}
-        self.grams = {g: i for i, g in enumerate(sorted({g for _, g in counts}))}
-        table = np.zeros((len(self.grams), len(at)))
-        for (lang, g), n in counts.items():
-            table[self.grams[g], at[lang]] = n
+        known = sorted({slot for _, slot in counts})
+        row = {slot: i for i, slot in enumerate(known)}
+        self.rows = np.full(1 << SLOT_BITS, len(known), np.int32)
+        self.rows[known] = np.arange(len(known))
+        table = np.zeros((len(known), len(at)))
+        for (lang, slot), n in counts.items():
+            table[row[slot], at[lang]] = n
         share = table / np.maximum(1, table.sum(0))
-        share = (1 - MIXED) * share + MIXED * share.mean(1, keepdims=True)
+        share = (1 - MIXED) * share + MIXED * share.mean(1, keepdims=True) if at else share
         self.logs = np.vstack([TEMPER * np.log(np.maximum(share, 1e-12)), np.zeros((1, len(at)))]).astype(np.float32)
         letters = Counter()
         for (lang, _), n in scripts.items():
             letters[lang] += n
-        self.allowed = {}
+        writes = np.zeros((len(NAMES), len(at)), bool)
         for (lang, kind), n in scripts.items():
             if lang in at and n >= SCRIPT_SHARE * letters[lang]:
-                self.allowed.setdefault(kind, np.zeros(len(at), bool))[at[lang]] = True
-        self.every = np.ones(len(at), bool)
-        self.allowed = {kind: self.every if allowed.all() else allowed for kind, allowed in self.allowed.items()}
+                writes[kind, at[lang]] = True
+        self.written = writes.any(1)  # scripts that some language writes
+        self.barred = np.where(writes | ~self.written[:, None], 0, -4 * CLIP).astype(np.float32)
 
 
 class Labeller:
-    """Labels texts with a model; keeps the scores of words in a bounded cache."""
+    """Labels texts with a model."""
 
     def __init__(self, model: Model):
-        self.model, self.rows = model, {}
-        self.most = min(CACHE, (1 << 24) // max(1, len(model.languages)))
-        self.table = np.zeros((1 << 12, len(model.languages)), np.float32)
-        self.letters = np.zeros(1 << 12, np.int64)  # of a word in a script of some language, else 0
-        self.sizes = np.zeros(1 << 12, np.int64)
-
-    def places(self, words: list[str]) -> np.ndarray:
-        """The cache row of each word; new words are scored first."""
-        rows = self.rows
-        new = [w for w in dict.fromkeys(words) if w not in rows]
-        if len(rows) + len(new) > self.most:
-            rows.clear()
-            new = list(dict.fromkeys(words))
-        while len(rows) + len(new) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        for at in range(0, len(new), 4096):
-            self._score(new[at : at + 4096])
-        return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-
-    def _score(self, words: list[str]) -> None:
-        """Rows of scores: 0 for a word's best candidate, down to -CLIP for others."""
-        unknown, known, latin = len(self.model.grams), self.model.grams.get, self.model.allowed.get("latin")
-        ids, starts, barred, first, every = [], [], [], len(self.rows), self.model.every
-        all_letters, own_letters = [], []
-        for i, w in enumerate(words):
-            starts.append(len(ids))
-            letters = own = 0
-            for run in letter_runs(w):
-                allowed = latin if run.isascii() else self.model.allowed.get(script(run))
-                letters += len(run)
-                if allowed is not None:
-                    own += len(run)
-                    ids += [known(g, unknown) for g in grams(run)]
-                    if allowed is not every:
-                        barred.append((i, ~allowed))
-            ids.append(unknown)
-            all_letters.append(letters)
-            own_letters.append(own)
-        last = first + len(words)
-        self.rows.update(zip(words, range(first, last)))
-        self.sizes[first:last], self.letters[first:last] = all_letters, own_letters
-        sums = np.add.reduceat(self.model.logs[ids], starts, axis=0)
-        for i, out in barred:
-            sums[i, out] -= 4 * CLIP
-        self.table[first:last] = np.maximum(sums - sums.max(1, keepdims=True), -CLIP)
+        self.model = model
+        self.size = max(1 << 12, min(1 << 19, HELD // max(1, len(model.languages))))
+
+    def words(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: its start, score for each language from 0 (its best) to -CLIP, letters, and letters that count."""
+        model = self.model
+        starts, _ = stretches(~WHITE[points])
+        letter = LETTER[points]
+        before = np.concatenate([[0], np.cumsum(letter)])
+        firsts, ends = before[starts], np.concatenate([before[starts[1:]], before[-1:]])
+        kinds = KIND[points[letter]]
+        sums = model.logs[model.rows[slots(points, letter)]]
+        if model.barred[np.unique(kinds)].any():
+            sums = sums + model.barred[kinds]
+        counts = model.written[kinds]
+        sums[~counts] = 0
+        sums = np.vstack([sums, np.zeros((1, sums.shape[1]), sums.dtype)])
+        sums = np.add.reduceat(sums, firsts, axis=0) if len(firsts) else sums[:0]
+        sums[firsts == ends] = 0
+        own = np.concatenate([[0], np.cumsum(counts)])
+        return starts, np.maximum(sums - sums.max(1, keepdims=True), -CLIP), ends - firsts, own[ends] - own[firsts]
+
+    def label(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
+        """Predicted language, share of letters in its spans, and the spans with their code point ranges."""
+        model = self.model
+        if not model.languages or not texts:
+            return [(UNKNOWN, 0.0, []) for _ in texts]
+        points, firsts = code_points(texts)
+        parts = []
+        for at, end in pieces(points, WHITE[points], self.size):
+            starts, *rest = self.words(points[at:end])
+            parts.append((starts + at, *rest))
+        starts, scores, letters, own = (np.concatenate(x) for x in zip(*parts))
+        cuts = np.searchsorted(starts, [*firsts, len(points)])
+        totals = np.concatenate([[0], np.cumsum(letters)])
+        out = []
+        for text, first, a, b in zip(texts, firsts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            total = int(totals[b] - totals[a])
+            if not total:
+                out.append((UNKNOWN, 0.0, []))
+                continue
+            path = self.path(scores[a:b])
+            held = np.bincount(path, own[a:b], minlength=len(model.languages))
+            best = int(held.argmax())
+            turns = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist()]
+            places = [int(starts[a + i]) - first for i in turns]
+            spans = [{"lang": model.languages[path[i]], "start": x, "end": y} for i, x, y in zip(turns, places, [*places[1:], len(text)])]
+            out.append((model.languages[best], float(held[best] / total), spans))
+        return out
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The language index of each word on the best path."""
@@ -181,54 +198,28 @@ class Labeller:
             state = int(back[i, state])
         return out
 
-    def label(self, text: str | None) -> tuple[str, float, list[dict]]:
-        """Predicted language, share of letters in its spans, and the spans with their code point ranges."""
-        words = (text or "").split()
-        try:
-            places = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            if max(map(len, words)) > LONGEST:
-                words = WORD.findall(text)
-            places = self.places(words)
-        total = self.sizes[places].sum()
-        if not total or not self.model.languages:
-            return UNKNOWN, 0.0, []
-        path = self.path(self.table[places])
-        letters = np.bincount(path, self.letters[places], minlength=len(self.model.languages))
-        best = int(letters.argmax())
-        return self.model.languages[best], float(letters[best] / total), self.spans(text, path)
-
-    def spans(self, text: str, path: np.ndarray) -> list[dict]:
-        firsts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist()]
-        if len(firsts) == 1:
-            starts = [WORD.search(text).start()]
-        else:
-            wanted = set(firsts)
-            starts = [m.start() for i, m in enumerate(WORD.finditer(text)) if i in wanted]
-        ends = [*starts[1:], len(text)]
-        return [{"lang": self.model.languages[path[i]], "start": a, "end": b} for i, a, b in zip(firsts, starts, ends)]
-
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TRAIN_ROWS) -> Model:
     """A model from a sample of about ``limit`` labelled rows."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            seen = Counter()
+            seen = {}
             for of, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w, n in Counter(run for word in WORD.findall(t) for run in letter_runs(word)).items():
-                    seen[of, "script", script(w)] += n * len(w)
-                    for g in grams(w):
-                        seen[of, "gram", g] += n
-            keys = list(zip(*seen)) or [(), (), ()]
-            arrays = [pa.array(k, pa.string()) for k in keys] + [pa.array(seen.values(), pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", "kind", "item", "n"])
+                points, _ = code_points([t])
+                for at, end in pieces(points, WHITE[points]):
+                    letter = LETTER[points[at:end]]
+                    for kind, items in ("script", KIND[points[at:end][letter]]), ("gram", slots(points[at:end], letter)):
+                        seen.setdefault((of, kind), Counter()).update(dict(zip(*(x.tolist() for x in np.unique(items, return_counts=True)))))
+            rows = [(of, kind, item, n) for (of, kind), c in seen.items() for item, n in c.items()]
+            kinds = pa.string(), pa.string(), pa.int64(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [(), (), (), ()], kinds)], names=["lang", "kind", "item", "n"])
 
         return step
 
     labelled = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     share = min(1.0, limit / max(1, labelled.count()))
-    seen = map_batches(labelled.sample(False, share, 11), make, "lang string, kind string, item string, n long")
+    seen = map_batches(labelled.sample(False, share, 11), make, "lang string, kind string, item long, n long")
     seen = seen.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
     # the sample bounds the rows of a language here
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
@@ -248,7 +239,7 @@ def labelled(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
         label = Labeller(shared.value).label
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = list(zip(*map(label, batch.column(at).to_pylist()))) or [(), (), ()]
+            found = list(zip(*label([t or "" for t in batch.column(at).to_pylist()]))) or [(), (), ()]
             kinds = pa.string(), pa.float64(), pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(f, k) for f, k in zip(found, kinds)]
             return pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
