@@ -9,7 +9,7 @@ A replacement is a keyed permutation of the values of one form, so two values ne
 share a replacement and one value has the same everywhere, with no table to join:
 every character moves within its own class (digits, vowels, consonants, ... of its
 script) by a keyed hash of the characters already written, once forwards and once
-backwards.  Numbers are permuted without punctuation, so one number in two formats
+backwards, and the first one always changes.  Numbers are permuted without punctuation, so one number in two formats
 keeps its identity; letters are permuted in lower case and get their case back.  The
 form of an entity is kept, so that values of different forms stay apart too.
 
@@ -75,20 +75,34 @@ def _chars(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
-def _pass(text: Column, key: str, classes: list[str]) -> Column:
-    """Moves each character within its class by a hash of what is written before it."""
+def _pass(text: Column, key: str, classes: list[str], lead: Column, moves: bool) -> Column:
+    """Moves each character within its class by a hash of what is written before it.
+
+    The character at ``lead`` moves by one place or more if ``moves``, else it stays.
+    """
 
     def step(out: Column, c: Column) -> Column:
-        by = _hash(key, out)
-        moved = [F.when(F.instr(F.lit(k), c) > 0, F.substring(F.lit(k), F.pmod(F.instr(F.lit(k), c) - 1 + by, F.lit(len(k))).cast("int") + 1, F.lit(1))) for k in classes]
-        return F.concat(out, F.coalesce(*moved, c))
+        by, first = _hash(key, out), F.length(out) + 1 == lead
+
+        def moved(k: str) -> Column:
+            at = F.instr(F.lit(k), c)
+            turn = F.when(first, (1 + F.pmod(by, F.lit(len(k) - 1))) if moves else F.lit(0).cast("long")).otherwise(by)
+            return F.when(at > 0, F.substring(F.lit(k), F.pmod(at - 1 + turn, F.lit(len(k))).cast("int") + 1, F.lit(1)))
+
+        return F.concat(out, F.coalesce(*map(moved, classes), c))
 
     return F.aggregate(_chars(text), F.lit(""), step)
 
 
 def permuted(text: Column, key: str, classes: list[str] = CLASSES) -> Column:
-    """A keyed permutation of the texts of one form."""
-    return F.reverse(_pass(F.reverse(_pass(text, key + "/forwards", classes)), key + "/backwards", classes))
+    """A keyed permutation of the texts of one form, which leaves none as it is.
+
+    The first character of a class changes on the way forwards and stays on the way
+    back.
+    """
+    lead = F.regexp_instr(text, F.lit("[" + "".join(classes) + "]"))
+    forwards = _pass(text, key + "/forwards", classes, lead, True)
+    return F.reverse(_pass(F.reverse(forwards), key + "/backwards", classes, F.length(text) + 1 - lead, False))
 
 
 def _digits(text: Column) -> Column:
@@ -146,10 +160,16 @@ def entity(found: Column, key: str = KEY) -> Column:
     named = F.array_join(F.transform(shown, lambda w, i: F.concat(F.get(gaps, i), w)), "")
 
     bytes_ = F.transform(F.split(found, r"\."), lambda x: x.cast("int"))
-    turn = lambda of, k: F.aggregate(
-        of, F.array().cast("array<int>"), lambda out, b: F.concat(out, F.array(F.pmod(b + _hash(f"{key}/ip/{k}", F.array_join(out.cast("array<string>"), ".")), F.lit(256)).cast("int")))
-    )
-    address = F.array_join(F.reverse(turn(F.reverse(turn(bytes_, 0)), 1)).cast("array<string>"), ".")
+
+    def turned(of: Column, way: str) -> Column:
+        def step(out: Column, b: Column) -> Column:
+            by, n = _hash(f"{key}/ip/{way}", F.array_join(out.cast("array<string>"), ".")), F.size(out)
+            by = F.when(n == 0, 1 + F.pmod(by, F.lit(255))).otherwise(by) if way == "forwards" else F.when(n == 3, F.lit(0).cast("long")).otherwise(by)
+            return F.concat(out, F.array(F.pmod(b + by, F.lit(256)).cast("int")))
+
+        return F.aggregate(of, F.array().cast("array<int>"), step)
+
+    address = F.array_join(F.reverse(turned(F.reverse(turned(bytes_, "forwards")), "backwards")).cast("array<string>"), ".")
 
     body = permuted(F.substring(digits, F.lit(1), F.length(digits) - 1), key + "/card")
     card = F.concat(body, F.pmod(F.lit(0) - _check_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
