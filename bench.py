@@ -46,7 +46,11 @@ def main() -> None:
     run(b.table("nation"))  # the first job also starts the executors
 
     # the whole weekly run, raw tables to stored reports
-    timed("weekly_run", lambda: P.run_weekly(spark, b.path("store"), X.raw_tables(spark, sf_dir), X.AS_OF))
+    raw, root = X.raw_tables(spark, sf_dir), b.path("store")
+    out = timed("weekly_run", lambda: P.run_weekly(spark, root, raw, X.AS_OF))
+    exports = ("manager_list", "top_performers", "top_movers", "action_points", "pdf_blocks", "team_detail", "summary", "top3")
+    timed("weekly_exports", lambda: [run(out[name]) for name in exports])
+    timed("monthly_run", lambda: P.run_monthly(P.Store(spark, root), raw, X.AS_OF))
 
     # the grid of members by years of weeks: full build against a run with a lookback of four weeks
     keys = P.WEEKLY_KEYS

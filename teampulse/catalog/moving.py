@@ -12,6 +12,7 @@ from teampulse.catalog.base import MEMBER, WEEK, Base, query
 from teampulse.operators import incremental as I
 from teampulse.operators import quality as Q
 from teampulse.operators.grid import weeks_from_calendar
+from teampulse.plans import checks as CH
 from teampulse.plans import engagement as E
 from teampulse.plans import exports as XP
 from teampulse.plans import metrics as M
@@ -143,15 +144,19 @@ def _(b: Base):
 @query(
     "upsert_schema_sync",
     """
-    SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+    SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_custkey END AS o_custkey FROM orders""",
 )
 def _(b: Base):
-    """The second batch drops one column and brings another."""
+    """The second batch drops one column and brings another; in the third the dropped one is back, empty in older rows."""
     path, rows = b.path("orders"), b.table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
-    old = F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1))
-    tables.upsert(b.spark, path, rows.where(old).select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderkey"], "o_orderdate")
-    batch = rows.where(~old).select("o_orderkey", "o_orderdate", "o_orderpriority")
-    return tables.upsert(b.spark, path, batch, ["o_orderkey"], "o_orderdate").drop("month")
+    first, second = (F.lit(dt.datetime(y, 1, 1)) for y in (1997, 1998))
+    at, key = F.col("o_orderdate"), ["o_orderkey"]
+    tables.upsert(b.spark, path, rows.where(at < first).select("o_orderkey", "o_custkey", "o_orderdate"), key, "o_orderdate")
+    batch = rows.where((at >= first) & (at < second)).select("o_orderkey", "o_orderdate", "o_orderpriority")
+    tables.upsert(b.spark, path, batch, key, "o_orderdate")
+    batch = rows.where(at >= second).select("o_orderkey", "o_orderdate", "o_orderpriority", "o_custkey")
+    return tables.upsert(b.spark, path, batch, key, "o_orderdate").drop("month")
 
 
 @query(
@@ -484,7 +489,8 @@ def _(b: Base):
     """
     SELECT AVG(classes_attended) AS avg_classes_attended, AVG(lessons_completed) AS avg_lessons_completed, AVG(likes_received) AS avg_likes_received,
            AVG(comments_received) AS avg_comments_received, AVG(comments_made) AS avg_comments_made,
-           COUNT(*) FILTER (WHERE has_activity) * 100.0 / COUNT(*) AS pct_with_activity, TRUE AS all_non_negative
+           COUNT(*) FILTER (WHERE has_activity) * 100.0 / COUNT(*) AS pct_with_activity,
+           least(MIN(classes_attended), MIN(lessons_completed), MIN(likes_received), MIN(comments_received), MIN(comments_made)) >= 0 AS all_non_negative
     FROM fx_engagement""",
 )
 def _(b: Base):
@@ -511,12 +517,75 @@ def _(b: Base):
 
 @query(
     "dq_no_shrink",
-    "SELECT COUNT(*) FILTER (WHERE week_start_date < DATE '2024-01-29') AS rows_before, COUNT(*) AS rows_after, TRUE AS passed FROM fx_grid",
+    """
+    SELECT COUNT(*) FILTER (WHERE week_start_date < DATE '2024-01-29') AS rows_before, COUNT(*) AS rows_after,
+           COUNT(*) >= COUNT(*) FILTER (WHERE week_start_date < DATE '2024-01-29') AS passed FROM fx_grid""",
 )
 def _(b: Base):
     return Q.did_not_shrink(b.engagement.where(F.col(WEEK) < F.lit(dt.date(2024, 1, 29))), b.engagement)
 
 
+@query(
+    "dq_required",
+    """
+    SELECT event_id, concat_ws(', ', CASE WHEN user_id % 7 = 0 THEN 'user_id' END, CASE WHEN event_id % 11 = 0 THEN 'ts' END) AS missing_fields
+    FROM events WHERE user_id % 7 = 0 OR event_id % 11 = 0""",
+)
+def _(b: Base):
+    """Rows that lack a field of the key contract; the gaps are planted."""
+    user = F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("user_id")
+    rows = b.table("events").select("event_id", user, F.when(F.col("event_id") % 11 != 0, F.col("ts")).alias("ts"))
+    return Q.missing_keys(rows, ["event_id", "user_id", "ts"]).select("event_id", "missing_fields")
+
+
+LOG_SQL = """
+    SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE 'd' || (event_id - event_id % 2) END AS delivery_id,
+           CASE WHEN event_id % 13 = 0 THEN NULL ELSE 'm' || user_id END AS manager_email,
+           CASE event_type WHEN 'view' THEN 'weekly' WHEN 'click' THEN 'monthly' ELSE 'daily' END AS report_type,
+           CAST(ts AS DATE) AS week_start_date, ts AS sent_at, CASE WHEN event_id % 7 = 0 THEN 'lost' ELSE 'sent' END AS delivery_status FROM events"""
+WEEKS_SQL = """
+    SELECT m AS community_member_id, wk AS week_start_date FROM (SELECT DISTINCT o_custkey AS m, CAST(date_trunc('week', o_orderdate) AS DATE) AS wk FROM orders)"""
+
+
+@query(
+    "run_checks",
+    f"""
+    WITH l AS ({LOG_SQL}), w AS ({WEEKS_SQL}), e AS (SELECT * FROM w UNION ALL SELECT * FROM w WHERE community_member_id % 5 = 0),
+         f AS (SELECT date_diff('day', lag(week_start_date) OVER (PARTITION BY community_member_id ORDER BY week_start_date), week_start_date) AS gap FROM e)
+    SELECT *, failing_rows = 0 AS passed FROM (
+      SELECT 'not_null' AS check_name, 'delivery_log' AS table_name, 'delivery_id' AS column_name, COUNT(*) FILTER (WHERE delivery_id IS NULL) AS failing_rows FROM l
+      UNION ALL SELECT 'not_null', 'delivery_log', 'manager_email', COUNT(*) FILTER (WHERE manager_email IS NULL) FROM l
+      UNION ALL SELECT 'not_null', 'delivery_log', 'report_type', COUNT(*) FILTER (WHERE report_type IS NULL) FROM l
+      UNION ALL SELECT 'not_null', 'delivery_log', 'week_start_date', COUNT(*) FILTER (WHERE week_start_date IS NULL) FROM l
+      UNION ALL SELECT 'not_null', 'delivery_log', 'sent_at', COUNT(*) FILTER (WHERE sent_at IS NULL) FROM l
+      UNION ALL SELECT 'not_null', 'delivery_log', 'delivery_status', COUNT(*) FILTER (WHERE delivery_status IS NULL) FROM l
+      UNION ALL SELECT 'unique', 'delivery_log', 'delivery_id', COUNT(*) FROM (SELECT 1 FROM l WHERE delivery_id IS NOT NULL GROUP BY delivery_id HAVING COUNT(*) > 1)
+      UNION ALL SELECT 'accepted_values', 'delivery_log', 'report_type', COUNT(*) FILTER (WHERE report_type NOT IN ('weekly', 'monthly')) FROM l
+      UNION ALL SELECT 'accepted_values', 'delivery_log', 'delivery_status', COUNT(*) FILTER (WHERE delivery_status NOT IN ('sent', 'failed', 'bounced')) FROM l
+      UNION ALL SELECT 'not_null', 'engagement', 'community_member_id', COUNT(*) FILTER (WHERE community_member_id IS NULL) FROM e
+      UNION ALL SELECT 'not_null', 'engagement', 'week_start_date', COUNT(*) FILTER (WHERE week_start_date IS NULL) FROM e
+      UNION ALL SELECT 'unique', 'engagement', 'community_member_id, week_start_date', COUNT(*) FROM (SELECT 1 FROM e GROUP BY ALL HAVING COUNT(*) > 1)
+      UNION ALL SELECT 'week_gaps', 'engagement', 'week_start_date', COUNT(*) FILTER (WHERE gap > 7) FROM f
+      UNION ALL SELECT 'no_shrink', 'engagement', 'week_start_date', greatest((SELECT COUNT(*) FROM orders) * 2 - COUNT(*), 0) FROM e)""".replace("GROUP BY ALL", "GROUP BY community_member_id, week_start_date"),
+)
+def _(b: Base):
+    """All declared checks over a log and an engagement table with planted faults."""
+    from teampulse.functions.dates import week_start
+
+    even = F.col("event_id") - F.col("event_id") % 2
+    log = b.table("events").select(
+        F.when(F.col("event_id") % 97 != 0, F.concat(F.lit("d"), even)).alias("delivery_id"),
+        F.when(F.col("event_id") % 13 != 0, F.concat(F.lit("m"), "user_id")).alias("manager_email"),
+        F.when(F.col("event_type") == "view", "weekly").when(F.col("event_type") == "click", "monthly").otherwise("daily").alias("report_type"),
+        F.to_date("ts").alias(WEEK),
+        F.col("ts").alias("sent_at"),
+        F.when(F.col("event_id") % 7 == 0, "lost").otherwise("sent").alias("delivery_status"),
+    )
+    weeks = b.table("orders").select(F.col("o_custkey").alias(MEMBER), week_start("o_orderdate").alias(WEEK)).distinct()
+    twice = weeks.unionByName(weeks.where(F.col(MEMBER) % 5 == 0))
+    return CH.findings({"delivery_log": log, "engagement": twice}, {"engagement": 2 * b.table("orders").count()})
+
+
 def _updated(b: Base):
     """Grid rows with the time their week was written."""
     rows = _grid(b).select(MEMBER, "email", "is_backfill", F.explode("__weeks").alias(WEEK))

@@ -206,15 +206,18 @@ def _(b: Base):
 @query(
     "ts_multi_format",
     """
-    SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ts WHEN event_id % 3 = 1 THEN date_trunc('second', ts) END AS parsed FROM events""",
-)
-def _(b: Base):
-    e, ts = F.col("event_id"), F.col("ts")
-    text = (
-        F.when(e % 3 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-        .when(e % 3 == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX"))
-        .otherwise(F.date_format(ts, "dd/MM/yyyy"))
-    )
+    SELECT event_id, CASE WHEN event_id % 6 IN (0, 3) THEN ts WHEN event_id % 6 IN (1, 4) THEN date_trunc('second', ts)
+           WHEN event_id % 6 = 2 THEN date_trunc('millisecond', ts) END AS parsed FROM events""",
+)
+def _(b: Base):
+    e, ts = F.col("event_id") % 6, F.col("ts")
+    forms = {0: "ss.SSSSSSXXX", 1: "ssXXX", 2: "ss.SSSXX", 3: "ss.SSSSSSXX", 4: "ssXX"}
+    text = F.date_format(ts, "dd/MM/yyyy")
+    for k, form in forms.items():
+        # a zero offset is written as digits too, not as a letter only
+        written = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:" + form)
+        digits = F.regexp_replace(written, "Z$", "+00:00" if form.endswith("XXX") else "+0000")
+        text = F.when(e == k, digits).otherwise(text)
     return _ts(b).select("event_id", D.parse_cursor(text).alias("parsed"))
 
 

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from teampulse.functions.text import _col
 
-# Cursor formats the feeds use: with and without fractional seconds.
-CURSOR_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss.[SSSSSS][SSS]XXX", "yyyy-MM-dd'T'HH:mm:ssXXX")
+# Cursor formats the feeds use: with and without fractional seconds, offsets with and without a colon.
+CURSOR_FORMATS = (
+    "yyyy-MM-dd'T'HH:mm:ss.[SSSSSS][SSS]XXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.[SSSSSS][SSS]XX",
+    "yyyy-MM-dd'T'HH:mm:ssXX",
+)
 STRICT_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?Z$"
 
 

@@ -19,6 +19,13 @@ def _max(df: DataFrame | None, column: str):
     return None if df is None else df.agg(F.max(column)).head()[0]
 
 
+def _newest(df: DataFrame | None, column: str):
+    """Largest date of a table in month folders by that date: it lies in the newest folder."""
+    if df is not None and "month" in df.columns and column != "month":
+        df = df.where(F.col("month") == df.agg(F.max("month")).scalar())
+    return _max(df, column)
+
+
 def newly_extracted(raw: DataFrame, newest: dt.datetime | Column | None, lookback: dt.timedelta = dt.timedelta(days=1)):
     """Rows extracted since the target's newest extraction, with a lookback; all rows without one."""
     if newest is None:
@@ -36,11 +43,11 @@ def extraction_mark(target: DataFrame | None) -> dt.datetime | None:
 
 def weeks_since(target: DataFrame | None, weeks: int = 4) -> dt.date | None:
     """First week to count again; None for everything."""
-    newest = _max(target, WEEK)
+    newest = _newest(target, WEEK)
     return None if newest is None else newest - dt.timedelta(weeks=weeks)
 
 
 def months_since(target: DataFrame | None, column: str = "month_start_date") -> dt.date | None:
     """First month to count again: the one before the newest."""
-    newest = _max(target, column)
+    newest = _newest(target, column)
     return None if newest is None else (newest.replace(day=1) - dt.timedelta(days=1)).replace(day=1)

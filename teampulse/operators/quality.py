@@ -16,7 +16,16 @@ def missing_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.unpivot([], columns, "column_name", "null_rows")
 
 
+def missing_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that lack a field which the key contract requires, with the missing fields' names."""
+    names = F.filter(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]), lambda n: n.isNotNull())
+    return df.withColumn("missing_fields", F.array_join(names, ", ")).where(F.col("missing_fields") != "")
+
+
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of more than one row; keys with a NULL are for :func:`missing_values`."""
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
@@ -34,7 +43,9 @@ def row_count_difference(before: DataFrame, after: DataFrame, tolerance: float =
 
 
 def week_gaps(engagement: DataFrame, since: Column | None = None) -> DataFrame:
-    """Members whose stored weeks are more than seven days apart."""
+    """Members whose stored weeks are more than seven days apart, from the week ``since`` on."""
+    if since is not None:
+        engagement = engagement.where(F.col(WEEK) >= since)
     w = Window.partitionBy(MEMBER).orderBy(WEEK)
     gap = F.datediff(WEEK, "previous_week").cast("bigint")
     rows = engagement.select(MEMBER, WEEK, F.lag(WEEK).over(w).alias("previous_week"))

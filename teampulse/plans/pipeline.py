@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from teampulse.functions.rules import METRICS
 from teampulse.operators import incremental as I
 from teampulse.operators.grid import MEMBER, WEEK
+from teampulse.plans import checks as CH
 from teampulse.plans import engagement as E
 from teampulse.plans import exports as X
 from teampulse.plans import metrics as M
@@ -22,6 +23,7 @@ from teampulse.plans import monthly as MO
 from teampulse.plans import relations as B
 from teampulse.plans import reports as W
 from teampulse.plans import staging as C
+from teampulse.session import run_scratch
 from teampulse.sources import tables
 
 # layer of each stored table, as folder names below the root
@@ -37,6 +39,7 @@ FEEDS = {
     "course_completed": ("courses", C.clean_courses, ["initiator_email", "course_id"], ["created_at", "record_id"]),
 }
 WEEKLY_KEYS = [MEMBER, WEEK]
+UPDATED, REPORTED = "updated_at", "report_generated_at"
 
 
 @dataclass
@@ -97,18 +100,28 @@ def load_weekly(store: Store, feeds: dict[str, DataFrame], full_refresh: bool =
 
 def load_engagement(
     store: Store, members: DataFrame, weekly: dict[str, DataFrame], as_of: dt.date, full_refresh: bool = False,
-    spine: str = "activity",
+    spine: str = "activity", run_ts: dt.datetime | None = None,
 ) -> DataFrame:
-    """Full build on the first run or on request, else recent weeks and backfills."""
+    """Full build on the first run or on request, else recent weeks and backfills.
+
+    ``updated_at`` is the time of the run that wrote a row.
+    """
     target = None if full_refresh else store.read_or_none(INTERMEDIATE, "engagement")
     path = store.path(INTERMEDIATE, "engagement")
+    stamp = F.lit(run_time(as_of, run_ts)).alias(UPDATED)
     if target is None:
-        return tables.replace_table(E.engagement_full(members, weekly, spine, as_of), path, WEEK, WEEKLY_KEYS)
+        rows = E.engagement_full(members, weekly, spine, as_of).select("*", stamp)
+        return tables.replace_table(rows, path, WEEK, WEEKLY_KEYS)
     newest = I.weeks_since(target, 0)
-    changes = E.engagement_changes(members, weekly, target, newest, as_of)
+    changes = E.engagement_changes(members, weekly, target, newest, as_of).select("*", stamp)
     return tables.upsert(store.spark, path, changes, WEEKLY_KEYS, WEEK, WEEKLY_KEYS)
 
 
+def run_time(as_of: dt.date, run_ts: dt.datetime | None) -> dt.datetime:
+    """The given time of the run, else midnight of its day; plans never ask for the current time."""
+    return run_ts or dt.datetime.combine(as_of, dt.time(), dt.timezone.utc)
+
+
 def load_relations(store: Store, members: DataFrame, raw: dict[str, DataFrame], as_of, staff_tag=None) -> dict:
     tags = store.flat(STAGING, "tags", C.clean_tags(raw["member_tags_list"], as_of, staff_tag))
     invited = C.clean_invited_managers(raw["managers_not_joined"])
@@ -119,10 +132,30 @@ def load_relations(store: Store, members: DataFrame, raw: dict[str, DataFrame],
         "tags": tags,
         "businesses": businesses,
         "relationships": relations,
-        "businesses_without_managers": B.businesses_without_managers(businesses, relations, members, tags),
+        "businesses_without_managers": store.flat(
+            MARTS, "businesses_without_managers", B.businesses_without_managers(businesses, relations, members, tags)
+        ),
     }
 
 
+@dataclass
+class Loaded:
+    """Tables that the weekly and the monthly run share."""
+
+    members: DataFrame
+    feeds: dict[str, DataFrame]
+    related: dict[str, DataFrame]
+
+
+def refresh(
+    store: Store, raw: dict[str, DataFrame], as_of: dt.date, full_refresh: bool = False, staff_tag: str | None = None
+) -> Loaded:
+    """Take in what was extracted since the last run of either kind."""
+    members = store.flat(STAGING, "members", C.clean_members(raw["community_members"], as_of))
+    feeds = load_feeds(store, raw, full_refresh)
+    return Loaded(members, feeds, load_relations(store, members, raw, as_of, staff_tag))
+
+
 def run_weekly(
     spark: SparkSession,
     root: str,
@@ -131,32 +164,38 @@ def run_weekly(
     full_refresh: bool = False,
     staff_tag: str | None = None,
     spine: str = "activity",
+    run_ts: dt.datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """One weekly run over the raw tables; returns the stored tables and the exports."""
+    """One weekly run over the raw tables; returns the stored tables, the findings and the exports."""
     store = Store(spark, root)
-    members = store.flat(STAGING, "members", C.clean_members(raw["community_members"], as_of))
-    feeds = load_feeds(store, raw, full_refresh)
-    weekly = load_weekly(store, feeds, full_refresh)
-    people = C.unique_members(members)
-    engagement = load_engagement(store, people, weekly, as_of, full_refresh, spine)
-    related = load_relations(store, members, raw, as_of, staff_tag)
-    relations = related["relationships"]
-
-    def report(name: str, df: DataFrame) -> DataFrame:
-        return tables.replace_table(df, store.path(MARTS, name), WEEK, ["manager_email", WEEK], many_months=False)
-
-    # rows of the newest week; the week before is in their ``previous`` column
-    team = report("team", W.team_engagement(relations, engagement, as_of, keep_weeks=1))
-    rankings = report("rankings", W.manager_rankings(team, relations))
-    detail = report("detail", W.team_detail(team))
+    with run_scratch(spark, root):
+        before = {} if full_refresh else _sizes(store, [(INTERMEDIATE, "engagement")])
+        loaded = refresh(store, raw, as_of, full_refresh, staff_tag)
+        weekly = load_weekly(store, loaded.feeds, full_refresh)
+        people = C.unique_members(loaded.members)
+        engagement = load_engagement(store, people, weekly, as_of, full_refresh, spine, run_ts)
+        relations = loaded.related["relationships"]
+        stamp = F.lit(run_time(as_of, run_ts)).alias(REPORTED)
+
+        def report(name: str, df: DataFrame) -> DataFrame:
+            return tables.replace_table(df, store.path(MARTS, name), WEEK, ["manager_email", WEEK], many_months=False)
+
+        # rows of the newest week; the week before is in their ``previous`` column
+        team = report("team", W.team_engagement(relations, engagement, as_of, keep_weeks=1))
+        rankings = report("rankings", W.manager_rankings(team, relations).select("*", stamp))
+        detail = report("detail", W.team_detail(team).select("*", stamp))
+        nested = report("nested", W.manager_report_nested(team, relations).select("*", stamp))
+        checked = {"engagement": engagement, "rankings": rankings, "detail": detail}
+        found = store.flat(MARTS, "weekly_findings", CH.findings(checked, before))
     return {
-        **related,
-        "members": members,
+        **loaded.related,
+        "members": loaded.members,
         "engagement": engagement,
         "team": team,
         "rankings": rankings,
         "detail": detail,
-        "nested": W.manager_report_nested(team, relations),
+        "nested": nested,
+        "findings": found,
         "manager_list": X.manager_list(rankings),
         "top_performers": X.top_performers(rankings),
         "top_movers": X.top_movers(rankings),
@@ -165,20 +204,37 @@ def run_weekly(
         "team_detail": X.team_detail_export(detail),
         "summary": X.summary_export(detail),
         "top3": X.top3_export(detail),
-        "courses": feeds["courses"],
+        "courses": loaded.feeds["courses"],
     }
 
 
-def run_monthly(store: Store) -> dict[str, DataFrame]:
-    """Monthly counts and the course report from the stored tables."""
-    courses = store.read(STAGING, "courses")
-    relations = store.spark.read.parquet(store.path(MARTS, "relationships"))
-    target = store.read_or_none(INTERMEDIATE, "monthly_courses")
-    fresh = M.monthly_courses(courses, I.months_since(target))
-    keys = [MEMBER, M.MONTH]
-    path = store.path(INTERMEDIATE, "monthly_courses")
-    if target is None:
-        counts = tables.replace_table(fresh, path, M.MONTH, keys)
-    else:
-        counts = tables.upsert(store.spark, path, fresh, keys, M.MONTH, keys)
-    return {"monthly_courses": counts, "monthly_report": MO.monthly_report(courses, relations)}
+def _sizes(store: Store, names: list[tuple[str, str]]) -> dict[str, int]:
+    """Row counts of stored tables, from the files' footers."""
+    found = {name: store.read_or_none(layer, name) for layer, name in names}
+    return {name: df.count() for name, df in found.items() if df is not None}
+
+
+def run_monthly(
+    store: Store,
+    raw: dict[str, DataFrame],
+    as_of: dt.date,
+    full_refresh: bool = False,
+    staff_tag: str | None = None,
+    run_ts: dt.datetime | None = None,
+) -> dict[str, DataFrame]:
+    """One monthly run over the raw tables: takes in what is new, counts courses and writes the report."""
+    with run_scratch(store.spark, store.root):
+        loaded = refresh(store, raw, as_of, full_refresh, staff_tag)
+        courses = loaded.feeds["courses"]
+        target = None if full_refresh else store.read_or_none(INTERMEDIATE, "monthly_courses")
+        fresh = M.monthly_courses(courses, I.months_since(target))
+        keys = [MEMBER, M.MONTH]
+        path = store.path(INTERMEDIATE, "monthly_courses")
+        if target is None:
+            counts = tables.replace_table(fresh, path, M.MONTH, keys)
+        else:
+            counts = tables.upsert(store.spark, path, fresh, keys, M.MONTH, keys)
+        stamp = F.lit(run_time(as_of, run_ts)).alias(REPORTED)
+        report = store.flat(MARTS, "monthly_report", MO.monthly_report(courses, loaded.related["relationships"]).select("*", stamp))
+        found = store.flat(MARTS, "monthly_findings", CH.findings({"monthly_report": report}))
+    return {"monthly_courses": counts, "monthly_report": report, "findings": found}

@@ -80,7 +80,10 @@ def managers(members: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def team_members(members: DataFrame, tags: DataFrame) -> DataFrame:
-    """Members with the business tag and without the manager tag, one row per tag they carry."""
+    """Members with the business tag and without the manager tag, one row per tag they carry.
+
+    The role tag itself, which all of them carry, names no business and is left out.
+    """
     manager_id, business_id = _role_ids(tags)
     return members.where(
         (F.size("tag_ids") > 0)
@@ -93,7 +96,7 @@ def team_members(members: DataFrame, tags: DataFrame) -> DataFrame:
         F.col("full_name").alias("member_full_name"),
         F.col("email").alias("member_email"),
         F.col("profile_completeness").alias("member_profile_completeness"),
-        F.explode("tag_ids").alias(TAG),
+        F.explode(F.array_remove("tag_ids", business_id)).alias(TAG),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,9 +65,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Folders of the runs that are under way, the innermost last.
+_RUNS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; no two calls return the same one."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the run's folder, else the shared one; no two calls return the same one."""
+    return f"{_RUNS[-1] if _RUNS else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession, root: str) -> Iterator[str]:
+    """Intermediate tables of a run go below its own root and are deleted when it ends.
+
+    What the run returns must not depend on them.
+    """
+    folder = f"{root.rstrip('/')}/_run-{uuid.uuid4().hex}"
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

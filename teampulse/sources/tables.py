@@ -33,20 +33,55 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def _state(spark: SparkSession, path: str) -> dict:
+    """Schema, the file name of each column, and the file names that were in use before."""
     fs, p = _fs(spark, f"{path}/{COLUMNS}")
+    source = fs.open(p)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+    finally:
+        source.close()
+
+
+def _save_state(spark: SparkSession, path: str, schema: T.StructType, physical: dict[str, str], used: list[str]) -> None:
+    fs, p = _fs(spark, f"{path}/{COLUMNS}")
+    state = {"schema": json.loads(schema.json()), "physical": physical, "used": used}
     out = fs.create(p, True)
-    out.write(bytearray(schema.json(), "utf-8"))
+    out.write(bytearray(json.dumps(state), "utf-8"))
     out.close()
 
 
+def _save_schema(spark: SparkSession, path: str, schema: T.StructType, fresh: bool = True) -> dict[str, str]:
+    """Store the current columns; returns the name of each in the files.
+
+    A column that left the table and comes back gets another name in new files, so
+    that values from before it left do not show up again.  ``fresh`` is for tables
+    that are written as a whole.
+    """
+    old = {"physical": {}, "used": []} if fresh else _state(spark, path)
+    used = list(old["used"])
+    physical = {}
+    for name in schema.names:
+        known = old["physical"].get(name)
+        if known is None:
+            known = name if name not in used else f"{name}__{sum(u.split('__')[0] == name for u in used)}"
+            used.append(known)
+        physical[name] = known
+    _save_state(spark, path, schema, physical, used)
+    return physical
+
+
+def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(names[c]) for c in df.columns])
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table with its current columns; files written before a column existed give NULL."""
-    fs, p = _fs(spark, f"{path}/{COLUMNS}")
-    source = fs.open(p)
-    text = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
-    source.close()
-    return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
+    state = _state(spark, path)
+    schema = T.StructType.fromJson(state["schema"])
+    stored = T.StructType([T.StructField(state["physical"][f.name], f.dataType, f.nullable) for f in schema.fields])
+    rows = spark.read.schema(stored).parquet(path)
+    return rows if stored.names == schema.names else rows.toDF(*schema.names)
 
 
 def _with_month(df: DataFrame, by: str) -> DataFrame:
@@ -86,14 +121,15 @@ def replace_flat(df: DataFrame, path: str, spread: list[str] = ()) -> DataFrame:
     if spread:
         df = df.hint("rebalance", *[F.col(c) for c in spread])
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _save_schema(df.sparkSession, path, df.schema)
+    return read_table(df.sparkSession, path)
 
 
 def append_rows(df: DataFrame, path: str, by: str) -> DataFrame:
     spark = df.sparkSession
     full = _with_month(df, by)
-    _write(full, path, [], "append", "dynamic")
-    _save_schema(spark, path, full.schema)
+    names = _save_schema(spark, path, full.schema, not exists(spark, f"{path}/{COLUMNS}"))
+    _write(_renamed(full, names), path, [], "append", "dynamic")
     return read_table(spark, path)
 
 
@@ -153,6 +189,7 @@ def upsert(
     _with_month(updates, by).write.parquet(staged_path)
     staged = spark.read.schema(staged_schema).parquet(staged_path)
     target = read_table(spark, path)
+    names = _save_schema(spark, path, staged_schema, fresh=False)
     gaining = set(_months(staged))
     losing = set()
     if by not in keys:
@@ -164,10 +201,9 @@ def upsert(
         merged = merge(in_months(target, [*gaining, *losing]), staged, keys, resolve)
         # an overwrite does not touch months that end up empty, so those are dropped by hand
         emptied = losing - set(_months(in_months(merged, list(losing)))) if losing else set()
-        _write(merged, path, list(cluster), "overwrite", "dynamic")
+        _write(_renamed(merged, names), path, [names[c] for c in cluster], "overwrite", "dynamic")
         for month in emptied:
             fs, p = _fs(spark, f"{path}/{MONTH}={month.isoformat() if month else '__HIVE_DEFAULT_PARTITION__'}")
             fs.delete(p, True)
         spark.catalog.refreshByPath(path)
-    _save_schema(spark, path, staged_schema)
     return read_table(spark, path)

@@ -40,7 +40,8 @@ def runs(spark):
 def test_incremental_run_ends_at_the_full_build(runs):
     _, before, second, full = runs
     assert before < second["engagement"].count()
-    assert rows(second["engagement"], ["is_backfill"]) == rows(full["engagement"], ["is_backfill"])
+    drop = ["is_backfill", P.UPDATED]
+    assert rows(second["engagement"], drop) == rows(full["engagement"], drop)
     assert second["engagement"].where("is_backfill").count() > 0
     for name in ("courses", "rankings", "detail"):
         assert rows(second[name]) == rows(full[name]), name
@@ -63,12 +64,34 @@ def test_exports_have_one_row_per_manager_and_business(runs):
 
 
 def test_monthly_run(spark, runs):
-    store = P.Store(spark, runs[0])
-    first = P.run_monthly(store)
-    counts = rows(first["monthly_courses"])
-    assert rows(P.run_monthly(store)["monthly_courses"]) == counts
-    report = first["monthly_report"]
-    assert report.count() == first["monthly_report"].select("manager_email", "business_name").distinct().count()
+    store, raw = P.Store(spark, runs[0]), X.raw_tables(spark, SF)
+    first = P.run_monthly(store, raw, X.AS_OF)
+    counts, report = rows(first["monthly_courses"]), first["monthly_report"]
+    assert report.count() == report.select("manager_email", "business_name").distinct().count()
+    assert first["findings"].where("passed").count() == first["findings"].count() == 2
+    assert rows(P.run_monthly(store, raw, X.AS_OF)["monthly_courses"]) == counts
+
+
+def test_monthly_run_takes_in_late_completions(spark):
+    """Completions that arrive after the weekly run are in the month's report."""
+    raw, root = X.raw_tables(spark, SF), scratch_path(spark, "late")
+    cut = raw["course_completed"].agg(F.percentile_approx(EXTRACTED_AT, 0.5)).head()[0]
+    early = raw | {"course_completed": raw["course_completed"].where(F.col(EXTRACTED_AT) <= F.lit(cut))}
+    P.run_weekly(spark, root, early, X.AS_OF)
+    late = P.run_monthly(P.Store(spark, root), raw, X.AS_OF)
+    whole = P.run_monthly(P.Store(spark, scratch_path(spark, "whole")), raw, X.AS_OF)
+    assert rows(late["monthly_report"]) == rows(whole["monthly_report"])
+
+
+def test_run_times_findings_and_scratch(spark, runs):
+    root, before, second, full = runs
+    assert second["engagement"].agg(F.max(P.UPDATED)).head()[0].date() == X.AS_OF
+    assert full["rankings"].select(P.REPORTED).distinct().count() == 1
+    found = {(r["check_name"], r["table_name"], r["column_name"]): r for r in second["findings"].collect()}
+    assert found["no_shrink", "engagement", "week_start_date"]["passed"] and found["unique", "engagement", "community_member_id, week_start_date"]["passed"]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    assert not [n for n in names if n.startswith("_run-")]
 
 
 def test_stream_restarts_where_it_stopped(spark):
