@@ -397,6 +397,33 @@ def _event_stream(b: Base):
     "stream_weekly_counts",
     """
     SELECT user_id AS community_member_id, CAST(date_trunc('week', ts) AS DATE) AS week_start_date, COUNT(DISTINCT event_id) AS events_seen
+    FROM events GROUP BY 1, 2""",
+)
+def _(b: Base):
+    """Counts of all weeks, the open one included, recounted batch by batch."""
+    root = b.path("stream_weeks")
+    ST.run_to_end(ST.recount_writer(_event_stream(b), root, "user_id", "event_id", "ts", "events_seen"))
+    return tables.read_table(b.spark, f"{root}/counts").drop("month")
+
+
+@query(
+    "stream_monthly_counts",
+    """
+    SELECT user_id AS community_member_id, CAST(date_trunc('month', ts) AS DATE) AS month_start_date, COUNT(DISTINCT event_id) AS events_seen
+    FROM events GROUP BY 1, 2""",
+)
+def _(b: Base):
+    """The same per month, with the lookback of the batch run."""
+    root = b.path("stream_months")
+    writer = ST.recount_writer(_event_stream(b), root, "user_id", "event_id", "ts", "events_seen", ST.MONTH, dt.timedelta(days=31))
+    ST.run_to_end(writer)
+    return tables.read_table(b.spark, f"{root}/counts").drop("month")
+
+
+@query(
+    "stream_closed_weeks",
+    """
+    SELECT user_id AS community_member_id, CAST(date_trunc('week', ts) AS DATE) AS week_start_date, COUNT(DISTINCT event_id) AS events_seen
     FROM events WHERE date_trunc('week', ts) + INTERVAL 7 DAY <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
 )
 def _(b: Base):

@@ -161,6 +161,11 @@ def _months(df: DataFrame) -> list[dt.date]:
     return [r[0] for r in df.select(MONTH).distinct().collect()]
 
 
+def months_of(df: DataFrame, by: str) -> list[dt.date]:
+    """The months that rows fall into by a date column."""
+    return _months(_with_month(df, by))
+
+
 def in_months(df: DataFrame, months: list[dt.date | None]) -> DataFrame:
     """Rows of the given months, as a predicate on the folder column."""
     real = [m for m in months if m is not None]

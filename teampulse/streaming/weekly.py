@@ -1,17 +1,21 @@
-"""The weekly counts and the keyed upsert as Structured Streaming queries."""
+"""Counts per week or month and the keyed upsert as Structured Streaming queries."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from teampulse.functions import dates as D
 from teampulse.operators.dedup import keep_latest
 from teampulse.operators.grid import MEMBER, WEEK
 from teampulse.sources import tables
 
+MONTH = "month_start_date"
+
 
 def weekly_counts(stream: DataFrame, member: str, item: str, at: str, out: str, lateness: str = "28 days") -> DataFrame:
     """Distinct items per member and Monday week.
@@ -31,6 +35,48 @@ def weekly_counts(stream: DataFrame, member: str, item: str, at: str, out: str,
     return counted.select(MEMBER, F.to_date("__w.start").alias(WEEK), out)
 
 
+def recount_writer(
+    stream: DataFrame,
+    root: str,
+    member: str,
+    item: str,
+    at: str,
+    out: str,
+    period: str = WEEK,
+    lookback: dt.timedelta | None = None,
+) -> DataStreamWriter:
+    """Distinct items per member and week or month, also of periods that are still open.
+
+    Each batch adds its items to a keyed table and counts the touched periods again, so
+    the counts below ``root`` are always those of all items so far.  With ``lookback``,
+    items older than that before the newest period are left out, as in the batch run.
+    A batch that is replayed after a failure writes the same rows again.
+    """
+    start = D.month_start if period == MONTH else D.week_start
+    keys = [MEMBER, "item", period]
+
+    def count_batch(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.where(F.col(member).isNotNull() & F.col(item).isNotNull() & F.col(at).isNotNull())
+        fresh = rows.select(F.col(member).alias(MEMBER), F.col(item).alias("item"), start(at).alias(period)).distinct()
+        if lookback is not None and tables.exists(spark, f"{root}/items/{tables.COLUMNS}"):
+            known = tables.read_table(spark, f"{root}/items")
+            newest = known.where(F.col(tables.MONTH) == known.agg(F.max(tables.MONTH)).scalar()).agg(F.max(period)).head()[0]
+            fresh = fresh.where(F.col(period) >= F.lit(newest - lookback))
+        items = tables.upsert(spark, f"{root}/items", fresh, keys, period, keys)
+        touched = fresh.select(MEMBER, period).distinct()
+        months = tables.months_of(fresh, period)
+        counts = tables.in_months(items, months).join(touched, [MEMBER, period], "left_semi")
+        counts = counts.groupBy(MEMBER, period).agg(F.count(F.lit(1)).alias(out))
+        tables.upsert(spark, f"{root}/counts", counts, [MEMBER, period], period, [MEMBER, period])
+
+    return (
+        stream.writeStream.foreachBatch(count_batch)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+    )
+
+
 def deduplicated(stream: DataFrame, key: str, at: str, lateness: str = "1 day") -> DataFrame:
     """First arrival of each key within the watermark."""
     return stream.withWatermark(at, lateness).dropDuplicatesWithinWatermark([key])
