@@ -372,7 +372,12 @@ def _(b: Base):
     return done.drop("month", "email", "first_name", "last_name", "week_end_date", "is_backfill")
 
 
-@query("latest_completed_week", "SELECT DATE '2024-01-22' AS week_start_date, COUNT(*) AS members FROM fx_grid WHERE week_start_date = DATE '2024-01-22'")
+@query(
+    "latest_completed_week",
+    f"""
+    SELECT week_start_date, COUNT(*) AS members FROM fx_grid
+    WHERE week_start_date = (SELECT MAX(week_start_date) FROM fx_grid WHERE week_start_date < date_trunc('week', DATE '{X.AS_OF}')) GROUP BY 1""",
+)
 def _(b: Base):
     from teampulse.operators.weeks import last_finished_week
 

@@ -245,17 +245,16 @@ def _(b: Base):
 @query(
     "agg_array_of_struct",
     """
-    SELECT manager_email, COUNT(*) AS members, arg_min(member_full_name, (-total_events, COALESCE(member_email, ''), COALESCE(member_community_id, -1))) AS best
-    FROM fx_compared WHERE member_email IS NOT NULL GROUP BY manager_email""",
+    SELECT manager_email, COUNT(*) AS members, string_agg(COALESCE(member_full_name, '-'), '|' ORDER BY total_events DESC, member_email NULLS FIRST, member_community_id NULLS FIRST) AS names
+    FROM fx_compared GROUP BY manager_email""",
 )
 def _(b: Base):
-    rows = weeks.only_newest(b.team).where(F.col("member_email").isNotNull()).withColumn("name", W.member_name())
+    rows = weeks.only_newest(b.team).withColumn("name", F.coalesce(W.member_name(), F.lit("-")))
     order = [-F.col("total_engagement_score"), F.col("member_email"), F.col("member_community_id")]
     member = F.struct("name", "member_email", "total_engagement_score")
     lists = ordered.list_per_group(rows, ["manager_email"], order, member, "members")
-    return lists.select(
-        "manager_email", F.size("members").cast("bigint").alias("members"), F.element_at("members", 1)["name"].alias("best")
-    )
+    names = F.array_join(F.transform("members", lambda m: m["name"]), "|")
+    return lists.select("manager_email", F.size("members").cast("bigint").alias("members"), names.alias("names"))
 
 
 @query(

@@ -281,10 +281,10 @@ def _(b: Base):
     """
     SELECT event_id, k AS number, CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS VARCHAR) AS nested,
            'member ' || user_id AS name
-    FROM fx_activity WHERE event_type <> 'view'""",
+    FROM fx_activity""",
 )
 def _(b: Base):
-    doc = b.raw("activity").where(F.col("event_type") != "view")
+    doc = b.raw("activity")
     payload = X._payload(F.col("event_type"))
     return doc.withColumn("payload", payload).select(
         "event_id",
@@ -298,10 +298,12 @@ def _(b: Base):
 @query(
     "json_type_guard",
     """
-    SELECT community_member_id, TRUE AS tags_is_array, FALSE AS tags_is_object FROM fx_member""",
+    SELECT community_member_id, community_member_id % 3 = 0 AS tags_is_array, community_member_id % 3 = 1 AS tags_is_object FROM fx_member""",
 )
 def _(b: Base):
-    return b.raw("community_members").select(
+    k = F.col("community_member_id").cast("bigint") % 3
+    tags = F.when(k == 0, F.col("member_tags")).when(k == 1, '{"tags": [1]}').otherwise("7")
+    return b.raw("community_members").withColumn("member_tags", tags).select(
         "community_member_id",
         J.is_json_array("member_tags").alias("tags_is_array"),
         J.is_json_object("member_tags").alias("tags_is_object"),
