@@ -11,14 +11,27 @@ from teampulse.functions.dates import monday
 from teampulse.operators.grid import WEEK
 
 
+MONTH = "month"  # folder column of tables stored by week
+
+
 def newest(df: DataFrame, column: str = WEEK) -> Column:
-    """Largest value of a column as a one-value subquery."""
+    """Largest value of a column as a one-value subquery; the newest week lies in the newest month folder."""
+    if column == WEEK and MONTH in df.columns:
+        df = df.where(F.col(MONTH) == df.agg(F.max(MONTH)).scalar())
     return df.agg(F.max(column).alias("m")).scalar()
 
 
 def last_finished_week(df: DataFrame, as_of: dt.date | str) -> Column:
-    """Newest week that ended before the week of ``as_of``."""
-    return newest(df.where(F.col(WEEK) < F.lit(monday(as_of))))
+    """Newest week that ended before the week of ``as_of``.
+
+    It lies in the folder of that week's month or in the newest one before it.
+    """
+    start = F.lit(monday(as_of))
+    if MONTH in df.columns:
+        this = F.trunc(start, "month")
+        before = df.where(F.col(MONTH) < this).agg(F.max(MONTH)).scalar()
+        df = df.where(F.col(MONTH) >= F.coalesce(before, this))
+    return df.where(F.col(WEEK) < start).agg(F.max(WEEK).alias("m")).scalar()
 
 
 def only_newest(df: DataFrame, column: str = WEEK) -> DataFrame:
