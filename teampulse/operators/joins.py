@@ -24,11 +24,6 @@ def on_array_member(left: DataFrame, items: str, right: DataFrame, key: str, how
     return rows.join(right, key, how)
 
 
-def explode_then_join(left: DataFrame, items: str, right: DataFrame, key: str) -> DataFrame:
-    """Like :func:`on_array_member` but a repeated element gives a repeated row."""
-    return left.withColumn(key, F.explode(items)).join(right, key, "inner")
-
-
 def on_normal_name(left: DataFrame, left_name: str, right: DataFrame, right_name: str) -> DataFrame:
     """Inner join on names that differ only in case and whitespace."""
     a = left.withColumn("__name", normal_key(left_name))
