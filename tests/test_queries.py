@@ -16,7 +16,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_matches_oracle(spark, con, key):
     diff = compare(spark, con, SF, QUERIES[key], ORACLES[key])
     assert diff is None, diff
