@@ -84,10 +84,11 @@ def test_monthly_run_takes_in_late_completions(spark):
 
 
 def test_run_times_findings_and_scratch(spark, runs):
-    root, before, second, full = runs
-    assert second["engagement"].agg(F.max(P.UPDATED)).head()[0].date() == X.AS_OF
+    root, _, _, full = runs
+    store = P.Store(spark, root)  # later tests run into the same root
+    assert store.read(P.INTERMEDIATE, "engagement").agg(F.max(P.UPDATED)).head()[0].date() == X.AS_OF
     assert full["rankings"].select(P.REPORTED).distinct().count() == 1
-    found = {(r["check_name"], r["table_name"], r["column_name"]): r for r in second["findings"].collect()}
+    found = {(r["check_name"], r["table_name"], r["column_name"]): r for r in store.read(P.MARTS, "weekly_findings").collect()}
     assert found["no_shrink", "engagement", "week_start_date"]["passed"] and found["unique", "engagement", "community_member_id, week_start_date"]["passed"]
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
