@@ -34,7 +34,7 @@ from teampulse.llm.common import map_batches
 
 TOKENIZER = "word_bpe_49k.json"
 #: Entries of a worker's caches of words, parts of words and pairs, and the longest word that they keep.
-CACHE, PART_CACHE, PAIR_CACHE, CACHED_CHARS = 1 << 19, 1 << 18, 1 << 18, 64
+CACHE, PART_CACHE, PAIR_CACHE, CACHED_CHARS = 1 << 18, 1 << 18, 1 << 17, 64
 #: Stands for the word-end mark; no byte symbol is NUL.
 END = "\0"
 #: Separators that Python takes for white space and Unicode does not.

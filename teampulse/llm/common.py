@@ -12,8 +12,8 @@ from teampulse.session import scratch_path
 
 #: ASCII white space, as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
-#: Bytes that one Arrow batch may hold before the next one starts.
-BATCH_BYTES = "16m"
+#: Rows that Spark puts into one Arrow batch, and bytes of it that are worked on at a time.
+BATCH_ROWS, SLICE_BYTES = 1024, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,13 +41,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Run a batch function in the tasks.  ``make`` is called once per task.
 
-    Batches are bounded in bytes, so that long texts do not pile up in a worker.
+    Batches are worked on in slices of bounded size (one row at least), so that long
+    texts do not pile up in a worker.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            yield step(batch)
+            rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows):
+                yield step(batch.slice(at, rows))
 
     return df.mapInArrow(run, schema)
