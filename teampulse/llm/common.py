@@ -13,7 +13,7 @@ from teampulse.session import scratch_path
 #: ASCII white space, as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
 #: Rows that Spark puts into one Arrow batch, and bytes of it that are worked on at a time.
-BATCH_ROWS, SLICE_BYTES = 1024, 4 << 20
+BATCH_ROWS, SLICE_BYTES = 512, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
