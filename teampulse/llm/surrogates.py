@@ -14,7 +14,8 @@ keeps its identity; letters are permuted in lower case and get their case back.
 form of an entity is kept, so that values of different forms stay apart too.
 
 ``checked`` stores its rows and then looks for collisions over all entities; it
-changes the key and starts again if there is one.
+changes the key and starts again if there is one, and fails after a few keys.  Names
+that differ in hyphens and spaces only are one value.
 
 Defined cases: NULL texts stay NULL, empty ones empty; a text without an entity stays
 as it is; of overlapping patterns the first from the left counts, then the first in
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from teampulse.llm.common import plain_names, stored
 
 KEY = "surrogates-1"
+#: Keys that are tried before an error.
+KEYS = 4
 
 # Titles with their gender, given names by gender and script, classes of characters.
 TITLES = ["Mr", "Mrs", "Ms", "Miss", "Sir", "Lord", "Lady", "Madam", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora", "Господин", "Госпожа", "Κύριος", "Κυρία"]
@@ -181,7 +184,7 @@ def entity(found: Column, key: str = KEY) -> Column:
 
     return (
         F.when(found.contains("@"), part("mail", lower, mail, _cased(found, mail)))
-        .when(title != "", part("name", F.lower(name), F.array_join(words, " "), F.concat(title, named)))
+        .when(title != "", part("name", F.array_join(F.split(F.lower(name), "[ -]"), " "), F.array_join(words, " "), F.concat(title, named)))
         .when(found.rlike(r"^\d+\.\d+\.\d+\.\d+$"), part("ip", found, address, address))
         .when(found.rlike(r"^\+|^\(|^\d{3}[ .-]\d{3}[ .-]\d{4}$"), part("phone", _digits(rest), number, phone))
         .when(found.rlike(r"^\d{3}-\d{2}-\d{4}$"), part("ssn", digits, permuted(digits, key + "/ssn"), _filled(found, permuted(digits, key + "/ssn"))))
@@ -216,11 +219,12 @@ def collisions(found: DataFrame) -> DataFrame:
 def checked(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """Columns ``c0``, ``c1``, ... of ``docs`` with ``text`` replaced, and ``entities``, stored and checked for collisions."""
     own, names = plain_names(docs)
-    while True:
+    for _ in range(KEYS):
         out = stored(replaced_text(own, own.columns[names.index(text)], key), "surrogates")
         if collisions(out).isEmpty():
             return out
         key += "+"
+    raise RuntimeError(f"surrogates collide under {KEYS} keys")
 
 
 def replaced(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
