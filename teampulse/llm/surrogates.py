@@ -2,7 +2,7 @@
 
 Entities are found by patterns: mail addresses, phone numbers, card numbers with a
 right check digit, social security numbers, IPv4 addresses, secrets and names after a
-title.  Each gets a replacement of its own kind that keeps script, case, length and
+title, which are then replaced wherever the same text has them or their last word.  Each gets a replacement of its own kind that keeps script, case, length and
 punctuation; given names of the lists stay given names of the same gender and script.
 
 A replacement is a keyed permutation of the values of one form, so two values never
@@ -35,7 +35,10 @@ KEY = "surrogates-1"
 KEYS = 4
 
 # Titles with their gender, given names by gender and script, classes of characters.
-TITLES = ["Mr", "Mrs", "Ms", "Miss", "Sir", "Lord", "Lady", "Madam", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora", "Господин", "Госпожа", "Κύριος", "Κυρία"]
+TITLES = ["Mr", "Mrs", "Ms", "Miss", "Sir", "Lord", "Lady", "Madam", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora", "Господин", "Госпожа", "Κύριος", "Κυρία",
+          "Dr", "Doctor", "Prof", "Professor", "Mx", "Rev", "Mme", "Mlle", "Mademoiselle", "Sr", "Sra", "Srta", "Señorita", "Dra", "Доктор", "Профессор", "Δρ"]
+#: Small words inside a name.
+PARTICLES = ["de", "del", "della", "di", "da", "dos", "du", "la", "le", "van", "von", "der", "den", "ten", "ter", "bin", "al"]
 GIVEN = [
     ["james", "john", "robert", "michael", "william", "david", "richard", "thomas", "charles", "daniel", "paul", "mark", "george", "peter", "hans", "karl", "jean", "pierre", "juan", "carlos"],
     ["mary", "patricia", "jennifer", "linda", "elizabeth", "barbara", "susan", "jessica", "sarah", "karen", "anna", "emma", "laura", "julia", "greta", "ingrid", "claire", "sophie", "maria", "carmen"],
@@ -51,13 +54,16 @@ CLASSES = [
 HEX = ["0123456789abcdef"]
 
 _W = r"\p{L}\p{N}"
-_TITLE = "(?:" + "|".join(TITLES) + r")\.? "
+_TITLE = "(?:(?:" + "|".join(TITLES) + r")\.? ){1,3}"
+# possessive, so that the matcher does not recurse over long runs
+_PART = r"(?:\p{Lu}['’]\p{L}[\p{L}\p{M}]*+|\p{Lu}[\p{L}\p{M}]++(?:['’]\p{Lu}[\p{L}\p{M}]*+)*+|(?:\p{Lu}\.)++(?= \p{Lu}))"
+_NAME = rf"{_PART}(?:[ -](?!{_TITLE}\p{{Lu}})(?:(?:{'|'.join(PARTICLES)}) )*+{_PART})*+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _SECRET = r"(?:api[_-]?key|access[_-]?key|token|secret|passw(?:or)?d) ?[=:] ?[\"']?"
 PATTERNS = [
     rf"(?<![{_W}._%+-])[{_W}._%+-]+@(?:[{_W}-]+\.)+\p{{L}}{{2,}}",
     rf"(?<![{_W}])(?i:{_SECRET})(?=[A-Za-z+/_.-]*\d)[A-Za-z0-9+/_.-]{{8,}}",
-    rf"(?<![{_W}]){_TITLE}\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}",
+    rf"(?<![{_W}]){_TITLE}{_NAME}",
     rf"(?<![{_W}])(?:[0-9a-f]{{32,}}|[0-9A-F]{{32,}}|AKIA[0-9A-Z]{{16}}|gh[a-z]_[A-Za-z0-9]{{36,}})(?![{_W}])",
     rf"(?<![{_W}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[{_W}])",
     r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)",
@@ -66,6 +72,7 @@ PATTERNS = [
     rf"(?<![{_W}])(?:\(\d{{3}}\) ?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}(?![{_W}])",
 ]
 ENTITY = "|".join(PATTERNS)
+TITLED = PATTERNS[2]
 #: A cheap test that every entity passes.
 CUE = rf"[@0-9]|{_TITLE}"
 
@@ -141,8 +148,12 @@ def _word(word: Column, key: str) -> Column:
     return F.coalesce(*listed, walked)
 
 
-def entity(found: Column, key: str = KEY) -> Column:
-    """kind, value and surrogate in normal form, and ``out``, the replacement in the form that was found."""
+def entity(found: Column, key: str = KEY, names: Column | None = None) -> Column:
+    """kind, value and surrogate in normal form, and ``out``, the replacement in the form that was found.
+
+    ``names`` are names without a title.
+    """
+    known = F.lit(False) if names is None else F.array_contains(names, found)
     lower, digits = F.lower(found), _digits(found)
     part = lambda kind, value, surrogate, out: F.struct(F.lit(kind).alias("kind"), value.alias("value"), surrogate.alias("surrogate"), out.alias("out"))
 
@@ -158,7 +169,8 @@ def entity(found: Column, key: str = KEY) -> Column:
     title = F.regexp_extract(found, "^" + _TITLE, 0)
     name = F.substring(found, F.length(title) + 1, F.length(found))
     words = F.transform(F.split(F.lower(name), "[ -]"), lambda w: _word(w, key))
-    shown = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w))))
+    capital = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))
+    shown = F.zip_with(F.split(name, "[ -]"), words, lambda f, w: F.when(F.length(f) == F.length(w), _cased(f, w)).otherwise(capital(w)))
     gaps = F.split(name, r"[^ -]+")
     named = F.array_join(F.transform(shown, lambda w, i: F.concat(F.get(gaps, i), w)), "")
 
@@ -184,7 +196,7 @@ def entity(found: Column, key: str = KEY) -> Column:
 
     return (
         F.when(found.contains("@"), part("mail", lower, mail, _cased(found, mail)))
-        .when(title != "", part("name", F.array_join(F.split(F.lower(name), "[ -]"), " "), F.array_join(words, " "), F.concat(title, named)))
+        .when((title != "") | known, part("name", F.array_join(F.split(F.lower(name), "[ -]"), " "), F.array_join(words, " "), F.concat(title, named)))
         .when(found.rlike(r"^\d+\.\d+\.\d+\.\d+$"), part("ip", found, address, address))
         .when(found.rlike(r"^\+|^\(|^\d{3}[ .-]\d{3}[ .-]\d{4}$"), part("phone", _digits(rest), number, phone))
         .when(found.rlike(r"^\d{3}-\d{2}-\d{4}$"), part("ssn", digits, permuted(digits, key + "/ssn"), _filled(found, permuted(digits, key + "/ssn"))))
@@ -194,6 +206,15 @@ def entity(found: Column, key: str = KEY) -> Column:
     )
 
 
+def mentioned(text: Column) -> Column:
+    """The names that have a title somewhere in the text, whole and their last words, longest first."""
+    titled = F.regexp_extract_all(text, F.lit(TITLED), F.lit(0))
+    whole = F.transform(titled, lambda m: F.regexp_replace(m, "^" + _TITLE, ""))
+    last = F.transform(whole, lambda n: F.regexp_extract(n, "[^ -]+$", 0))
+    sized = F.transform(F.array_distinct(F.concat(whole, last)), lambda n: F.struct(F.length(n).alias("size"), n.alias("name")))
+    return F.transform(F.sort_array(sized, asc=False), lambda s: s["name"])
+
+
 def replaced_text(docs: DataFrame, text: str, key: str = KEY) -> DataFrame:
     """All columns of ``docs`` with ``text`` replaced, and an array column ``entities`` of what was found.
 
@@ -201,13 +222,17 @@ def replaced_text(docs: DataFrame, text: str, key: str = KEY) -> DataFrame:
     """
     hit = F.coalesce(F.col(text).rlike(CUE), F.lit(False))
     none = F.array().cast("array<string>")
-    cut = docs.withColumn("found", F.when(hit, F.regexp_extract_all(F.col(text), F.lit(ENTITY), F.lit(0))).otherwise(none))
-    cut = cut.withColumn("found", F.transform("found", lambda m: entity(m, key)))
-    pieces = F.when(F.size("found") > 0, F.split(F.col(text), ENTITY, -1)).otherwise(none)
+    cut = docs.withColumn("known", F.when(F.coalesce(F.col(text).rlike(_TITLE), F.lit(False)), mentioned(F.col(text))).otherwise(none))
+    untitled = F.array_join(F.transform("known", lambda n: F.concat(F.lit("\\Q"), n, F.lit("\\E"))), "|")
+    pattern = F.concat(F.lit(rf"{ENTITY}|(?<![{_W}])(?:"), untitled, F.lit(rf")(?![{_W}])"))
+    cut = cut.withColumn("pattern", F.when(F.size("known") > 0, pattern).otherwise(F.lit(ENTITY)))
+    cut = cut.withColumn("found", F.when(hit, F.regexp_extract_all(F.col(text), F.col("pattern"), F.lit(0))).otherwise(none))
+    pieces = F.when(F.size("found") > 0, F.split(F.col(text), F.col("pattern"), -1)).otherwise(none)
     cut = cut.withColumn("pieces", pieces)
+    cut = cut.withColumn("found", F.transform("found", lambda m: entity(m, key, F.col("known"))))
     rest = F.transform("found", lambda e, i: F.concat(e["out"], F.get("pieces", i + 1)))
     cut = cut.withColumn(text, F.when(F.size("found") > 0, F.concat(F.get("pieces", F.lit(0)), F.array_join(rest, ""))).otherwise(F.col(text)))
-    return cut.withColumn("entities", F.filter("found", lambda e: e["kind"].isNotNull())).drop("found", "pieces")
+    return cut.withColumn("entities", F.filter("found", lambda e: e["kind"].isNotNull())).drop("found", "pieces", "known", "pattern")
 
 
 def collisions(found: DataFrame) -> DataFrame:

@@ -22,3 +22,14 @@ def test_collisions_under_every_key_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "collisions", lambda found: found.select(F.lit("name").alias("kind")))
     with pytest.raises(RuntimeError):
         surrogates.replaced(spark.createDataFrame([("Mr Smith",)], "text string"))
+
+
+def test_whole_names_and_untitled_mentions(spark):
+    texts = ["Señor Juan Carlos García López came", "Mr McDonald and Ms O'Brien, Dr Jane Roe", "Mr John Smith came. Later John Smith's car; Smith left", "Herr Prof. Dr. Ludwig van Beethoven"]
+    out = replaced(spark, *texts)
+    for text, new in zip(texts, out):
+        for word in ("Juan", "García", "López", "McDonald", "Donald", "Brien", "Jane", "Roe", "John", "Smith", "Ludwig", "Beethoven"):
+            assert word not in text or word not in new, (word, new)
+    name = out[2].split(" came")[0].removeprefix("Mr ")
+    assert out[2] == f"Mr {name} came. Later {name}'s car; {name.split()[-1]} left"
+    assert out[3].startswith("Herr Prof. Dr. ")
