@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, decontamination, langid, line_rules, main_text, quality_nbsvm, sharding, simhash, surrogates, token_counts
+from teampulse.llm import bpe, centroids, decontamination, divergence, langid, line_rules, main_text, quality_nbsvm, sharding, simhash, surrogates, token_counts
 from teampulse.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_nearest_page")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op12_source_divergence")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_divergence"] = divergence.ORACLE
+
+
+@query("op13_hilbert_centroids")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_hilbert_centroids"] = centroids.ORACLE
