@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, centroids, decontamination, divergence, langid, line_rules, main_text, quality_nbsvm, sharding, simhash, surrogates, token_counts
+from teampulse.llm import bpe, centroids, decontamination, divergence, jaccard, langid, line_rules, main_text, quality_nbsvm, sharding, simhash, surrogates, token_counts
 from teampulse.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,11 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_hilbert_centroids"] = centroids.ORACLE
+
+
+@query("op11_prefix_groups")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_prefix_groups"] = jaccard.ORACLE
