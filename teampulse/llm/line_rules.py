@@ -29,8 +29,8 @@ WINDOW = 5
 MIN_WORDS = 10
 #: Most percent of a text's words that repeated windows may cover.
 MAX_REPEAT = 20
-#: A line is frequent if more documents of its host have it than this number.  The share is in the oracle only.
-LINE_DOCS, LINE_SHARE = 4, 0.01
+#: A line is frequent if more documents of its host have it than this number.
+LINE_DOCS = 4
 #: Least share of its words that a document must keep, besides ``MIN_WORDS`` words.
 KEEP_SHARE = 0.3
 
@@ -142,11 +142,8 @@ WITH d AS (
   SELECT r, doc_id, host, lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line,
     len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS n
   FROM (SELECT r, doc_id, host, unnest(lines) AS x FROM w)
-), sizes AS (
-  SELECT host, count(DISTINCT doc_id) AS n_docs FROM d GROUP BY host
 ), frequent AS (
-  SELECT host, line FROM (SELECT host, line, count(DISTINCT doc_id) AS n FROM line GROUP BY ALL) JOIN sizes USING (host)
-  WHERE n > {LINE_DOCS} AND n > {LINE_SHARE} * n_docs
+  SELECT host, line FROM line GROUP BY ALL HAVING count(DISTINCT doc_id) > {LINE_DOCS}
 ), removed AS (
   SELECT r, sum(n) AS n FROM line JOIN frequent USING (host, line) GROUP BY r
 ), base AS (
