@@ -38,6 +38,9 @@ SIMILAR = 0.8
 LEAST_WORDS = 8
 #: Bits of the filter for each seed, and the least and most that it may have (half a MB to 32 MB).
 BITS_PER_SEED, LEAST_BITS, MOST_BITS = 32, 1 << 22, 1 << 28
+#: Words that are compared at a time.
+COMPARED = 1 << 20
+
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the number of the text that it is from."""
@@ -147,7 +150,7 @@ def seed_filter(found: DataFrame) -> Filter:
 
 
 def hits(docs: DataFrame, known: Filter, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of documents with seeds that pass the filter: seeds, places, and stretches of words around them."""
+    """Rows of documents with seeds that pass the filter: seeds, the places of each, and stretches of words around them."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
     reach = WINDOW + max(map(len, MASKS))
 
@@ -170,13 +173,15 @@ def hits(docs: DataFrame, known: Filter, doc_id: str = "doc_id", text: str = "te
                 gaps = np.flatnonzero(np.diff(p) > 2 * reach) + 1
                 starts = np.maximum(first, np.concatenate([p[:1], p[gaps]]) - reach)
                 ends = np.minimum(last, np.concatenate([p[gaps - 1], p[-1:]]) + reach)
-                out.append((d, s, p - first, starts - first, [_signed(words[a:b]) for a, b in zip(starts, ends)]))
+                order = np.argsort(s, kind="stable")
+                each, cut = np.unique(s[order], return_index=True)
+                out.append((d, each, np.split((p - first)[order], cut[1:]), starts - first, [_signed(words[a:b]) for a, b in zip(starts, ends)]))
             rows = [r[0] for r in out]
             lists, long = pa.list_(pa.int64()), pa.int64()
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, long)), batch.column(1).take(pa.array(rows, long)),
-                    pa.array([r[1] for r in out], lists), pa.array([r[2] for r in out], lists),
+                    pa.array([r[1] for r in out], lists), pa.array([r[2] for r in out], pa.list_(lists)),
                     pa.array([r[3] for r in out], lists), pa.array([r[4] for r in out], pa.list_(lists)),
                 ],
                 names=["row", "doc_id", "seeds", "places", "starts", "stretches"],
@@ -186,21 +191,39 @@ def hits(docs: DataFrame, known: Filter, doc_id: str = "doc_id", text: str = "te
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_batches(rows, make, f"row long, doc_id {kind}, seeds array<bigint>, places array<bigint>, starts array<bigint>, stretches array<array<bigint>>")
-
-
-def overlap(item: np.ndarray, shift: int, starts: list[int], stretches: list[list[int]]) -> tuple[float, int]:
-    """Best share of equal words in a window of the item against the words ``shift`` further on, and its place there."""
-    same = np.zeros(len(item), np.int64)
-    for start, words in zip(starts, stretches):
-        a, b = max(0, start - shift), min(len(item), start + len(words) - shift)
-        if a < b:
-            same[a:b] |= item[a:b] == np.array(words[a + shift - start : b + shift - start], np.int64)
-    width = min(len(item), WINDOW)
-    sums = np.concatenate([[0], np.cumsum(same)])
-    counts = sums[width:] - sums[:-width]
-    best = int(counts.argmax())
-    return float(counts[best]) / width, shift + best
+    return map_batches(rows, make, f"row long, doc_id {kind}, seeds array<bigint>, places array<array<bigint>>, starts array<bigint>, stretches array<array<bigint>>")
+
+
+def shifts(places: list[tuple[np.ndarray, np.ndarray]], last: int, length: int) -> np.ndarray:
+    """The distinct differences of places in a document (up to ``last``) and in an item of ``length`` words."""
+    found = np.zeros(last + length + 1, bool)
+    for at, place in places:
+        few, many = (place, at + length) if len(place) < len(at) else (at, length - place)
+        sign = -1 if len(place) < len(at) else 1
+        for x in few.tolist():
+            found[many + sign * x] = True
+    return np.flatnonzero(found) - length
+
+
+def overlap(item: np.ndarray, shift: np.ndarray, starts: np.ndarray, stretches: list[np.ndarray]) -> tuple[float, int]:
+    """Best share of equal words in a window of the item against the words some ``shift`` further on, and its first place there."""
+    n, width = len(item), min(len(item), WINDOW)
+    first = min(int(starts[0]), int(shift[0]))
+    size = max(int(starts[-1]) + len(stretches[-1]), int(shift[-1]) + n) - first
+    words, there = np.zeros(size, np.int64), np.zeros(size, bool)
+    for start, part in zip(starts.tolist(), stretches):
+        words[start - first : start - first + len(part)] = part
+        there[start - first : start - first + len(part)] = True
+    words, there = (np.lib.stride_tricks.sliding_window_view(x, n) for x in (words, there))
+    best = (0, 0)
+    for at in range(0, len(shift), max(1, COMPARED // n)):
+        part = shift[at : at + max(1, COMPARED // n)]
+        same = (words[part - first] == item) & there[part - first]
+        sums = np.pad(np.cumsum(same, axis=1, dtype=np.int32), ((0, 0), (1, 0)))
+        counts = sums[:, width:] - sums[:, :-width]
+        most, place = counts.max(1), counts.argmax(1) + part
+        best = max(best, (int(most.max()), -int(place[most == most.max()].min())))
+    return best[0] / width, -best[1]
 
 
 def passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -211,28 +234,39 @@ def passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id:
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            row, item, words, shift, starts, stretches = (c.to_pylist() for c in batch.columns)
-            out = [overlap(np.array(w, np.int64), *x) for w, *x in zip(words, shift, starts, stretches)]
-            arrays = [pa.array([o[0] for o in out], pa.float64()), pa.array([o[1] for o in out], pa.int64())]
+            best = []
+            for words, places, starts, stretches in zip(*batch.columns[2:]):
+                item, starts = words.values.to_numpy(), starts.values.to_numpy()
+                parts = [x.values.to_numpy() for x in stretches]
+                pairs = [(x["at"].values.to_numpy(), x["place"].values.to_numpy()) for x in places]
+                best.append(overlap(item, shifts(pairs, int(starts[-1]) + len(parts[-1]), len(item)), starts, parts))
+            arrays = [pa.array([o[0] for o in best], pa.float64()), pa.array([o[1] for o in best], pa.int64())]
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["row", "item", "overlap", "place"])
 
         return step
 
+    # one row for each document, item and common seed, with the places in both: repeated words multiply within a task only
     each = found.select("row", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select("row", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
-    pairs = each.join(by_seed, "seed").select("row", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    of_item = by_seed.groupBy("seed", "item").agg(F.collect_list("place").alias("place"))
+    pairs = each.join(of_item, "seed").groupBy("row", "item").agg(F.collect_list(F.struct("at", "place")).alias("places"))
     pairs = pairs.join(known.select("item", "words").dropDuplicates(["item"]), "item").join(found.select("row", "starts", "stretches"), "row")
-    seen = map_batches(pairs.select("row", "item", "words", "shift", "starts", "stretches"), make, "row long, item long, overlap double, place long")
+    seen = map_batches(pairs.select("row", "item", "words", "places", "starts", "stretches"), make, "row long, item long, overlap double, place long")
     best = seen.where(F.col("overlap") >= SIMILAR).groupBy("row", "item").agg(F.max(F.struct("overlap", (-F.col("place")).alias("back"))).alias("best"))
     named = best.join(found.select("row", "doc_id"), "row").join(known.select("item", "item_id").distinct(), "item")
     named = named.groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))
     return named.select("doc_id", "item_id", F.col("best.overlap").alias("overlap"), (-F.col("best.back")).alias("place"))
 
 
-def without_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no passage of an item was found."""
-    found = passages(docs, items, doc_id=doc_id, text=text).select(F.col("doc_id").alias("found_id")).distinct()
+def without_passages(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no passage of an item was found.
+
+    Rows are told by their texts, on which alone the finding depends, and never by ids.
+    """
     own, names = plain_names(docs)
-    return own.join(found, F.col(own.columns[names.index(doc_id)]).eqNullSafe(F.col("found_id")), "left_anti").toDF(*names)
+    body = own.columns[names.index(text)]
+    key = F.concat(F.hex(F.xxhash64(body)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), body)))
+    found = passages(own.select(key.alias("key"), F.col(body).alias("body")), items.select("item_id", F.col("text").alias("body")), "key", "item_id", "body")
+    return own.withColumn("key", key).join(found.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").drop("key").toDF(*names)
 
 
 ORACLE = rf"""
