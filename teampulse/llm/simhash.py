@@ -15,7 +15,8 @@ and its key is either small or crowded, so no link is lost.
 Defined cases: NULL and empty texts and texts without words have fingerprint zero;
 shorter texts than a shingle are hashed whole; copies and ties share a component,
 whose id is its smallest doc_id; NULL ids are no smallest id; an empty table gives
-no rows; other columns are not read by ``fingerprints`` and ``linked``.
+no rows; other columns are not read by ``fingerprints`` and ``linked``.  Without copies,
+each component keeps one row whatever its ids.
 """
 
 from __future__ import annotations
@@ -82,18 +83,24 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (signed long) of every row, stored once."""
+def _with_fingerprints(rows: DataFrame, shingle: int) -> DataFrame:
+    """The columns of ``rows`` before its last one, a binary text, and fp; stored once."""
+    *keep, _ = rows.columns
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [fingerprint(t or b"", shingle) for t in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            found = [fingerprint(t or b"", shingle) for t in batch.columns[-1].to_pylist()]
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names=[*keep, "fp"])
 
         return step
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return stored(map_batches(rows, make, "doc_id long, fp long"), "fingerprints")
+    schema = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in keep)
+    return stored(map_batches(rows, make, f"{schema}fp long"), "fingerprints")
+
+
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, fp (signed long) of every row, stored once."""
+    return _with_fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")), shingle)
 
 
 def _keys(fps: DataFrame) -> DataFrame:
@@ -123,11 +130,15 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     return pairs.unionByName(stars)
 
 
+def rooted(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """fp, root of every distinct fingerprint."""
+    roots = components(links(fps, crowd)).withColumnRenamed("node", "fp")
+    return fps.select("fp").distinct().join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def linked(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, fp, component_id for every row of ``fingerprints``."""
-    roots = components(links(fps, crowd))
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    classes = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first")).join(rooted(fps, crowd), "fp")
     least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     of = classes.select("fp", "root").join(least, "root").select("fp", "component_id")
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
@@ -139,13 +150,20 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, one row for an id; rows without an id go."""
-    fps = fingerprints(docs, doc_id, text)
-    found = linked(fps)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("keep_id")).distinct()
+def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest id, NULL ids last.
+
+    Rows are told by id and text, so texts without an id or with a common id are rows of
+    their own; of rows that are equal in both, any one stays.
+    """
     own, names = plain_names(docs)
-    own_id = own.columns[names.index(doc_id)]
-    kept = own.join(keep, F.col(own_id) == F.col("keep_id"), "left_semi")
-    repeated = fps.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return (kept.dropDuplicates([own_id]) if repeated else kept).toDF(*names)
+    of, body = own.columns[names.index(doc_id)], own.columns[names.index(text)]
+    tag = F.xxhash64(body)
+    fps = _with_fingerprints(own.select(F.col(of).alias("id"), tag.alias("tag"), F.col(body).cast("binary").alias("text")), shingle)
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("tag").alias("tag"))
+    firsts = fps.groupBy("fp").agg(F.min(order).alias("first"))
+    keep = firsts.join(rooted(fps), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.tag")
+    kept = own.withColumn("tag", tag).alias("x").join(keep.alias("y"), F.expr(f"x.tag = y.tag AND x.`{of}` <=> y.id"), "left_semi")
+    repeated = not fps.groupBy("id", "tag").count().where("count > 1").isEmpty()
+    kept = kept.dropDuplicates([of, "tag"]) if repeated else kept
+    return kept.drop("tag").toDF(*names)
