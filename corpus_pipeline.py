@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, copies, decontamination, langid, surrogates
+from teampulse.llm import bpe, decontamination, langid, simhash, surrogates
 from teampulse.llm.common import fold, stored, table
 
 
@@ -22,8 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id stays of each group with five-word Jaccard 0.8 or more; see ``copies``."""
-    return copies.without_near_copies(docs)
+    """One document stays of each group whose fingerprints of three-word shingles link at two or fewer bits."""
+    return simhash.without_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
