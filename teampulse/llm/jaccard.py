@@ -15,9 +15,9 @@ known to be connected.  Members are expanded then and held against each other by
 their bitmaps, and what is left is verified on the whole sets.
 
 Links are followed in rounds.  The first holds each group's members against its
-first, and each list's groups against one that meets most others.  The next ones take, of each two components
-that may still link, the pair with the least bitmap distance, as long as this joins
-any; the last takes all pairs that are left.  No link between components is lost, and no
+first, and each list's groups against one that meets most others.  The next ones
+take, of each two components that may still link, the pair with the least bitmap
+distance, as long as this joins any; the last takes all pairs that are left.  No link between components is lost, and no
 round makes the pairs inside a component.
 
 Whole sets are computed again from the texts, for the sets with a possible partner
@@ -33,7 +33,7 @@ smallest id; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,7 @@ SHINGLE = 3
 LEAST = 90
 #: Frequent shingles that the order knows, and shingles of distinct sets that a task counts at a time.
 FREQUENT, COUNTED = 1 << 17, 1 << 21
-#: 64-bit words of a bitmap.
+#: 64-bit words of a bitmap; a larger set has a second one with a bit or more for each shingle.
 BITMAP = 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -91,11 +91,23 @@ def set_key(found: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
 
 
-def bitmap(found: np.ndarray) -> list[int]:
-    """Parities of the shingles in each bucket, as signed words."""
-    spots = (found * MIX[4] >> np.uint64(64 - 9)).astype(np.int64)
-    odd = np.bincount(spots, minlength=64 * BITMAP) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+def bitmap(found: np.ndarray, words: int = BITMAP) -> np.ndarray:
+    """Parities of the shingles in each of ``64 * words`` buckets, a power of two."""
+    spots = (found * MIX[4] >> np.uint64(32) & np.uint64(64 * words - 1)).astype(np.int64)
+    odd = np.bincount(spots, minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def wide_bitmap(found: np.ndarray) -> bytes | None:
+    """A bitmap as large as the set, where ``BITMAP`` words are too few for it."""
+    words = 1 << max(0, len(found) - 1).bit_length() >> 6
+    return bitmap(found, words).tobytes() if words > BITMAP else None
+
+
+def wide_distance(x: bytes, y: bytes) -> int:
+    """Least number of shingles in which two sets with these bitmaps differ; the larger one is folded."""
+    p, q = sorted((np.frombuffer(v, "<u8") for v in (x, y)), key=len)
+    return int(np.bitwise_count(p ^ np.bitwise_xor.reduce(q.reshape(-1, len(p)))).sum())
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
@@ -143,7 +155,7 @@ def prefix(found: np.ndarray, known: np.ndarray, ranks: np.ndarray, least: int =
 
 
 def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
-    """doc_id, key, size, prefix, bits of every row, stored."""
+    """doc_id, key, size, prefix, bits, wide of every row, stored."""
     order = frequent(docs, text, shingle)
     by_hash = np.argsort(order)
     known, ranks = order[by_hash], by_hash
@@ -156,17 +168,17 @@ def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
             keys = pa.array([set_key(f) for f in found], pa.binary())
             first = pa.array([prefix(f, known, ranks, least).view(np.int64) if w else None for f, w in zip(found, wide)], pa.list_(pa.int64()))
             bits = pa.array([bitmap(f) if w else None for f, w in zip(found, wide)], pa.list_(pa.int64()))
-            arrays = [batch.column(0), keys, pa.array([len(f) for f in found], pa.int64()), first, bits]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "size", "prefix", "bits"])
+            arrays = [batch.column(0), keys, pa.array([len(f) for f in found], pa.int64()), first, bits, pa.array([wide_bitmap(f) for f in found], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "size", "prefix", "bits", "wide"])
 
         return step
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return stored(map_batches(rows, make, "doc_id long, key binary, size long, prefix array<bigint>, bits array<bigint>"), "sets")
+    return stored(map_batches(rows, make, "doc_id long, key binary, size long, prefix array<bigint>, bits array<bigint>, wide binary"), "sets")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """id, hashes of the sets in ``wanted`` (id, key), computed from the texts; stored."""
+    """id, size, hashes of the sets in ``wanted`` (id, key), computed from the texts; stored."""
     head = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long").alias("seed")
     known = seed_filter(wanted.select(head))
 
@@ -187,68 +199,88 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, text: str = "text", shingle:
         return step
 
     found = map_batches(_texts(docs, text), make, "key binary, hashes binary")
-    return stored(found.join(wanted, "key").select("id", "hashes").dropDuplicates(["id"]), "whole")
+    found = found.dropDuplicates(["key"]).join(wanted, "key")
+    return stored(found.select("id", F.expr("length(hashes) div 8").alias("size"), "hashes"), "whole")
 
 
-def verified(pairs: DataFrame, whole: DataFrame, least: int = LEAST) -> DataFrame:
-    """The pairs ``a, b`` of sets that link, stored."""
+def _near(pairs: DataFrame, sets: DataFrame, value: str, near: Callable[[bytes | None, bytes | None, int], bool]) -> DataFrame:
+    """The ``pairs`` (a, b) whose values in ``sets`` (id, size, value) and added sizes pass ``near``; stored."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            near = []
-            for p, q in zip(batch.column(2), batch.column(3)):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                near.append(100 * both >= least * (len(p) + len(q) - both))
-            return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(near, pa.bool_())], names=["a", "b", "near"])
+            ok = [near(p, q, n) for p, q, n in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ok, pa.bool_())], names=["a", "b", "near"])
 
         return step
 
-    both = pairs.join(whole.toDF("a", "x"), "a").join(whole.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return stored(map_batches(both, make, "a long, b long, near boolean").where("near").select("a", "b"), "links")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = sets.join(ends, "id", "left_semi").select("id", "size", value)
+    both = pairs.join(sets.toDF("a", "m", "x"), "a").join(sets.toDF("b", "n", "y"), "b").select("a", "b", "x", "y", F.expr("m + n"))
+    return stored(map_batches(both, make, "a long, b long, near boolean").where("near").select("a", "b"), "near")
+
+
+def verified(pairs: DataFrame, members: DataFrame, whole: DataFrame, least: int = LEAST) -> DataFrame:
+    """The pairs ``a, b`` of sets that link, stored: by the wide bitmaps of large sets first, then by the sets."""
+
+    def possible(x: bytes | None, y: bytes | None, sizes: int) -> bool:
+        return x is None or y is None or (100 + least) * wide_distance(x, y) <= (100 - least) * sizes
+
+    def linked(x: bytes, y: bytes, sizes: int) -> bool:
+        both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+        return 100 * both >= least * (sizes - both)
+
+    left = _near(pairs, members, "wide", possible)
+    return _near(left, whole, "hashes", linked)
 
 
 def _distance(x: str, y: str) -> str:
     return " + ".join(f"bit_count({x}[{i}] ^ {y}[{i}])" for i in range(BITMAP))
 
 
+def _sized(least: int) -> str:
+    return f"100 * least(x.size, y.size) >= {least} * greatest(x.size, y.size)"
+
+
 def _may_link(least: int, slack: str = "0") -> str:
     """Of sets ``x`` and ``y``: their sizes, and a distance of their bitmaps that does not rule a link out."""
     return (
-        f"100 * least(x.size, y.size) >= {least} * greatest(x.size, y.size) AND "
+        f"{_sized(least)} AND "
         f"{100 + least} * ({_distance('x.bits', 'y.bits')} - ({slack})) <= {100 - least} * (x.size + y.size)"
     )
 
 
 def grouped(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members ``id, key, gid, size, bits`` and groups ``gid, size, bits, prefix, reach``; both stored."""
+    """Members other than the first of their group ``id, key, gid, size, bits, wide``; groups with their first member's columns, prefix and reach."""
     own = classes.where("prefix IS NOT NULL").withColumn("p", F.xxhash64("prefix")).withColumn("r", F.hash("prefix", F.lit(1)))
-    firsts = own.groupBy("size", "p", "r").agg(F.min("id").alias("gid"))
-    members = stored(own.join(firsts, ["size", "p", "r"]).select("id", "key", "gid", "size", "bits", "prefix"), "members")
-    first = members.where("id = gid")
-    far = members.where("id <> gid").alias("x").join(first.alias("y"), F.expr("x.gid = y.gid"))
-    reach = far.groupBy("y.gid").agg(F.max(F.expr(_distance("x.bits", "y.bits"))).alias("reach"))
-    groups = first.select("gid", "size", "bits", "prefix").join(reach, "gid", "left").fillna(0, ["reach"])
-    return members.drop("prefix"), stored(groups, "prefix_groups")
-
-
-def listed(groups: DataFrame) -> DataFrame:
-    """token, total, gid, size, bits, reach: groups under each shingle of their prefix that another group has too."""
-    spread = groups.select("gid", F.explode("prefix").alias("token"))
+    first = F.min(F.struct("id", "key", "bits", "wide", "prefix")).alias("first")
+    groups = stored(own.groupBy("size", "p", "r").agg(F.count("*").alias("n"), first).select("size", "p", "r", "n", F.col("first.id").alias("gid"), "first"), "prefix_groups")
+    large = groups.where("n > 1").select("size", "p", "r", "gid")
+    others = stored(own.join(large, ["size", "p", "r"]).where("id <> gid").select("id", "key", "gid", "size", "bits", "wide"), "others")
+    far = others.alias("x").join(groups.where("n > 1").alias("y"), F.expr("x.gid = y.gid"))
+    reach = far.groupBy("y.gid").agg(F.max(F.expr(_distance("x.bits", "y.first.bits"))).alias("reach"))
+    groups = groups.select("gid", "size", "n", "first.key", "first.bits", "first.wide", "first.prefix").join(reach, "gid", "left")
+    return others, groups.withColumn("reach", F.coalesce("reach", F.lit(0)))
+
+
+def listed(groups: DataFrame, least: int = LEAST) -> DataFrame:
+    """token, total, gid, size, bits, reach: groups under each shingle of their prefix that a group of such a size has too."""
+    spread = groups.select("gid", "size", F.explode("prefix").alias("token"))
     counts = spread.groupBy("token").agg(F.count("*").alias("total")).where("total > 1")
-    return stored(spread.join(counts, "token").join(groups.drop("prefix"), "gid"), "listed")
+    shared = stored(spread.join(counts, "token"), "shared")
+    alike = shared.alias("x").join(shared.alias("y"), F.expr(f"x.token = y.token AND x.gid <> y.gid AND {_sized(least)}"), "left_semi")
+    return stored(alike.join(groups.select("gid", "bits", "reach"), "gid"), "listed")
 
 
 def links(docs: DataFrame, classes: DataFrame, text: str = "text", shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
     """Edges ``a, b`` between sets, enough to join all that link."""
-    members, groups = grouped(classes)
-    lists = listed(groups)
+    others, groups = grouped(classes)
+    lists = listed(groups, least)
     near = _may_link(least, "x.reach + y.reach")
     partner = lists.alias("x").join(lists.alias("y"), F.expr(f"x.token = y.token AND x.gid <> y.gid AND {near}"), "left_semi")
-    large = members.where("id <> gid").select("gid")
-    active = partner.select("gid").union(large).distinct()
-    members = stored(members.join(active, "gid", "left_semi"), "active")
+    active = stored(partner.select("gid").union(others.select("gid")).distinct(), "partners")
     lists = stored(lists.join(active, "gid", "left_semi"), "active_lists")
+    firsts = groups.join(active, "gid", "left_semi").select(F.col("gid").alias("id"), "key", "gid", "size", "bits", "wide")
+    members = stored(firsts.unionByName(others), "members")
     whole = whole_sets(docs, members.select("id", "key"), text, shingle)
 
     # each group's members against its first, and each list's groups against the one that meets most others
@@ -259,18 +291,18 @@ def links(docs: DataFrame, classes: DataFrame, text: str = "text", shingle: int
     star = lists.alias("x").join(hubs.alias("y"), F.expr(f"x.token = y.token AND x.gid <> y.gid AND {_may_link(least)}"))
     ends = [F.least("x.gid", "y.gid").alias("a"), F.greatest("x.gid", "y.gid").alias("b")]
     tried = stored(own.select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).unionByName(star.select(*ends)).distinct(), "tried")
-    found = verified(tried, whole, least)
+    found = verified(tried, members, whole, least)
 
     last = False
     while True:
         roots = components(found).withColumnRenamed("node", "id")
-        rooted = stored(members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+        rooted = stored(members.drop("wide").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
         left = stored(_open_pairs(rooted, lists, least).join(tried.toDF("x", "y"), ["x", "y"], "left_anti"), "open")
         if left.isEmpty():
             return found
         pairs = left if last else left.groupBy("root_x", "root_y").agg(F.min(F.struct("far", "x", "y")).alias("best")).select("best.*")
         pairs = stored(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs")
-        more = verified(pairs, whole, least)
+        more = verified(pairs, members, whole, least)
         if last:
             return stored(found.unionByName(more), "found")
         last = more.isEmpty()
@@ -301,7 +333,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     rows = sets(docs, doc_id, text, shingle, least)
     full = rows.where("size > 0")
     firsts = full.groupBy("key").agg(F.min("doc_id").alias("first"))
-    classes = full.select("key", "size", "prefix", "bits").dropDuplicates(["key"]).withColumn("id", F.monotonically_increasing_id())
+    classes = full.select("key", "size", "prefix", "bits", "wide").dropDuplicates(["key"]).withColumn("id", F.monotonically_increasing_id())
     classes = stored(classes, "classes")
     roots = components(links(docs, classes, text, shingle, least)).withColumnRenamed("node", "id")
     rooted = classes.select("id", "key").join(firsts, "key").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))

@@ -60,6 +60,8 @@ def fixture(seed=5, crowd=120):
     texts += [" ".join(own[i:] + own[:i]) for i in range(0, 90, 9)] + [" ".join(licence * k) for k in (1, 2, 3)]
     chain = words(200)
     texts += [" ".join(chain[i : i + 150]) for i in range(0, 50, 5)]
+    book = words(1300)
+    texts += [" ".join(changed(book, n)) for n in (0, 3, 9, 30, 60, 70)] + [" ".join(changed(words(1300), 0)) for _ in range(3)]
     texts += ["very " * 30_000 + "long", "very " * 30_000 + "lengthy"] + [texts[20]] * 50
     rows = [(i, t, "k", 1, "p") for i, t in enumerate(texts)]
     rnd.shuffle(rows)
@@ -94,8 +96,8 @@ def test_prefixes_of_linked_sets_meet_and_bitmaps_bound():
         both = len(np.intersect1d(a, b))
         if 100 * both >= 90 * (len(a) + len(b) - both):
             assert len(np.intersect1d(jaccard.prefix(a, known, ranks), jaccard.prefix(b, known, ranks)))
-        far = sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(jaccard.bitmap(a), jaccard.bitmap(b)))
-        assert far <= len(a) + len(b) - 2 * both
+        for m, n in ((8, 8), (1, 1), (2, 8)):
+            assert jaccard.wide_distance(jaccard.bitmap(a, m).tobytes(), jaccard.bitmap(b, n).tobytes()) <= len(a) + len(b) - 2 * both
 
 
 def test_same_sets_whatever_the_pieces(monkeypatch):
