@@ -17,7 +17,8 @@ their bitmaps, and what is left is verified on the whole sets.
 Links are followed in rounds.  The first holds each group's members against its
 first, and each list's groups against one that meets most others.  The next ones
 take, of each two components that may still link, the pair with the least bitmap
-distance, as long as this joins any; the last takes all pairs that are left.  No link between components is lost, and no
+distance; the last takes all pairs that are left, as soon as these are no more than the
+sets, or a round joins nothing.  No link between components is lost, and no
 round makes the pairs inside a component.
 
 Whole sets are computed again from the texts, for the sets with a possible partner
@@ -293,13 +294,15 @@ def links(docs: DataFrame, classes: DataFrame, text: str = "text", shingle: int
     tried = stored(own.select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).unionByName(star.select(*ends)).distinct(), "tried")
     found = verified(tried, members, whole, least)
 
-    last = False
+    last, bound = False, members.count()
     while True:
         roots = components(found).withColumnRenamed("node", "id")
         rooted = stored(members.drop("wide").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
         left = stored(_open_pairs(rooted, lists, least).join(tried.toDF("x", "y"), ["x", "y"], "left_anti"), "open")
-        if left.isEmpty():
+        n = left.select("x", "y").distinct().count()
+        if not n:
             return found
+        last = last or n <= bound  # no more pairs than sets are left
         pairs = left if last else left.groupBy("root_x", "root_y").agg(F.min(F.struct("far", "x", "y")).alias("best")).select("best.*")
         pairs = stored(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs")
         more = verified(pairs, members, whole, least)
