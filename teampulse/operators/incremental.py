@@ -41,13 +41,13 @@ def extraction_mark(target: DataFrame | None) -> dt.datetime | None:
     return _max(target, EXTRACTED_AT)
 
 
-def weeks_since(target: DataFrame | None, weeks: int = 4) -> dt.date | None:
-    """First week to count again; None for everything."""
-    newest = _newest(target, WEEK)
+def weeks_since(target: DataFrame | dt.date | None, weeks: int = 4) -> dt.date | None:
+    """First week to count again; None for everything.  ``target``: the counts so far, or their newest week."""
+    newest = target if isinstance(target, dt.date) else _newest(target, WEEK)
     return None if newest is None else newest - dt.timedelta(weeks=weeks)
 
 
-def months_since(target: DataFrame | None, column: str = "month_start_date") -> dt.date | None:
-    """First month to count again: the one before the newest."""
-    newest = _newest(target, column)
+def months_since(target: DataFrame | dt.date | None, column: str = "month_start_date") -> dt.date | None:
+    """First month to count again: the one before the newest.  ``target``: the counts so far, or their newest month."""
+    newest = target if isinstance(target, dt.date) else _newest(target, column)
     return None if newest is None else (newest.replace(day=1) - dt.timedelta(days=1)).replace(day=1)

@@ -5,6 +5,10 @@ over as many tasks as its rows need.  Each row's number over the whole table fol
 from its place in its partition and the sizes of the partitions before.  The rank in
 a group is that number less the smallest of the group.  There is one way for groups
 of every size.
+
+Only the group, the sort keys and a row id are sorted.  The rows themselves are stored
+once and meet their ranks in one join, however wide they are and however many ranks
+they get.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from pyspark.sql import functions as F
 from teampulse.session import stored
 
 _TIE, _PLACE, _PART, _START, _NUMBER, _FIRST = "__tie", "__place", "__part", "__start", "__number", "__first"
+#: Name of the row id that joins rows and ranks.
+ROW = "__row"
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
@@ -43,15 +49,31 @@ def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
     return placed.withColumn(_PART, part).join(starts, _PART).withColumn(out, number).drop(_PART, _START, _PLACE)
 
 
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """The rows, stored, with an id each in ``ROW``."""
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def ranks(rows: DataFrame, group: list[str], keys: list[Column], out: str) -> DataFrame:
+    """``ROW`` and rank of the rows from :func:`with_row_ids`.
+
+    The range sort reads its input twice, for the bounds and for the rows; both times
+    these are the few stored columns that it needs.
+    """
+    names = [f"__key{i}" for i in range(len(keys))]
+    narrow = rows.select(ROW, *group, *[k.alias(n) for k, n in zip(keys, names)])
+    placed = numbered(narrow, [F.col(c) for c in [*group, *names]], _NUMBER).select(ROW, *group, _NUMBER)
+    firsts = placed.groupBy(*group).agg(F.min(_NUMBER).alias(_FIRST))
+    return null_safe_join(placed, firsts, group).select(ROW, (F.col(_NUMBER) - F.col(_FIRST) + 1).alias(out))
+
+
 def rank_rows(df: DataFrame, group: list[str], keys: list[Column], out: str) -> DataFrame:
     """``row_number()`` per group in ascending order of ``keys``.
 
     Negate numeric keys for a descending order.
     """
-    rows = numbered(df, [*[F.col(c) for c in group], *keys], _NUMBER)
-    firsts = rows.groupBy(*group).agg(F.min(_NUMBER).alias(_FIRST))
-    joined = null_safe_join(rows, firsts, group)
-    return joined.withColumn(out, F.col(_NUMBER) - F.col(_FIRST) + 1).drop(_NUMBER, _FIRST)
+    rows = with_row_ids(df)
+    return rows.join(ranks(rows, group, keys, out), ROW).drop(ROW)
 
 
 def percent_rank_rows(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:

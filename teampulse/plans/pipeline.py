@@ -25,6 +25,7 @@ from teampulse.plans import reports as W
 from teampulse.plans import staging as C
 from teampulse.session import run_scratch
 from teampulse.sources import tables
+from teampulse.sources.schemas import EXTRACTED_AT
 
 # layer of each stored table, as folder names below the root
 STAGING, INTERMEDIATE, MARTS = "staging", "intermediate", "marts"
@@ -61,6 +62,10 @@ class Store:
     def read_or_none(self, layer: str, name: str) -> DataFrame | None:
         return self.read(layer, name) if self.has(layer, name) else None
 
+    def newest(self, layer: str, name: str, column: str) -> dt.date | dt.datetime | None:
+        """Greatest value that a stored table's writes have noted, without a job; None without the table."""
+        return tables.newest(self.spark, self.path(layer, name), column) if self.has(layer, name) else None
+
     def flat(self, layer: str, name: str, df: DataFrame, spread: list[str] = ()) -> DataFrame:
         return tables.replace_flat(df, self.path(layer, name), spread)
 
@@ -74,7 +79,7 @@ def load_feeds(store: Store, raw: dict[str, DataFrame], full_refresh: bool = Fal
     for feed, (name, clean, keys, first) in FEEDS.items():
         path = store.path(STAGING, name)
         target = None if full_refresh else store.read_or_none(STAGING, name)
-        fresh = clean(I.newly_extracted(raw[feed], I.extraction_mark(target)))
+        fresh = clean(I.newly_extracted(raw[feed], None if target is None else store.newest(STAGING, name, EXTRACTED_AT)))
         if target is None:
             out[name] = tables.replace_table(fresh, path, "created_at", keys)
             continue
@@ -89,7 +94,7 @@ def load_weekly(store: Store, feeds: dict[str, DataFrame], full_refresh: bool =
     out = {}
     for name in METRICS:
         target = None if full_refresh else store.read_or_none(INTERMEDIATE, f"weekly_{name}")
-        fresh = M.weekly_tables(feeds, I.weeks_since(target))[name]
+        fresh = M.weekly_tables(feeds, I.weeks_since(None if target is None else store.newest(INTERMEDIATE, f"weekly_{name}", WEEK)))[name]
         path = store.path(INTERMEDIATE, f"weekly_{name}")
         if target is None:
             out[name] = tables.replace_table(fresh, path, WEEK, WEEKLY_KEYS)
@@ -112,7 +117,7 @@ def load_engagement(
     if target is None:
         rows = E.engagement_full(members, weekly, spine, as_of).select("*", stamp)
         return tables.replace_table(rows, path, WEEK, WEEKLY_KEYS)
-    newest = I.weeks_since(target, 0)
+    newest = store.newest(INTERMEDIATE, "engagement", WEEK)
     changes = E.engagement_changes(members, weekly, target, newest, as_of).select("*", stamp)
     return tables.upsert(store.spark, path, changes, WEEKLY_KEYS, WEEK, WEEKLY_KEYS)
 
@@ -227,7 +232,7 @@ def run_monthly(
         loaded = refresh(store, raw, as_of, full_refresh, staff_tag)
         courses = loaded.feeds["courses"]
         target = None if full_refresh else store.read_or_none(INTERMEDIATE, "monthly_courses")
-        fresh = M.monthly_courses(courses, I.months_since(target))
+        fresh = M.monthly_courses(courses, I.months_since(None if target is None else store.newest(INTERMEDIATE, "monthly_courses", M.MONTH)))
         keys = [MEMBER, M.MONTH]
         path = store.path(INTERMEDIATE, "monthly_courses")
         if target is None:

@@ -145,15 +145,21 @@ def rank_keys() -> dict[str, list]:
 
 
 def with_ranks(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Performance and mover rank, percentile, and ``inactive_rank`` where it is three or less."""
+    """Performance and mover rank, percentile, and ``inactive_rank`` where it is three or less.
+
+    ``rows`` come from :func:`ranking.with_row_ids`.  All ranks are worked out on narrow
+    rows, and the wide ones are joined to them once.
+    """
     # the business settles rows of a member that a manager sees in two businesses
     keys = {name: [*order, F.col("business_name")] for name, order in rank_keys().items()}
-    for name in ("mover_rank", "performance_rank"):
-        rows = ranking.rank_rows(rows, group, keys[name], name)
-    rows = stored(ranking.percent_rank_rows(rows, group, "total_points", "performance_percentile"), "ranked")
-    # the performance rank names a row of its group
-    first = ranking.top_rows(rows, group, keys["inactive_rank"], INACTIVE, "inactive_rank")
-    return ranking.null_safe_join(rows, first.select(*group, "performance_rank", "inactive_rank"), [*group, "performance_rank"], "left")
+    narrow = rows.select(ranking.ROW, *group, "total_points")
+    share = ranking.percent_rank_rows(narrow, group, "total_points", "performance_percentile")
+    idle = ranking.top_rows(rows, group, keys["inactive_rank"], INACTIVE, "inactive_rank")
+    found = ranking.ranks(rows, group, keys["mover_rank"], "mover_rank")
+    found = found.join(ranking.ranks(rows, group, keys["performance_rank"], "performance_rank"), ranking.ROW)
+    found = found.join(share.select(ranking.ROW, "performance_percentile"), ranking.ROW)
+    found = found.join(idle.select(ranking.ROW, "inactive_rank"), ranking.ROW, "left")
+    return rows.join(found, ranking.ROW).drop(ranking.ROW)
 
 
 def with_labels(rows: DataFrame) -> DataFrame:
@@ -203,7 +209,7 @@ def manager_rankings(
     reports expect; ``per_business=True`` ranks and joins per business instead.
     """
     group = [*TEAM, "business_name"] if per_business else TEAM
-    rows = week_over_week(scored(team, weights), weights)
+    rows = ranking.with_row_ids(week_over_week(scored(team, weights), weights))
     summary = team_summary(rows, team_stats(relationships)).drop("manager_full_name", "week_end_date")
     if not per_business:
         summary = summary.drop("business_name")

@@ -4,6 +4,10 @@ An upsert rewrites only the months it touches.  Spark stages the new files of a
 dynamic overwrite and moves them in when the job commits, so a lost executor
 costs a retry of its tasks and no data.  Readers that need one consistent view
 across months should read between runs.
+
+Each write observes the greatest date or time of the table's period column and of the
+extraction time, and keeps it with the table's columns.  Watermarks are read from there,
+without a job.
 """
 
 from __future__ import annotations
@@ -11,13 +15,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from teampulse.functions.dates import month_start
 from teampulse.operators.dedup import keep_first
 from teampulse.session import scratch_path
+from teampulse.sources.schemas import EXTRACTED_AT
 
 MONTH = "month"
 COLUMNS = "_columns.json"  # current columns; Spark skips names that start with an underscore
@@ -43,9 +48,8 @@ def _state(spark: SparkSession, path: str) -> dict:
         source.close()
 
 
-def _save_state(spark: SparkSession, path: str, schema: T.StructType, physical: dict[str, str], used: list[str]) -> None:
+def _save_state(spark: SparkSession, path: str, state: dict) -> None:
     fs, p = _fs(spark, f"{path}/{COLUMNS}")
-    state = {"schema": json.loads(schema.json()), "physical": physical, "used": used}
     out = fs.create(p, True)
     out.write(bytearray(json.dumps(state), "utf-8"))
     out.close()
@@ -58,7 +62,7 @@ def _save_schema(spark: SparkSession, path: str, schema: T.StructType, fresh: bo
     that values from before it left do not show up again.  ``fresh`` is for tables
     that are written as a whole.
     """
-    old = {"physical": {}, "used": []} if fresh else _state(spark, path)
+    old = {"physical": {}, "used": [], "newest": {}} if fresh else _state(spark, path)
     used = list(old["used"])
     physical = {}
     for name in schema.names:
@@ -67,10 +71,53 @@ def _save_schema(spark: SparkSession, path: str, schema: T.StructType, fresh: bo
             known = name if name not in used else f"{name}__{sum(u.split('__')[0] == name for u in used)}"
             used.append(known)
         physical[name] = known
-    _save_state(spark, path, schema, physical, used)
+    state = {"schema": json.loads(schema.json()), "physical": physical, "used": used, "newest": old.get("newest")}
+    _save_state(spark, path, state)
     return physical
 
 
+#: How a value is kept as a whole number, by type.
+_KEPT = {T.DateType(): F.unix_date, T.TimestampType(): F.unix_micros}
+
+
+class _Newest:
+    """Watches the greatest value of some date and time columns in the rows of one write."""
+
+    def __init__(self, df: DataFrame, columns: list[str]):
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        found = [_KEPT[kinds[c]](F.max(c)).alias(c) for c in dict.fromkeys(columns) if kinds.get(c) in _KEPT]
+        self.seen = Observation() if found else None
+        self.rows = df.observe(self.seen, *found) if found else df
+
+    def keep(self, path: str) -> None:
+        """Call after the write.  A table without earlier values keeps none: they would miss its older rows."""
+        state = _state(self.rows.sparkSession, path)
+        if self.seen is None or state.get("newest") is None:
+            return
+        for name, value in self.seen.get.items():
+            known = state["newest"].get(name)
+            state["newest"][name] = max(value, known) if value is not None and known is not None else known if value is None else value
+        _save_state(self.rows.sparkSession, path, state)
+
+
+def newest(spark: SparkSession, path: str, column: str) -> dt.date | dt.datetime | None:
+    """Greatest value of a date or time column that was ever written to the table at ``path``; None if there is none.
+
+    Taken from what the writes noted; a table that has no note of the column is scanned.
+    """
+    state = _state(spark, path)
+    kind = T.StructType.fromJson(state["schema"])[column].dataType
+    noted = state.get("newest") or {}
+    if column not in noted:
+        return read_table(spark, path).agg(F.max(column)).head()[0]
+    value = noted[column]
+    if value is None:
+        return None
+    if kind == T.DateType():
+        return dt.date(1970, 1, 1) + dt.timedelta(days=value)
+    return dt.datetime.fromtimestamp(value // 1_000_000).replace(microsecond=value % 1_000_000)
+
+
 def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(names[c]) for c in df.columns])
 
@@ -107,8 +154,10 @@ def replace_table(
     """
     spark = df.sparkSession
     full = _with_month(df, by)
-    _write(full, path, list(cluster), "overwrite", "static", many_months)
+    seen = _Newest(full, [by, EXTRACTED_AT])
+    _write(seen.rows, path, list(cluster), "overwrite", "static", many_months)
     _save_schema(spark, path, full.schema)
+    seen.keep(path)
     return read_table(spark, path)
 
 
@@ -129,7 +178,9 @@ def append_rows(df: DataFrame, path: str, by: str) -> DataFrame:
     spark = df.sparkSession
     full = _with_month(df, by)
     names = _save_schema(spark, path, full.schema, not exists(spark, f"{path}/{COLUMNS}"))
-    _write(_renamed(full, names), path, [], "append", "dynamic")
+    seen = _Newest(full, [by, EXTRACTED_AT])
+    _write(_renamed(seen.rows, names), path, [], "append", "dynamic")
+    seen.keep(path)
     return read_table(spark, path)
 
 
@@ -190,8 +241,9 @@ def upsert(
     if not exists(spark, f"{path}/{COLUMNS}"):
         return replace_table(updates, path, by, cluster)
     staged_path = scratch_path(spark, "updates")
-    staged_schema = _with_month(updates, by).schema
-    _with_month(updates, by).write.parquet(staged_path)
+    seen = _Newest(_with_month(updates, by), [by, EXTRACTED_AT])
+    staged_schema = seen.rows.schema
+    seen.rows.write.parquet(staged_path)
     staged = spark.read.schema(staged_schema).parquet(staged_path)
     target = read_table(spark, path)
     names = _save_schema(spark, path, staged_schema, fresh=False)
@@ -211,4 +263,5 @@ def upsert(
             fs, p = _fs(spark, f"{path}/{MONTH}={month.isoformat() if month else '__HIVE_DEFAULT_PARTITION__'}")
             fs.delete(p, True)
         spark.catalog.refreshByPath(path)
+    seen.keep(path)
     return read_table(spark, path)
