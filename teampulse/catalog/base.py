@@ -15,6 +15,7 @@ from teampulse.plans import metrics as M
 from teampulse.plans import relations as B
 from teampulse.plans import reports as W
 from teampulse.plans import staging as C
+from teampulse.plans import teams as T
 from teampulse.session import configure, scratch_path
 from teampulse.sources import tables
 
@@ -112,9 +113,15 @@ class Base:
     def team(self) -> DataFrame:
         return self.stored("team", W.team_engagement(self.relationships, self.engagement, X.AS_OF))
 
+    @cached_property
+    def member_rows(self) -> DataFrame:
+        managed = T.managed_members(self.mapping, self.members, self.tags)
+        return self.stored("member_rows", T.member_rows(managed, self.engagement, X.AS_OF))
+
     @cached_property
     def rankings(self) -> DataFrame:
-        return self.stored("rankings", W.manager_rankings(self.team, self.relationships))
+        summary = T.team_summary(self.mapping, self.member_rows)
+        return self.stored("rankings", W.manager_rankings(self.team, self.relationships, summary=summary))
 
     @cached_property
     def detail(self) -> DataFrame:

@@ -13,6 +13,7 @@ from teampulse.plans import monthly as MO
 from teampulse.plans import relations as B
 from teampulse.plans import reports as W
 from teampulse.plans import staging as C
+from teampulse.plans import teams as T
 from teampulse.sources import delivery
 
 
@@ -447,7 +448,7 @@ def _(b: Base):
 
 @query("manager_rankings", "SELECT * FROM fx_ranking")
 def _(b: Base):
-    return W.manager_rankings(b.team, b.relationships)
+    return W.manager_rankings(b.team, b.relationships, summary=T.team_summary(b.mapping, b.member_rows))
 
 
 @query(
@@ -666,7 +667,7 @@ def _(b: Base):
     FROM fx_detail GROUP BY {HEADER}""",
 )
 def _(b: Base):
-    return XP.summary_export(b.detail)
+    return T.summary_export(b.mapping, b.member_rows)
 
 
 @query(

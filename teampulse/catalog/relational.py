@@ -17,6 +17,7 @@ from teampulse.plans import metrics as M
 from teampulse.plans import monthly as MO
 from teampulse.plans import relations as B
 from teampulse.plans import reports as W
+from teampulse.plans import teams as T
 
 TEAM = ["manager_email", WEEK]
 
@@ -275,8 +276,7 @@ def _(b: Base):
 
 @query("team_summary", "SELECT * FROM fx_summary")
 def _(b: Base):
-    rows = W.week_over_week(W.scored(b.team))
-    out = W.team_summary(rows, W.team_stats(b.relationships)).withColumnRenamed("business_name", "summary_business")
+    out = T.team_summary(b.mapping, b.member_rows).withColumnRenamed("business_name", "summary_business")
     return out.drop("manager_full_name", WEEK, "week_end_date")
 
 

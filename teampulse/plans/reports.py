@@ -67,6 +67,14 @@ def team_engagement(
     The weeks of a member are turned into columns before the join: the mapping is
     shuffled once however many weeks are asked for.
     """
+    mapping = relationships.select(*MAPPING, "relationship_type").distinct().drop("relationship_type")
+    return member_weeks(mapping, engagement, as_of, n_weeks, keep_weeks)
+
+
+def member_weeks(
+    people: DataFrame, engagement: DataFrame, as_of: dt.date | str, n_weeks: int = 2, keep_weeks: int | None = None
+) -> DataFrame:
+    """The rows of ``people``, found by ``member_community_id``, once per week with that week's activity."""
     latest = last_finished_week(engagement, as_of)
     weeks = [F.date_sub(latest, 7 * i) for i in range(n_weeks)]
     recent = engagement.where((F.col(WEEK) <= latest) & (F.col(WEEK) >= weeks[-1]))
@@ -76,7 +84,6 @@ def team_engagement(
     per_member = recent.groupBy(F.col("community_member_id").alias("member_community_id")).agg(
         *[F.max(F.when(F.col(WEEK) == week, F.col(m))).alias(f"__{m}{i}") for i, week in enumerate(weeks) for m in METRICS]
     )
-    mapping = relationships.select(*MAPPING, "relationship_type").distinct().drop("relationship_type")
 
     def metrics(i: int) -> list:
         return [zero_if_null(f"__{m}{i}").alias(m) for m in METRICS]
@@ -90,10 +97,10 @@ def team_engagement(
         )
         for i, week in enumerate(weeks[:keep_weeks])
     ]
-    filled = mapping.join(per_member, "member_community_id", "left").select(*MAPPING, F.inline(F.array(*rows)))
+    filled = people.join(per_member, "member_community_id", "left").select(*people.columns, F.inline(F.array(*rows)))
     score = total(*METRICS)
     return filled.select(
-        *MAPPING,
+        *people.columns,
         WEEK,
         D.week_end(WEEK).alias("week_end_date"),
         *METRICS,
@@ -128,8 +135,13 @@ def with_point_parts(rows: DataFrame, weights: dict[str, int] = R.POINTS) -> Dat
 
 def week_over_week(points: DataFrame, weights: dict[str, int] = R.POINTS) -> DataFrame:
     """Newest week with the points of the week before."""
+    return with_changes(only_newest(points), weights)
+
+
+def with_changes(points: DataFrame, weights: dict[str, int] = R.POINTS, keep: list[str] = ()) -> DataFrame:
+    """Points of the week before and the change; ``previous`` goes unless ``keep`` names it."""
     before = zero_if_null(total(*[F.col(f"previous.{m}") * F.lit(w).cast("bigint") for m, w in weights.items()]))
-    rows = only_newest(points).withColumn("previous_week_points", before).drop("previous")
+    rows = points.withColumn("previous_week_points", before).drop(*[c for c in ["previous"] if c not in keep])
     return rows.withColumn("points_change", F.col("total_points") - F.col("previous_week_points"))
 
 
@@ -189,6 +201,11 @@ def team_summary(rows: DataFrame, stats: DataFrame) -> DataFrame:
         F.round(F.avg("points_change"), 1).alias("team_avg_points_change"),
         *[F.sum(m).alias(new) for new, m in sums.items()],
     )
+    return with_team_size(grouped, stats)
+
+
+def with_team_size(grouped: DataFrame, stats: DataFrame) -> DataFrame:
+    """Team size and business total of a team's totals, its rows in ``__rows`` where they are not known."""
     return (
         grouped.join(stats, ["manager_email", "business_name"], "left")
         .withColumn("team_size", F.coalesce("team_size", "__rows"))
@@ -202,15 +219,21 @@ def manager_rankings(
     relationships: DataFrame,
     per_business: bool = False,
     weights: dict[str, int] = R.POINTS,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """Newest week ranked per manager, labelled, with the team's totals on each row.
 
+    ``summary`` takes the totals from :func:`teams.team_summary`, which does not read
+    the pairs; without it they are added up from ``team``.
+
     A manager of k businesses gets each row once per business summary, as the
     reports expect; ``per_business=True`` ranks and joins per business instead.
     """
     group = [*TEAM, "business_name"] if per_business else TEAM
     rows = ranking.with_row_ids(week_over_week(scored(team, weights), weights))
-    summary = team_summary(rows, team_stats(relationships)).drop("manager_full_name", "week_end_date")
+    if summary is None:
+        summary = team_summary(rows, team_stats(relationships))
+    summary = summary.drop("manager_full_name", "week_end_date")
     if not per_business:
         summary = summary.drop("business_name")
     labelled = with_point_parts(with_labels(with_ranks(rows, group)), weights)
@@ -237,13 +260,7 @@ def manager_report_nested(team: DataFrame, relationships: DataFrame) -> DataFram
     ]
     lists = ordered.list_per_group(rows, group, order, member, "team_members")
     both = ranking.null_safe_join(rows.groupBy(*group).agg(*totals), lists, group)
-    return (
-        both.join(team_stats(relationships), ["manager_email", "business_name"], "left")
-        .withColumn("team_size", F.coalesce("team_size", "__rows"))
-        .withColumn("business_total_members", F.coalesce("business_total_members", "__rows"))
-        .withColumnRenamed("manager_full_name", "manager_name")
-        .drop("__rows")
-    )
+    return with_team_size(both, team_stats(relationships)).withColumnRenamed("manager_full_name", "manager_name")
 
 
 # metric -> (name this week, name last week, name of the difference)
