@@ -23,6 +23,7 @@ from teampulse.plans import metrics as M
 from teampulse.plans import pipeline as P
 from teampulse.plans import relations as B
 from teampulse.plans import reports as W
+from teampulse.plans import teams as T
 from teampulse.session import local_session
 from teampulse.sources import tables
 
@@ -64,8 +65,10 @@ def main() -> None:
     newest = I.weeks_since(target, 0)
     as_of = newest + dt.timedelta(days=8)
 
+    known = b.stored("known_members", E.known_members(target))  # the weekly run keeps this list
+
     def incremental():
-        changes = E.engagement_changes(people, weekly, target, newest, as_of)
+        changes = E.engagement_changes(people, weekly, known, newest, as_of)
         return tables.upsert(spark, path, changes, keys, grid.WEEK, keys)
 
     timed("engagement_incremental", incremental)
@@ -83,7 +86,7 @@ def main() -> None:
     relations, engagement = b.relationships, b.engagement
     timed("team_engagement", lambda: run(W.team_engagement(relations, engagement, X.AS_OF)))
     team = b.team
-    timed("manager_rankings", lambda: run(W.manager_rankings(team, relations)))
+    timed("manager_rankings", lambda: run(W.manager_rankings(team, relations, summary=T.team_summary(mapping, b.member_rows))))
     timed("team_detail", lambda: run(W.team_detail(team)))
     timed("manager_report_nested", lambda: run(W.manager_report_nested(team, relations)))
     rankings = b.rankings

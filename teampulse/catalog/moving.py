@@ -367,7 +367,9 @@ def _(b: Base):
     early = {k: v.where(cut) for k, v in b.weekly.items()}
     known = b.people.where(F.col("user_profile_created_at") < F.lit(dt.datetime(2024, 1, 18)))
     target = tables.upsert(b.spark, path, E.engagement_full(known, early), P.WEEKLY_KEYS, WEEK, P.WEEKLY_KEYS)
-    changes = E.engagement_changes(b.people, b.weekly, target, I.weeks_since(target, 0), X.AS_OF)
+    # the run keeps the ids with rows beside the table and asks these alone
+    ids = b.stored("known_members", E.known_members(target))
+    changes = E.engagement_changes(b.people, b.weekly, ids, I.weeks_since(target, 0), X.AS_OF)
     done = tables.upsert(b.spark, path, changes, P.WEEKLY_KEYS, WEEK, P.WEEKLY_KEYS)
     return done.drop("month", "email", "first_name", "last_name", "week_end_date", "is_backfill")
 

@@ -284,12 +284,13 @@ def _(b: Base):
     "pivot_top3",
     f"""
     SELECT manager_email, COUNT(*) FILTER (WHERE is_top_performer) AS n, {MD.PERFORMERS} FROM fx_ranking
-    GROUP BY manager_email HAVING COUNT(*) FILTER (WHERE is_top_performer) > 0""",
+    GROUP BY manager_email""",
 )
 def _(b: Base):
-    rows = b.rankings.where("is_top_performer")
+    # managers without a top performer stay, with zero
+    rows = b.rankings.withColumn("place", F.when(F.col("is_top_performer"), F.col("performance_rank")))
     values = {"member_full_name": "top_performer_{}_name", "total_points": "top_performer_{}_score"}
-    return pivot.ranks_to_columns(rows, ["manager_email"], "performance_rank", values).withColumnRenamed("__n", "n")
+    return pivot.ranks_to_columns(rows, ["manager_email"], "place", values).withColumnRenamed("__n", "n")
 
 
 @query("system_tags", "SELECT CAST(101 AS BIGINT) AS manager_tag_id, CAST(100 AS BIGINT) AS business_tag_id")

@@ -11,6 +11,7 @@ from teampulse.functions import dates as D
 from teampulse.functions.rules import METRICS
 from teampulse.functions.safe import total
 from teampulse.operators import grid as G
+from teampulse.session import stored
 
 LOOKBACK_WEEKS = 4
 PROFILE = ["community_member_id", "email", "first_name", "last_name"]
@@ -49,6 +50,7 @@ def engagement_full(
 
 
 def known_members(target: DataFrame) -> DataFrame:
+    """Ids in a stored engagement table or in the list of its members that the runs keep beside it."""
     return target.select("community_member_id").distinct()
 
 
@@ -70,12 +72,16 @@ def backfill_grid(members: DataFrame, target: DataFrame, newest_week: dt.date |
 
     One array per member with its own start replaces two grids and their union.
     """
+    return weeks_to_build(mark_new(members, target, newest_week), newest_week, as_of)
+
+
+def weeks_to_build(marked: DataFrame, newest_week: dt.date | Column, as_of: dt.date | str) -> DataFrame:
+    """The weeks of profiles from :func:`mark_new`; profiles without any are left out."""
     newest = F.lit(newest_week) if isinstance(newest_week, dt.date) else newest_week
     recent = F.greatest(F.date_sub(newest, 7 * LOOKBACK_WEEKS), F.col("__joined"))
     start = F.when(F.col("is_backfill"), F.col("__joined")).otherwise(recent)
-    marked = mark_new(members, target, newest_week).where(F.col("__joined").isNotNull())
     weeks = G.weeks_from_calendar(start, F.lit(D.monday(as_of)))
-    return marked.withColumn("__weeks", weeks).where(F.size("__weeks") > 0).drop("__joined")
+    return marked.where(F.col("__joined").isNotNull()).withColumn("__weeks", weeks).where(F.size("__weeks") > 0).drop("__joined")
 
 
 def needed_activity(
@@ -109,9 +115,19 @@ def engagement_changes(
     newest_week: dt.date | Column,
     as_of: dt.date | str,
 ) -> DataFrame:
-    """Rows to upsert into ``target``: recent weeks of known members, full history of new ones."""
+    """Rows to upsert into the engagement table: recent weeks of known members, full history of new ones.
+
+    ``target`` only says who is known, so it may be the list of its members in place of
+    the table itself.
+    """
+    return changes_of(stored(mark_new(members, target, newest_week), "marked"), weekly, newest_week, as_of)
+
+
+def changes_of(
+    marked: DataFrame, weekly: dict[str, DataFrame], newest_week: dt.date | Column, as_of: dt.date | str
+) -> DataFrame:
+    """The same for profiles from :func:`mark_new`, which are read once per weekly table: store them."""
     newest = F.lit(newest_week) if isinstance(newest_week, dt.date) else newest_week
-    marked = mark_new(members, target, newest_week)
     activity = needed_activity(weekly, marked, F.date_sub(newest, 7 * LOOKBACK_WEEKS))
-    ready = backfill_grid(members, target, newest_week, as_of)
+    ready = weeks_to_build(marked, newest_week, as_of)
     return _finish(G.fill_grid(ready, activity, "__weeks"))

@@ -23,12 +23,13 @@ from teampulse.plans import monthly as MO
 from teampulse.plans import relations as B
 from teampulse.plans import reports as W
 from teampulse.plans import staging as C
-from teampulse.session import run_scratch
+from teampulse.plans import teams as T
+from teampulse.session import run_scratch, stored
 from teampulse.sources import tables
 from teampulse.sources.schemas import EXTRACTED_AT
 
 # layer of each stored table, as folder names below the root
-STAGING, INTERMEDIATE, MARTS = "staging", "intermediate", "marts"
+STAGING, INTERMEDIATE, MARTS, EXPORTS = "staging", "intermediate", "marts", "exports"
 
 # feed -> (cleaning, keys, row that stays when a key repeats)
 FEEDS = {
@@ -40,6 +41,7 @@ FEEDS = {
     "course_completed": ("courses", C.clean_courses, ["initiator_email", "course_id"], ["created_at", "record_id"]),
 }
 WEEKLY_KEYS = [MEMBER, WEEK]
+KNOWN = "known_members"  # ids with rows in the engagement table
 UPDATED, REPORTED = "updated_at", "report_generated_at"
 
 
@@ -109,17 +111,30 @@ def load_engagement(
 ) -> DataFrame:
     """Full build on the first run or on request, else recent weeks and backfills.
 
-    ``updated_at`` is the time of the run that wrote a row.
+    ``updated_at`` is the time of the run that wrote a row.  The ids that have rows are
+    kept in a table of their own, so an incremental run asks that and never the history.
+    It is written last: after a run that broke off in between, the missing ids count as
+    new and get the same rows again.  Ids may stand there twice.
     """
     target = None if full_refresh else store.read_or_none(INTERMEDIATE, "engagement")
     path = store.path(INTERMEDIATE, "engagement")
     stamp = F.lit(run_time(as_of, run_ts)).alias(UPDATED)
     if target is None:
         rows = E.engagement_full(members, weekly, spine, as_of).select("*", stamp)
-        return tables.replace_table(rows, path, WEEK, WEEKLY_KEYS)
+        done = tables.replace_table(rows, path, WEEK, WEEKLY_KEYS)
+        store.flat(INTERMEDIATE, KNOWN, E.known_members(done))
+        return done
     newest = store.newest(INTERMEDIATE, "engagement", WEEK)
-    changes = E.engagement_changes(members, weekly, target, newest, as_of).select("*", stamp)
-    return tables.upsert(store.spark, path, changes, WEEKLY_KEYS, WEEK, WEEKLY_KEYS)
+    known = store.read_or_none(INTERMEDIATE, KNOWN)
+    if known is None:
+        # a store from before the ids were kept
+        known = store.flat(INTERMEDIATE, KNOWN, E.known_members(target))
+    marked = stored(E.mark_new(members, known, newest), "marked")
+    changes = E.changes_of(marked, weekly, newest, as_of).select("*", stamp)
+    done = tables.upsert(store.spark, path, changes, WEEKLY_KEYS, WEEK, WEEKLY_KEYS)
+    fresh = E.weeks_to_build(marked.where("is_backfill"), newest, as_of).select(MEMBER)
+    tables.append_flat(stored(fresh.join(known, MEMBER, "left_anti"), "fresh"), store.path(INTERMEDIATE, KNOWN))
+    return done
 
 
 def run_time(as_of: dt.date, run_ts: dt.datetime | None) -> dt.datetime:
@@ -136,6 +151,7 @@ def load_relations(store: Store, members: DataFrame, raw: dict[str, DataFrame],
     return {
         "tags": tags,
         "businesses": businesses,
+        "mapping": mapping,
         "relationships": relations,
         "businesses_without_managers": store.flat(
             MARTS, "businesses_without_managers", B.businesses_without_managers(businesses, relations, members, tags)
@@ -187,11 +203,27 @@ def run_weekly(
 
         # rows of the newest week; the week before is in their ``previous`` column
         team = report("team", W.team_engagement(relations, engagement, as_of, keep_weeks=1))
-        rankings = report("rankings", W.manager_rankings(team, relations).select("*", stamp))
+        # totals come from the members of each business, once, and not from the pairs
+        mapping = loaded.related["mapping"]
+        managed = T.managed_members(mapping, loaded.members, loaded.related["tags"])
+        members = store.flat(INTERMEDIATE, "team_members", T.member_rows(managed, engagement, as_of))
+        summary = T.team_summary(mapping, members)
+        rankings = report("rankings", W.manager_rankings(team, relations, summary=summary).select("*", stamp))
         detail = report("detail", W.team_detail(team).select("*", stamp))
         nested = report("nested", W.manager_report_nested(team, relations).select("*", stamp))
         checked = {"engagement": engagement, "rankings": rankings, "detail": detail}
         found = store.flat(MARTS, "weekly_findings", CH.findings(checked, before))
+        exports = {
+            "manager_list": X.manager_list(rankings),
+            "top_performers": X.top_performers(rankings),
+            "top_movers": X.top_movers(rankings),
+            "action_points": X.action_points(rankings),
+            "pdf_blocks": X.pdf_blocks(rankings),
+            "team_detail": X.team_detail_export(detail),
+            "summary": T.summary_export(mapping, members),
+            "top3": X.top3_export(detail),
+        }
+        exports = {name: store.flat(EXPORTS, name, rows) for name, rows in exports.items()}
     return {
         **loaded.related,
         "members": loaded.members,
@@ -201,14 +233,7 @@ def run_weekly(
         "detail": detail,
         "nested": nested,
         "findings": found,
-        "manager_list": X.manager_list(rankings),
-        "top_performers": X.top_performers(rankings),
-        "top_movers": X.top_movers(rankings),
-        "action_points": X.action_points(rankings),
-        "pdf_blocks": X.pdf_blocks(rankings),
-        "team_detail": X.team_detail_export(detail),
-        "summary": X.summary_export(detail),
-        "top3": X.top3_export(detail),
+        **exports,
         "courses": loaded.feeds["courses"],
     }
 

@@ -188,10 +188,14 @@ def businesses_without_managers(
     """Businesses nobody manages, with the members who could."""
     managed = relationships.select(F.col(TAG).alias("tag_id")).distinct()
     open_ones = businesses.join(managed, "tag_id", "left_anti")
-    manager_id, _ = _role_ids(tags)
+    manager_id, business_id = _role_ids(tags)
     free = members.where(
         (~joins.has_item("tag_ids", manager_id) | manager_id.isNull()) & F.col("email").isNotNull()
-    ).select("email", "tag_ids")
+    ).select(
+        "email",
+        # the role tag, which nearly all carry, names no business; without such a tag nothing goes
+        F.coalesce(F.array_remove("tag_ids", business_id), F.col("tag_ids")).alias("tag_ids"),
+    )
     candidates = joins.on_array_member(free, "tag_ids", open_ones.select("tag_id"), "tag_id")
     lists = ordered.text_per_group(candidates, ["tag_id"], [F.col("email")], F.col("email"), ", ", "__mails")
     # The report's wording.

@@ -174,6 +174,13 @@ def replace_flat(df: DataFrame, path: str, spread: list[str] = ()) -> DataFrame:
     return read_table(df.sparkSession, path)
 
 
+def append_flat(df: DataFrame, path: str) -> DataFrame:
+    """Add rows to a table of :func:`replace_flat` with the same columns."""
+    df.write.mode("append").parquet(path)
+    df.sparkSession.catalog.refreshByPath(path)
+    return read_table(df.sparkSession, path)
+
+
 def append_rows(df: DataFrame, path: str, by: str) -> DataFrame:
     spark = df.sparkSession
     full = _with_month(df, by)
