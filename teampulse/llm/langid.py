@@ -11,8 +11,10 @@ Most texts have one language.  If no stretch of words gains more than the penalt
 any other language, no path with a switch can beat the single best language, so the
 step-by-step path is only walked for the other texts.
 
-The model is fitted on a bounded sample of labelled rows; ids choose the sample, and
-neither they nor sources or labels take part in a prediction.
+The model is fitted on a bounded sample of the labelled rows of each language.  A hash
+of id and text chooses it, so a language with few rows is learned from all of them and
+the same rows give the same model however they lie in files.  Neither ids nor sources or
+labels take part in a prediction.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0, and
 so is everything if nothing was learned; words in a script that no learned language
@@ -33,20 +35,22 @@ from teampulse.llm.common import map_batches
 from teampulse.llm.words import MIX, mixed, pieces, stretches
 
 UNKNOWN = "und"
-#: Rows expected in the training sample, and trigrams that the model keeps of a language.
-TRAIN_ROWS = 3000
+#: Rows expected in the training sample of a language, and trigrams that the model keeps of it.
+TRAIN_ROWS = 750
 MODEL_GRAMS = 20_000
 #: Weight of a trigram's log probability (they overlap), share of the mean
 #: distribution mixed into each language, and the most that a word can hold against one.
 TEMPER, MIXED, CLIP = 0.8, 0.05, 8.0
 #: Cost of a change of language between two words.
 SWITCH = 12.0
-#: Least share of its letters that a kept document has in its language.
+#: Least share of its letters that a kept document has in learned languages together.
 LEAST_SHARE = 0.5
 #: Share of a language's letters from which a script counts as its own.
 SCRIPT_SHARE = 0.02
 #: Slots that trigrams are hashed into, and scores that are held at a time.
 SLOT_BITS, HELD = 20, 1 << 23
+#: Bits of the hash that chooses the sample.
+HASH_BITS = 40
 
 # First code points of script ranges.
 SCRIPTS = [
@@ -153,9 +157,13 @@ class Labeller:
 
     def label(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
         """Predicted language, share of letters in its spans, and the spans with their code point ranges."""
+        return [found[:3] for found in self.judge(texts)]
+
+    def judge(self, texts: list[str]) -> list[tuple[str, float, list[dict], float]]:
+        """The same with the share of letters in the spans of all languages."""
         model = self.model
         if not model.languages or not texts:
-            return [(UNKNOWN, 0.0, []) for _ in texts]
+            return [(UNKNOWN, 0.0, [], 0.0) for _ in texts]
         points, firsts = code_points(texts)
         parts = []
         for at, end in pieces(points, WHITE[points], self.size):
@@ -168,7 +176,7 @@ class Labeller:
         for text, first, a, b in zip(texts, firsts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
             total = int(totals[b] - totals[a])
             if not total:
-                out.append((UNKNOWN, 0.0, []))
+                out.append((UNKNOWN, 0.0, [], 0.0))
                 continue
             path = self.path(scores[a:b])
             held = np.bincount(path, own[a:b], minlength=len(model.languages))
@@ -176,7 +184,7 @@ class Labeller:
             turns = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist()]
             places = [int(starts[a + i]) - first for i in turns]
             spans = [{"lang": model.languages[path[i]], "start": x, "end": y} for i, x, y in zip(turns, places, [*places[1:], len(text)])]
-            out.append((model.languages[best], float(held[best] / total), spans))
+            out.append((model.languages[best], float(held[best] / total), spans, float(held.sum() / total)))
         return out
 
     def path(self, scores: np.ndarray) -> np.ndarray:
@@ -199,8 +207,27 @@ class Labeller:
         return out
 
 
-def fit(rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TRAIN_ROWS) -> Model:
-    """A model from a sample of about ``limit`` labelled rows."""
+def sample(rows: DataFrame, text: str, lang: str, limit: int, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``lang`` and ``text`` of about ``limit`` labelled rows of each language, all of one with fewer.
+
+    A row is taken if the hash of its ids and text is low enough for the size of its
+    language.  One count per language goes to the driver, as the model itself does.
+    """
+    labelled = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    sizes = {r[0]: r[1] for r in labelled.groupBy(lang).agg(F.count(F.lit(1))).collect()}
+    large = {of: n for of, n in sizes.items() if n > limit}
+    place = F.pmod(F.xxhash64(*ids, text), F.lit(1 << HASH_BITS))
+    end = F.lit(1 << HASH_BITS)
+    if large:
+        ends = F.create_map(*[F.lit(x) for of, n in sorted(large.items()) for x in (of, -(-limit * (1 << HASH_BITS) // n))])
+        end = F.coalesce(F.try_element_at(ends, F.col(lang)), end)
+    return labelled.where(place < end).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+
+
+def fit(
+    rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TRAIN_ROWS, ids: tuple[str, ...] = ("doc_id",)
+) -> Model:
+    """A model from a sample of about ``limit`` labelled rows of each language."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -217,9 +244,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TR
 
         return step
 
-    labelled = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    share = min(1.0, limit / max(1, labelled.count()))
-    seen = map_batches(labelled.sample(False, share, 11), make, "lang string, kind string, item long, n long")
+    seen = map_batches(sample(rows, text, lang, limit, ids), make, "lang string, kind string, item long, n long")
     seen = seen.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
     # the sample bounds the rows of a language here
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
@@ -229,18 +254,18 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", limit: int = TR
 
 
 def labelled(docs: DataFrame, model: Model, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns, lang_pred, lang_score and spans of every row."""
+    """The ``keep`` columns, lang_pred, lang_score, spans and known_score (letters in any language) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep, names = list(keep), ["lang_pred", "lang_score", "spans"]
+    keep, names = list(keep), ["lang_pred", "lang_score", "spans", "known_score"]
     columns = keep if text in keep else [*keep, text]
     at = columns.index(text)
 
     def make():
-        label = Labeller(shared.value).label
+        judge = Labeller(shared.value).judge
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = list(zip(*label([t or "" for t in batch.column(at).to_pylist()]))) or [(), (), ()]
-            kinds = pa.string(), pa.float64(), pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+            found = list(zip(*judge([t or "" for t in batch.column(at).to_pylist()]))) or [(), (), (), ()]
+            kinds = pa.string(), pa.float64(), pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())])), pa.float64()
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(f, k) for f, k in zip(found, kinds)]
             return pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
@@ -248,12 +273,12 @@ def labelled(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
     rows = docs.select(*columns)
     schema = "".join(f"`{k}` {rows.schema[k].dataType.simpleString()}, " for k in keep)
-    return map_batches(rows, make, f"{schema}lang_pred string, lang_score double, spans array<struct<lang: string, start: int, end: int>>")
+    return map_batches(rows, make, f"{schema}lang_pred string, lang_score double, spans array<struct<lang: string, start: int, end: int>>, known_score double")
 
 
 def in_known_language(docs: DataFrame, model: Model, text: str = "text", least: float = LEAST_SHARE) -> DataFrame:
-    """The rows of ``docs`` whose letters stand in one learned language by ``least`` of them or more."""
+    """The rows of ``docs`` whose letters stand in learned languages, one or several, by ``least`` of them or more."""
     own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     rows = labelled(own, model, own.columns[docs.columns.index(text)], own.columns)
-    rows = rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least))
+    rows = rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("known_score") >= least))
     return rows.select(*own.columns).toDF(*docs.columns)
