@@ -25,6 +25,7 @@ from teampulse.plans import reports as W
 from teampulse.plans import staging as C
 from teampulse.plans import teams as T
 from teampulse.session import run_scratch, stored
+from teampulse.sources import landing as L
 from teampulse.sources import tables
 from teampulse.sources.schemas import EXTRACTED_AT
 
@@ -72,16 +73,23 @@ class Store:
         return tables.replace_flat(df, self.path(layer, name), spread)
 
 
-def load_feeds(store: Store, raw: dict[str, DataFrame], full_refresh: bool = False, first_wins: bool = True) -> dict:
+def load_feeds(
+    store: Store, raw: dict[str, DataFrame], full_refresh: bool = False, first_wins: bool = True, late: dict[str, dt.datetime] | None = None
+) -> dict:
     """Clean what was extracted since the last run and upsert it.
 
-    ``first_wins=False`` lets a repeated course completion overwrite the stored one.
+    ``first_wins=False`` lets a repeated course completion overwrite the stored one.  ``late``
+    gives extraction times, by feed, from which rows have to be read although they are older
+    than the watermark.
     """
     out = {}
     for feed, (name, clean, keys, first) in FEEDS.items():
         path = store.path(STAGING, name)
         target = None if full_refresh else store.read_or_none(STAGING, name)
-        fresh = clean(I.newly_extracted(raw[feed], None if target is None else store.newest(STAGING, name, EXTRACTED_AT)))
+        newest = None if target is None else store.newest(STAGING, name, EXTRACTED_AT)
+        if newest is not None and late and late.get(feed) is not None:
+            newest = min(newest, late[feed])
+        fresh = clean(I.newly_extracted(raw[feed], newest))
         if target is None:
             out[name] = tables.replace_table(fresh, path, "created_at", keys)
             continue
@@ -169,11 +177,12 @@ class Loaded:
 
 
 def refresh(
-    store: Store, raw: dict[str, DataFrame], as_of: dt.date, full_refresh: bool = False, staff_tag: str | None = None
+    store: Store, raw: dict[str, DataFrame], as_of: dt.date, full_refresh: bool = False, staff_tag: str | None = None,
+    late: dict[str, dt.datetime] | None = None,
 ) -> Loaded:
     """Take in what was extracted since the last run of either kind."""
     members = store.flat(STAGING, "members", C.clean_members(raw["community_members"], as_of))
-    feeds = load_feeds(store, raw, full_refresh)
+    feeds = load_feeds(store, raw, full_refresh, late=late)
     return Loaded(members, feeds, load_relations(store, members, raw, as_of, staff_tag))
 
 
@@ -186,12 +195,13 @@ def run_weekly(
     staff_tag: str | None = None,
     spine: str = "activity",
     run_ts: dt.datetime | None = None,
+    late: dict[str, dt.datetime] | None = None,
 ) -> dict[str, DataFrame]:
     """One weekly run over the raw tables; returns the stored tables, the findings and the exports."""
     store = Store(spark, root)
     with run_scratch(spark, root):
         before = {} if full_refresh else _sizes(store, [(INTERMEDIATE, "engagement")])
-        loaded = refresh(store, raw, as_of, full_refresh, staff_tag)
+        loaded = refresh(store, raw, as_of, full_refresh, staff_tag, late)
         weekly = load_weekly(store, loaded.feeds, full_refresh)
         people = C.unique_members(loaded.members)
         engagement = load_engagement(store, people, weekly, as_of, full_refresh, spine, run_ts)
@@ -251,10 +261,11 @@ def run_monthly(
     full_refresh: bool = False,
     staff_tag: str | None = None,
     run_ts: dt.datetime | None = None,
+    late: dict[str, dt.datetime] | None = None,
 ) -> dict[str, DataFrame]:
     """One monthly run over the raw tables: takes in what is new, counts courses and writes the report."""
     with run_scratch(store.spark, store.root):
-        loaded = refresh(store, raw, as_of, full_refresh, staff_tag)
+        loaded = refresh(store, raw, as_of, full_refresh, staff_tag, late)
         courses = loaded.feeds["courses"]
         target = None if full_refresh else store.read_or_none(INTERMEDIATE, "monthly_courses")
         fresh = M.monthly_courses(courses, I.months_since(None if target is None else store.newest(INTERMEDIATE, "monthly_courses", M.MONTH)))
@@ -268,3 +279,20 @@ def run_monthly(
         report = store.flat(MARTS, "monthly_report", MO.monthly_report(courses, loaded.related["relationships"]).select("*", stamp))
         found = store.flat(MARTS, "monthly_findings", CH.findings({"monthly_report": report}))
     return {"monthly_courses": counts, "monthly_report": report, "findings": found}
+
+
+def run_landed(
+    spark: SparkSession, root: str, landing: str, as_of: dt.date, monthly: bool = False, archive: str | None = None, **options
+) -> dict[str, DataFrame]:
+    """One weekly or monthly run from landed files; ``options`` go to that run.
+
+    Returns its tables and ``rejected``, the landed lines that no table took.  Files are noted
+    as used only when the run has ended: a run that broke off leaves them to the next one.
+    """
+    raw = L.take_in(spark, landing, root, archive)
+    used = L.unsettled(spark, root)
+    late = {feed: earliest for feed, (_, earliest) in used.items()}
+    store = Store(spark, root)
+    out = run_monthly(store, raw, as_of, late=late, **options) if monthly else run_weekly(spark, root, raw, as_of, late=late, **options)
+    L.settle(spark, root, used)
+    return {**out, "rejected": L.rejected_rows(spark, root)}

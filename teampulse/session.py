@@ -60,11 +60,14 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp" if os.path.isdir("/tmp") else None)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp" if os.path.isdir("/tmp") else None)
+    return _LOCAL_DIRS[app]
 
 
+# Scratch folder of each local application that names none; the setting itself is fixed once Spark runs.
+_LOCAL_DIRS: dict[str, str] = {}
 # Folders of the runs that are under way, the innermost last.
 _RUNS: list[str] = []
 

@@ -61,6 +61,19 @@ EVENT_ATTENDEES = (
     "member_avatar_url string"
 )
 RECORD_SHAPES = {"events_list": EVENTS_LIST, "event_attendees": EVENT_ATTENDEES}
+LOAD_COLUMNS = f"{EXTRACTED_AT} timestamp, {RAW_ID} string"
+
+# Tag lists and display places are kept as JSON text, whether they arrive as text or nested.
+COMMUNITY_MEMBERS = (
+    "community_member_id bigint, first_name string, last_name string, name string, email string, "
+    "posts_count bigint, comments_count bigint, created_at string, member_tags string"
+)
+MEMBER_TAGS_LIST = (
+    "id bigint, name string, color string, emoji string, is_public boolean, display_format string, "
+    "display_locations string, tagged_members_count bigint, created_at string, updated_at string"
+)
+#: Tables that each delivery holds as a whole.
+SNAPSHOTS = {"community_members": COMMUNITY_MEMBERS, "member_tags_list": MEMBER_TAGS_LIST}
 
 MANAGER_ROSTER = (
     "uid string, id string, first_name string, last_name string, email string, join_date string, tags string, "

@@ -38,9 +38,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _state(spark: SparkSession, path: str) -> dict:
-    """Schema, the file name of each column, and the file names that were in use before."""
-    fs, p = _fs(spark, f"{path}/{COLUMNS}")
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path, sorted; none if the path is missing."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def read_note(spark: SparkSession, path: str) -> dict:
+    """A small JSON file."""
+    fs, p = _fs(spark, path)
     source = fs.open(p)
     try:
         return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
@@ -48,13 +59,22 @@ def _state(spark: SparkSession, path: str) -> dict:
         source.close()
 
 
-def _save_state(spark: SparkSession, path: str, state: dict) -> None:
-    fs, p = _fs(spark, f"{path}/{COLUMNS}")
+def write_note(spark: SparkSession, path: str, note: dict) -> None:
+    fs, p = _fs(spark, path)
     out = fs.create(p, True)
-    out.write(bytearray(json.dumps(state), "utf-8"))
+    out.write(bytearray(json.dumps(note), "utf-8"))
     out.close()
 
 
+def _state(spark: SparkSession, path: str) -> dict:
+    """Schema, the file name of each column, and the file names that were in use before."""
+    return read_note(spark, f"{path}/{COLUMNS}")
+
+
+def _save_state(spark: SparkSession, path: str, state: dict) -> None:
+    write_note(spark, f"{path}/{COLUMNS}", state)
+
+
 def _save_schema(spark: SparkSession, path: str, schema: T.StructType, fresh: bool = True) -> dict[str, str]:
     """Store the current columns; returns the name of each in the files.
 
