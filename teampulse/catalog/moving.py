@@ -18,7 +18,7 @@ from teampulse.plans import exports as XP
 from teampulse.plans import metrics as M
 from teampulse.plans import pipeline as P
 from teampulse.plans import staging as C
-from teampulse.sources import delivery, scans, tables
+from teampulse.sources import delivery, landing, scans, tables
 from teampulse.sources import schemas as S
 from teampulse.streaming import weekly as ST
 
@@ -63,6 +63,51 @@ def _(b: Base):
     )
 
 
+_ROOTS: dict[Base, str] = {}
+
+
+def _landed(b: Base) -> str:
+    """Root with the envelopes taken in from two deliveries, all kinds in the lessons' folder, in two runs of one stream."""
+    if b not in _ROOTS:
+        folder, root = b.path("landed"), b.path("root")
+        rows = X.envelopes(b.spark, b.sf_dir, with_copies=False)
+        first = F.col(S.EXTRACTED_AT) < F.lit(dt.datetime.combine(CUT, dt.time()))
+        for delivery, part in (("1", first), ("2", ~first)):
+            rows.where(part).write.json(f"{folder}/course_lesson_completed/{delivery}")
+            ST.run_to_end(landing.feed_writer(b.spark, folder, root, "course_lesson_completed", files_per_batch=3))
+        _ROOTS[b] = root
+    return _ROOTS[b]
+
+
+@query(
+    "src_landed_feed",
+    """
+    SELECT 'e' || event_id AS id, CAST(user_id AS VARCHAR) AS initiator_id, CAST(k AS VARCHAR) AS lesson_id, ts AS created_at
+    FROM fx_activity WHERE event_type = 'click'""",
+)
+def _(b: Base):
+    """A feed's raw table, filled from landed files by a stream that was started twice."""
+    feed = landing.landed_rows(b.spark, _landed(b), "course_lesson_completed")
+    return feed.select(
+        "id",
+        F.col("payload.initiator.id").alias("initiator_id"),
+        F.col("payload.lesson.id").alias("lesson_id"),
+        F.col("created_at").try_cast("timestamp").alias("created_at"),
+    )
+
+
+@query(
+    "src_landed_rejected",
+    """
+    SELECT 'course_lesson_completed' AS source_table, 'another feed' AS reason, 'e' || event_id AS id
+    FROM fx_activity WHERE event_type NOT IN ('click', 'view')""",
+)
+def _(b: Base):
+    """Landed lines that belong to another feed, with the id from their text."""
+    rows = landing.rejected_rows(b.spark, _landed(b))
+    return rows.select("source_table", "reason", F.get_json_object("line", "$.id").alias("id"))
+
+
 @query("src_csv_roster", "SELECT 'u' || s AS uid, email, business FROM fx_invited")
 def _(b: Base):
     """The roster as a CSV file, loaded over an older copy and cleaned."""

@@ -44,6 +44,7 @@ FEEDS = {
 WEEKLY_KEYS = [MEMBER, WEEK]
 KNOWN = "known_members"  # ids with rows in the engagement table
 UPDATED, REPORTED = "updated_at", "report_generated_at"
+CLEANED, TRANSFORMED = "cleaned_at", "transformed_at"
 
 
 @dataclass
@@ -91,7 +92,7 @@ def load_feeds(
             newest = min(newest, late[feed])
         fresh = clean(I.newly_extracted(raw[feed], newest))
         if target is None:
-            out[name] = tables.replace_table(fresh, path, "created_at", keys)
+            out[name] = tables.replace_table(fresh, path, "created_at", keys, lookup=keys)
             continue
         order = [F.col(c).asc() for c in first] if first and first_wins else None
         out[name] = tables.upsert(store.spark, path, fresh, keys, "created_at", keys, order)
@@ -150,12 +151,14 @@ def run_time(as_of: dt.date, run_ts: dt.datetime | None) -> dt.datetime:
     return run_ts or dt.datetime.combine(as_of, dt.time(), dt.timezone.utc)
 
 
-def load_relations(store: Store, members: DataFrame, raw: dict[str, DataFrame], as_of, staff_tag=None) -> dict:
+def load_relations(store: Store, members: DataFrame, raw: dict[str, DataFrame], as_of, staff_tag=None, run_ts=None) -> dict:
+    stamp = F.lit(run_time(as_of, run_ts)).alias(TRANSFORMED)
     tags = store.flat(STAGING, "tags", C.clean_tags(raw["member_tags_list"], as_of, staff_tag))
     invited = C.clean_invited_managers(raw["managers_not_joined"])
-    businesses = store.flat(MARTS, "businesses", B.business_names(tags, members))
+    businesses = store.flat(MARTS, "businesses", B.business_names(tags, members).select("*", stamp)).drop(TRANSFORMED)
     mapping = store.flat(MARTS, "manager_mapping", B.manager_mapping(members, tags, invited, businesses))
-    relations = store.flat(MARTS, "relationships", B.business_relationships(mapping, members, tags), B.SPREAD)
+    pairs = B.business_relationships(mapping, members, tags).select("*", stamp)
+    relations = store.flat(MARTS, "relationships", pairs, B.SPREAD).drop(TRANSFORMED)
     return {
         "tags": tags,
         "businesses": businesses,
@@ -178,12 +181,16 @@ class Loaded:
 
 def refresh(
     store: Store, raw: dict[str, DataFrame], as_of: dt.date, full_refresh: bool = False, staff_tag: str | None = None,
-    late: dict[str, dt.datetime] | None = None,
+    late: dict[str, dt.datetime] | None = None, run_ts: dt.datetime | None = None,
 ) -> Loaded:
-    """Take in what was extracted since the last run of either kind."""
-    members = store.flat(STAGING, "members", C.clean_members(raw["community_members"], as_of))
+    """Take in what was extracted since the last run of either kind.
+
+    Stored members, businesses and relationships carry the time of the run; the frames that
+    the plans go on with do not.
+    """
+    members = store.flat(STAGING, "members", C.clean_members(raw["community_members"], as_of, run_time(as_of, run_ts))).drop(CLEANED)
     feeds = load_feeds(store, raw, full_refresh, late=late)
-    return Loaded(members, feeds, load_relations(store, members, raw, as_of, staff_tag))
+    return Loaded(members, feeds, load_relations(store, members, raw, as_of, staff_tag, run_ts))
 
 
 def run_weekly(
@@ -201,7 +208,7 @@ def run_weekly(
     store = Store(spark, root)
     with run_scratch(spark, root):
         before = {} if full_refresh else _sizes(store, [(INTERMEDIATE, "engagement")])
-        loaded = refresh(store, raw, as_of, full_refresh, staff_tag, late)
+        loaded = refresh(store, raw, as_of, full_refresh, staff_tag, late, run_ts)
         weekly = load_weekly(store, loaded.feeds, full_refresh)
         people = C.unique_members(loaded.members)
         engagement = load_engagement(store, people, weekly, as_of, full_refresh, spine, run_ts)
@@ -265,7 +272,7 @@ def run_monthly(
 ) -> dict[str, DataFrame]:
     """One monthly run over the raw tables: takes in what is new, counts courses and writes the report."""
     with run_scratch(store.spark, store.root):
-        loaded = refresh(store, raw, as_of, full_refresh, staff_tag, late)
+        loaded = refresh(store, raw, as_of, full_refresh, staff_tag, late, run_ts)
         courses = loaded.feeds["courses"]
         target = None if full_refresh else store.read_or_none(INTERMEDIATE, "monthly_courses")
         fresh = M.monthly_courses(courses, I.months_since(None if target is None else store.newest(INTERMEDIATE, "monthly_courses", M.MONTH)))
@@ -286,7 +293,8 @@ def run_landed(
 ) -> dict[str, DataFrame]:
     """One weekly or monthly run from landed files; ``options`` go to that run.
 
-    Returns its tables and ``rejected``, the landed lines that no table took.  Files are noted
+    Returns its tables, the cleaned record lists, which are stored too, and ``rejected``, the
+    landed lines that no table took.  Files are noted
     as used only when the run has ended: a run that broke off leaves them to the next one.
     """
     raw = L.take_in(spark, landing, root, archive)
@@ -294,5 +302,12 @@ def run_landed(
     late = {feed: earliest for feed, (_, earliest) in used.items()}
     store = Store(spark, root)
     out = run_monthly(store, raw, as_of, late=late, **options) if monthly else run_weekly(spark, root, raw, as_of, late=late, **options)
+    at = run_time(as_of, options.get("run_ts"))
+    cleaned = {
+        "events": C.clean_events(raw["events_list"], at),
+        "attendees": C.clean_attendees(raw["event_attendees"], at),
+        "invited": C.clean_invited_managers(raw["managers_not_joined"], at),
+    }
+    cleaned = {name: store.flat(STAGING, name, rows) for name, rows in cleaned.items()}
     L.settle(spark, root, used)
-    return {**out, "rejected": L.rejected_rows(spark, root)}
+    return {**out, **cleaned, "rejected": L.rejected_rows(spark, root)}

@@ -30,7 +30,12 @@ def _struct(df: DataFrame, column: str, shape: str) -> Column:
     return F.col(column)
 
 
-def clean_members(raw: DataFrame, as_of: dt.date | str) -> DataFrame:
+def _at(run_ts: dt.datetime | None, name: str = "cleaned_at") -> list[Column]:
+    """The time of the cleaning run as a last column, if one is given."""
+    return [] if run_ts is None else [F.lit(run_ts).alias(name)]
+
+
+def clean_members(raw: DataFrame, as_of: dt.date | str, run_ts: dt.datetime | None = None) -> DataFrame:
     """Member profiles with tag arrays, quality flags and age.
 
     Repeated ids are kept here, as tags are computed per row; consumers that need
@@ -59,6 +64,7 @@ def clean_members(raw: DataFrame, as_of: dt.date | str) -> DataFrame:
             ~X.is_blank("first_name"), ~X.is_blank("last_name"), ~X.is_blank("email")
         ).alias("profile_completeness"),
         D.days_since(D.parse_utc_strict("created_at"), as_of).alias("days_since_created"),
+        *_at(run_ts),
     )
 
 
@@ -235,7 +241,7 @@ def clean_courses(raw: DataFrame) -> DataFrame:
 # --- record tables ---------------------------------------------------------------
 
 
-def clean_attendees(raw: DataFrame) -> DataFrame:
+def clean_attendees(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     return raw.where(F.col("id").isNotNull() & F.col("event_id").isNotNull()).select(
         F.col("id").alias("attendee_record_id"),
         "event_id",
@@ -251,10 +257,11 @@ def clean_attendees(raw: DataFrame) -> DataFrame:
         N.to_ts("rsvp_date").alias("rsvp_date"),
         F.col(S.EXTRACTED_AT).alias("data_last_synced_at"),
         F.col(S.RAW_ID).alias("airbyte_record_id"),
+        *_at(run_ts, "data_cleaned_at"),
     )
 
 
-def clean_events(raw: DataFrame) -> DataFrame:
+def clean_events(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     space = _struct(raw, "space", "struct<id:string,name:string,slug:string,community_id:string>")
     topics = raw.schema["topics"].dataType
     count = J.json_size("topics") if isinstance(topics, T.StringType) else N.zero_if_null(F.array_size("topics").cast("bigint"))
@@ -283,10 +290,11 @@ def clean_events(raw: DataFrame) -> DataFrame:
         "zapier_display_title",
         F.col(S.EXTRACTED_AT).alias("last_synced_at"),
         F.col(S.RAW_ID).alias("airbyte_record_id"),
+        *_at(run_ts),
     )
 
 
-def clean_invited_managers(raw: DataFrame) -> DataFrame:
+def clean_invited_managers(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """Roster of managers who have not joined, with the business named by their tags."""
     rows = raw.where(~X.is_blank("email")).withColumn("__tags", X.quoted_items(X.trim_ws("tags")))
     first, last = X.clean_name("first_name"), X.clean_name("last_name")
@@ -304,10 +312,11 @@ def clean_invited_managers(raw: DataFrame) -> DataFrame:
         N.to_ts(F.nullif(F.col("invitation_date").cast("string"), F.lit(""))).alias("invitation_date"),
         F.col("__tags").alias("tag_names"),
         R.roster_business(F.col("__tags")).alias("business_name_from_tags"),
+        *_at(run_ts),
     )
 
 
-def clean_comments_full(raw: DataFrame) -> DataFrame:
+def clean_comments_full(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """Comment table with author, post, text, calendar parts and classes."""
     who = "struct<id:string,name:string,email:string,avatar_url:string>"
     place = "struct<id:string,name:string,slug:string>"
@@ -345,6 +354,7 @@ def clean_comments_full(raw: DataFrame) -> DataFrame:
         N.zero_if_null("user_comments_count").alias("authors_total_comments"),
         F.col(S.EXTRACTED_AT).alias("data_last_synced_at"),
         F.col(S.RAW_ID).alias("airbyte_record_id"),
+        *_at(run_ts, "data_cleaned_at"),
     )
     at = F.col("comment_created_at")
     return base.withColumns(

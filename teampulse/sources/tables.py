@@ -5,6 +5,12 @@ dynamic overwrite and moves them in when the job commits, so a lost executor
 costs a retry of its tasks and no data.  Readers that need one consistent view
 across months should read between runs.
 
+An upsert by a key that may sit in another month than its new row looks the key up in all
+months, but opens only what can hold one of the batch's keys: the range of the keys is
+observed while the batch is staged and pushed to the scan, so that files and row groups
+outside it are skipped by their statistics.  Up to ``FEW_KEYS`` keys are pushed themselves
+and meet the Bloom filters that the files carry for text keys.
+
 Each write observes the greatest date or time of the table's period column and of the
 extraction time, and keeps it with the table's columns.  Watermarks are read from there,
 without a job.
@@ -25,6 +31,7 @@ from teampulse.session import scratch_path
 from teampulse.sources.schemas import EXTRACTED_AT
 
 MONTH = "month"
+FEW_KEYS = 1000  # rows of a batch whose keys are named in the scan's filter, besides their range
 COLUMNS = "_columns.json"  # current columns; Spark skips names that start with an underscore
 
 
@@ -155,27 +162,33 @@ def _with_month(df: DataFrame, by: str) -> DataFrame:
     return df.withColumn(MONTH, month_start(by))
 
 
-def _write(df: DataFrame, path: str, cluster: list[str], mode: str, overwrite: str, many_months: bool = True) -> None:
+def _write(
+    df: DataFrame, path: str, cluster: list[str], mode: str, overwrite: str, many_months: bool = True, lookup: list[str] = ()
+) -> None:
     if many_months:
         # rebalance lets the runtime split a large month and join small ones, so that
         # neither one task nor thousands of files hold a month
         df = df.hint("rebalance", F.col(MONTH))
     shaped = df.sortWithinPartitions(MONTH, *cluster)
-    shaped.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(MONTH).parquet(path)
+    writer = shaped.write.mode(mode).option("partitionOverwriteMode", overwrite).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for name in lookup:
+        if df.schema[name].dataType == T.StringType():
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.partitionBy(MONTH).parquet(path)
 
 
 def replace_table(
-    df: DataFrame, path: str, by: str, cluster: list[str] = (), many_months: bool = True
+    df: DataFrame, path: str, by: str, cluster: list[str] = (), many_months: bool = True, lookup: list[str] = ()
 ) -> DataFrame:
     """Write the whole table in month folders, sorted by the cluster columns inside each file.
 
     ``many_months=False`` is for tables of a week or two: each task writes what it
-    has, without another shuffle.
+    has, without another shuffle.  ``lookup`` names keys of later upserts.
     """
     spark = df.sparkSession
     full = _with_month(df, by)
     seen = _Newest(full, [by, EXTRACTED_AT])
-    _write(seen.rows, path, list(cluster), "overwrite", "static", many_months)
+    _write(seen.rows, path, list(cluster), "overwrite", "static", many_months, list(lookup))
     _save_schema(spark, path, full.schema)
     seen.keep(path)
     return read_table(spark, path)
@@ -207,10 +220,20 @@ def append_rows(df: DataFrame, path: str, by: str) -> DataFrame:
     names = _save_schema(spark, path, full.schema, not exists(spark, f"{path}/{COLUMNS}"))
     seen = _Newest(full, [by, EXTRACTED_AT])
     _write(_renamed(seen.rows, names), path, [], "append", "dynamic")
+    spark.catalog.refreshByPath(path)
     seen.keep(path)
     return read_table(spark, path)
 
 
+def compact(spark: SparkSession, path: str, months: list[dt.date], keys: list[str]) -> DataFrame:
+    """Write some months anew, with one row per key, so that rows added bit by bit do not stay in small files."""
+    rows = in_months(read_table(spark, path), months).dropDuplicates(keys)
+    names = _state(spark, path)["physical"]
+    _write(_renamed(rows, names), path, [names[k] for k in keys], "overwrite", "dynamic")
+    spark.catalog.refreshByPath(path)
+    return read_table(spark, path)
+
+
 def key_match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -234,6 +257,34 @@ def merge(target: DataFrame, updates: DataFrame, keys: list[str], resolve: list[
     return updates.unionByName(rest, allowMissingColumns=True)
 
 
+#: Types of keys whose range is observed.
+_RANGED = (T.StringType(), T.LongType(), T.IntegerType())
+
+
+def _watch_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, Observation]:
+    """Observes the rows, and of each key of a common type its range and its NULLs."""
+    found = [F.count(F.lit(1)).alias("rows")]
+    for i, k in enumerate(keys):
+        if df.schema[k].dataType in _RANGED:
+            found += [F.min(k).alias(f"low{i}"), F.max(k).alias(f"high{i}"), F.count_if(F.col(k).isNull()).alias(f"nulls{i}")]
+    seen = Observation()
+    return df.observe(seen, *found), seen
+
+
+def reachable(df: DataFrame, keys: list[str], seen: dict, staged: DataFrame) -> DataFrame:
+    """Rows of ``df`` that can have a key of the staged batch, by predicates that the scan uses."""
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        if f"low{i}" not in seen:
+            continue
+        inside = F.lit(False) if seen[f"low{i}"] is None else F.col(k).between(F.lit(seen[f"low{i}"]), F.lit(seen[f"high{i}"]))
+        if seen["rows"] <= FEW_KEYS and seen[f"low{i}"] is not None:
+            named = [r[0] for r in staged.select(k).where(F.col(k).isNotNull()).distinct().collect()]  # FEW_KEYS values at most
+            inside = inside & F.col(k).isin(named)
+        cond = cond & (inside | F.col(k).isNull() if seen[f"nulls{i}"] else inside)
+    return df.where(cond)
+
+
 def _months(df: DataFrame) -> list[dt.date]:
     """Distinct months: at most one value per calendar month."""
     return [r[0] for r in df.select(MONTH).distinct().collect()]
@@ -266,11 +317,12 @@ def upsert(
     the merge reads it several times and must see the same rows each time.
     """
     if not exists(spark, f"{path}/{COLUMNS}"):
-        return replace_table(updates, path, by, cluster)
+        return replace_table(updates, path, by, cluster, lookup=keys)
     staged_path = scratch_path(spark, "updates")
     seen = _Newest(_with_month(updates, by), [by, EXTRACTED_AT])
     staged_schema = seen.rows.schema
-    seen.rows.write.parquet(staged_path)
+    rows, ranges = _watch_keys(seen.rows, keys)
+    rows.write.parquet(staged_path)
     staged = spark.read.schema(staged_schema).parquet(staged_path)
     target = read_table(spark, path)
     names = _save_schema(spark, path, staged_schema, fresh=False)
@@ -278,14 +330,14 @@ def upsert(
     losing = set()
     if by not in keys:
         # a key may sit in another month than its new row
-        old_keys = target.select(MONTH, *keys)
+        old_keys = reachable(target.select(MONTH, *keys), keys, ranges.get, staged)
         hit = old_keys.join(staged.select(*keys), key_match(old_keys, staged, keys), "left_semi")
         losing = set(_months(hit)) - gaining
     if gaining:
         merged = merge(in_months(target, [*gaining, *losing]), staged, keys, resolve)
         # an overwrite does not touch months that end up empty, so those are dropped by hand
         emptied = losing - set(_months(in_months(merged, list(losing)))) if losing else set()
-        _write(_renamed(merged, names), path, [names[c] for c in cluster], "overwrite", "dynamic")
+        _write(_renamed(merged, names), path, [names[c] for c in cluster], "overwrite", "dynamic", lookup=[names[k] for k in keys])
         for month in emptied:
             fs, p = _fs(spark, f"{path}/{MONTH}={month.isoformat() if month else '__HIVE_DEFAULT_PARTITION__'}")
             fs.delete(p, True)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from teampulse.functions import dates as D
 from teampulse.operators.dedup import keep_latest
 from teampulse.operators.grid import MEMBER, WEEK
+from teampulse.session import stored
 from teampulse.sources import tables
 
 MONTH = "month_start_date"
@@ -44,30 +45,43 @@ def recount_writer(
     out: str,
     period: str = WEEK,
     lookback: dt.timedelta | None = None,
+    compact_every: int = 50,
 ) -> DataStreamWriter:
     """Distinct items per member and week or month, also of periods that are still open.
 
-    Each batch adds its items to a keyed table and counts the touched periods again, so
-    the counts below ``root`` are always those of all items so far.  With ``lookback``,
-    items older than that before the newest period are left out, as in the batch run.
-    A batch that is replayed after a failure writes the same rows again.
+    Each batch adds the items that are new to its months and counts the touched members and
+    periods again, so the counts below ``root`` are always those of all items so far.  Items
+    are only added: stored ones are read in the batch's months, and not written again but in
+    every ``compact_every``-th batch, which makes one set of files of its months.  With
+    ``lookback``, items older than that before the newest period are left out, as in the batch
+    run.  A batch that is replayed after a failure finds its items and counts them again.
     """
     start = D.month_start if period == MONTH else D.week_start
     keys = [MEMBER, "item", period]
 
-    def count_batch(batch: DataFrame, _: int) -> None:
+    def count_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch.where(F.col(member).isNotNull() & F.col(item).isNotNull() & F.col(at).isNotNull())
         fresh = rows.select(F.col(member).alias(MEMBER), F.col(item).alias("item"), start(at).alias(period)).distinct()
-        if lookback is not None and tables.exists(spark, f"{root}/items/{tables.COLUMNS}"):
-            known = tables.read_table(spark, f"{root}/items")
-            newest = known.where(F.col(tables.MONTH) == known.agg(F.max(tables.MONTH)).scalar()).agg(F.max(period)).head()[0]
+        path = f"{root}/items"
+        known = tables.exists(spark, f"{path}/{tables.COLUMNS}")
+        newest = tables.newest(spark, path, period) if known and lookback is not None else None
+        if newest is not None:
             fresh = fresh.where(F.col(period) >= F.lit(newest - lookback))
-        items = tables.upsert(spark, f"{root}/items", fresh, keys, period, keys)
-        touched = fresh.select(MEMBER, period).distinct()
+        fresh = stored(fresh, "fresh")
         months = tables.months_of(fresh, period)
+        if not months:
+            return
+        new = fresh
+        if known:
+            new = fresh.join(tables.in_months(tables.read_table(spark, path), months), keys, "left_anti")
+        items = tables.append_rows(new, path, period)
+        if number % compact_every == compact_every - 1:
+            items = tables.compact(spark, path, months, keys)
+        touched = fresh.select(MEMBER, period).distinct()
         counts = tables.in_months(items, months).join(touched, [MEMBER, period], "left_semi")
-        counts = counts.groupBy(MEMBER, period).agg(F.count(F.lit(1)).alias(out))
+        # a task that was committed twice may have added an item twice
+        counts = counts.groupBy(MEMBER, period).agg(F.countDistinct("item").alias(out))
         tables.upsert(spark, f"{root}/counts", counts, [MEMBER, period], period, [MEMBER, period])
 
     return (
