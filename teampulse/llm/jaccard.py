@@ -264,10 +264,10 @@ def grouped(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def listed(groups: DataFrame, least: int = LEAST) -> DataFrame:
-    """token, total, gid, size, bits, reach: groups under each shingle of their prefix that a group of such a size has too."""
+    """token, gid, size, bits, reach: groups under each shingle of their prefix that a group of such a size has too."""
     spread = groups.select("gid", "size", F.explode("prefix").alias("token"))
-    counts = spread.groupBy("token").agg(F.count("*").alias("total")).where("total > 1")
-    shared = stored(spread.join(counts, "token"), "shared")
+    repeated = spread.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(spread.join(repeated, "token", "left_semi"), "shared")
     alike = shared.alias("x").join(shared.alias("y"), F.expr(f"x.token = y.token AND x.gid <> y.gid AND {_sized(least)}"), "left_semi")
     return stored(alike.join(groups.select("gid", "bits", "reach"), "gid"), "listed")
 
@@ -277,16 +277,18 @@ def links(docs: DataFrame, classes: DataFrame, text: str = "text", shingle: int
     others, groups = grouped(classes)
     lists = listed(groups, least)
     near = _may_link(least, "x.reach + y.reach")
+    # both sides have the same columns, so their rows are shuffled once; only rows with a partner are needed from here on
     partner = lists.alias("x").join(lists.alias("y"), F.expr(f"x.token = y.token AND x.gid <> y.gid AND {near}"), "left_semi")
-    active = stored(partner.select("gid").union(others.select("gid")).distinct(), "partners")
-    lists = stored(lists.join(active, "gid", "left_semi"), "active_lists")
+    lists = stored(partner, "active_lists")
+    active = stored(lists.select("gid").union(others.select("gid")).distinct(), "partners")
     firsts = groups.join(active, "gid", "left_semi").select(F.col("gid").alias("id"), "key", "gid", "size", "bits", "wide")
     members = stored(firsts.unionByName(others), "members")
     whole = whole_sets(docs, members.select("id", "key"), text, shingle)
 
     # each group's members against its first, and each list's groups against the one that meets most others
     own = members.where("id <> gid").alias("x").join(members.where("id = gid").alias("y"), F.expr(f"x.gid = y.gid AND {_may_link(least)}"))
-    weight = lists.groupBy("gid").agg(F.sum("total").alias("weight"))
+    totals = lists.groupBy("token").agg(F.count("*").alias("total"))
+    weight = lists.select("token", "gid").join(totals, "token").groupBy("gid").agg(F.sum("total").alias("weight"))
     hubs = lists.join(weight, "gid").groupBy("token").agg(F.max(F.struct("weight", "gid", "size", "bits")).alias("hub"))
     hubs = hubs.select("token", "hub.gid", "hub.size", "hub.bits")
     star = lists.alias("x").join(hubs.alias("y"), F.expr(f"x.token = y.token AND x.gid <> y.gid AND {_may_link(least)}"))
