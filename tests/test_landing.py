@@ -146,3 +146,15 @@ def test_archive_takes_files_that_were_read(spark, tmp_path):
     moved = [f for _, _, files in os.walk(archive) for f in files if f.endswith(".json")]
     left = [f for _, _, files in os.walk(folder) for f in files if f.endswith(".json")]
     assert kept == ["0", "1", "2"] and len(moved) >= 2 and len(moved) + len(left) == 3
+
+
+def test_cleaned_tables_carry_the_time_of_the_run(raw):
+    at = dt.datetime(2024, 1, 31, 7)
+    made = {
+        "cleaned_at": [C.clean_members(raw["community_members"], X.AS_OF, at), C.clean_events(raw["events_list"], at), C.clean_invited_managers(raw["managers_not_joined"], at)],
+        "data_cleaned_at": [C.clean_attendees(raw["event_attendees"], at)],
+    }
+    for name, frames in made.items():
+        for df in frames:
+            assert [r[0] for r in df.select(name).distinct().collect()] == [at]
+    assert "cleaned_at" not in C.clean_members(raw["community_members"], X.AS_OF).columns
