@@ -518,7 +518,11 @@ def _(b: Base):
     UNION ALL SELECT 'suggested_action', COUNT(*) FILTER (WHERE suggested_action IS NULL) FROM fx_ranking""",
 )
 def _(b: Base):
-    return Q.missing_values(b.rankings, ["manager_email", "member_email", "suggested_action"])
+    return Q.missing_values(
+        b.ranked.known(["manager_email"], ["member_email", "suggested_action"]),
+        ["manager_email", "member_email", "suggested_action"],
+        "times",
+    )
 
 
 @query(
@@ -708,7 +712,7 @@ def _(b: Base):
 
 @query("render_top3", f"SELECT manager_email, business_name, top_performers_html FROM ({MD.TOP_PERFORMERS_SQL})")
 def _(b: Base):
-    return XP.top_performers(b.rankings).select("manager_email", "business_name", "top_performers_html")
+    return XP.top_performers(b.ranked).select("manager_email", "business_name", "top_performers_html")
 
 
 @query(
@@ -716,16 +720,16 @@ def _(b: Base):
     f"SELECT manager_email, business_name, top_movers_context_note, top_movers_html FROM ({MD.TOP_MOVERS_SQL})",
 )
 def _(b: Base):
-    return XP.top_movers(b.rankings).select(
+    return XP.top_movers(b.ranked).select(
         "manager_email", "business_name", "top_movers_context_note", "top_movers_html"
     )
 
 
 @query("render_actions", f"SELECT manager_email, business_name, action_points_html FROM ({MD.ACTION_POINTS_SQL})")
 def _(b: Base):
-    return XP.action_points(b.rankings).select("manager_email", "business_name", "action_points_html")
+    return XP.action_points(b.ranked).select("manager_email", "business_name", "action_points_html")
 
 
 @query("render_pdf_summary", f"SELECT manager_email, business_name, pdf_summary_html FROM ({MD.PDF_SQL})")
 def _(b: Base):
-    return XP.pdf_blocks(b.rankings).select("manager_email", "business_name", "pdf_summary_html")
+    return XP.pdf_blocks(b.ranked).select("manager_email", "business_name", "pdf_summary_html")

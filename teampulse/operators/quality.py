@@ -10,9 +10,11 @@ from teampulse.functions.safe import ratio
 from teampulse.operators.grid import MEMBER, WEEK
 
 
-def missing_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NULLs per column in one pass over the table."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+def missing_values(df: DataFrame, columns: list[str], times: str | None = None) -> DataFrame:
+    """NULLs per column in one pass over the table; a row counts as often as ``times`` says."""
+    n = F.col(times) if times else F.lit(1).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    counts = df.agg(*[F.coalesce(F.sum(F.when(F.col(c).isNull(), n)), zero).alias(c) for c in columns])
     return counts.unpivot([], columns, "column_name", "null_rows")
 
 
