@@ -6,6 +6,7 @@ from test_teams import ACTIVE, AS_OF, CASES, PEOPLE, SF, frames, same
 from teampulse.catalog.base import Base
 from teampulse.operators import quality as Q
 from teampulse.plans import exports as XP
+from teampulse.plans import monthly as MO
 from teampulse.plans import relations as B
 from teampulse.plans import reports as W
 from teampulse.plans import teams as T
@@ -68,3 +69,14 @@ def test_exports_read_no_pairs(spark):
     for df in (XP.pdf_blocks(b.ranked), XP.manager_list(b.ranked), XP.top3_export(b.detailed), open_ones):
         read = {f.rsplit("/", 2)[1] for f in df.inputFiles()}
         assert read and not read & pairs
+
+
+@pytest.mark.parametrize("case", ["two businesses of one name", "two names of one manager", "no address"])
+def test_monthly_reports_equal_the_pairs(spark, case):
+    mapping, members, tags, _ = frames(spark, PEOPLE, (CASES | MORE)[case], ACTIVE)
+    done = [("11", "go", "2024-01-02"), ("12", "go", "2024-01-03"), ("14", "sql", "2024-01-04"), ("14", "go", "2023-12-04")]
+    courses = spark.createDataFrame(done, "initiator_community_id string, course_name string, at string")
+    courses = stored(courses.withColumn("created_at", courses["at"].cast("timestamp")), "courses")
+    pairs = stored(B.business_relationships(mapping, members, tags), "pairs")
+    for report in (MO.course_counts, MO.member_status, MO.monthly_report):
+        same(report(courses, pairs), T.per_team_report(mapping, members, tags, lambda few: report(courses, few)))  # noqa: B023
