@@ -4,6 +4,7 @@ import datetime as dt
 import re
 
 from teampulse.plans import engagement as E
+from teampulse.plans import relations as B
 
 MONDAYS = [dt.date(2024, 1, 1) + dt.timedelta(days=7 * i) for i in range(4)]
 
@@ -45,3 +46,23 @@ def test_grid_runs_no_lambda_per_week(spark):
     people, weekly = _grid_inputs(spark)
     plan = E.engagement_full(people, weekly)._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search(r"\b(filter|transform)\(", plan)
+
+
+def test_pairs_are_made_in_many_tasks(spark):
+    """A hot business and managers without a team; its pairs are not one task's."""
+    managers = [(100, f"m{i}@x", True) for i in range(20)] + [(200, "lonely@x", True), (None, "none@x", True)]
+    mapping = spark.createDataFrame(managers, "business_tag_id bigint, manager_email string, manager_in_community boolean")
+    tags = spark.createDataFrame([(1, "Manager"), (2, "Business"), (100, "Acme")], "tag_id bigint, tag_name string")
+    members = spark.createDataFrame(
+        [(i, "f", "l", "f l", f"{i}@x", "complete", [2, 100] if i else [1, 2, 100]) for i in range(30)],
+        "community_member_id bigint, first_name string, last_name string, full_name string, email string, "
+        "profile_completeness string, tag_ids array<bigint>",
+    )
+    pairs = B.business_relationships(mapping, members, tags)
+    rows = pairs.collect()
+    found = sorted((r.manager_email, r.member_community_id) for r in rows if r.relationship_type == "has_team")
+    assert found == sorted((f"m{i}@x", k) for i in range(20) for k in range(1, 30))
+    alone = sorted(r.manager_email for r in rows if r.relationship_type == "manager_only")
+    assert alone == ["lonely@x", "none@x"] and len(rows) == 20 * 29 + 2
+    tasks = pairs.where("relationship_type = 'has_team'").rdd.glom().map(len).filter(bool).count()
+    assert tasks > 4
