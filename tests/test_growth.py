@@ -5,6 +5,7 @@ import re
 
 from teampulse.plans import engagement as E
 from teampulse.plans import relations as B
+from teampulse.sources import landing
 
 MONDAYS = [dt.date(2024, 1, 1) + dt.timedelta(days=7 * i) for i in range(4)]
 
@@ -66,3 +67,14 @@ def test_pairs_are_made_in_many_tasks(spark):
     assert alone == ["lonely@x", "none@x"] and len(rows) == 20 * 29 + 2
     tasks = pairs.where("relationship_type = 'has_team'").rdd.glom().map(len).filter(bool).count()
     assert tasks > 4
+
+
+def test_landed_batches_are_not_sorted(spark, tmp_path):
+    """Both kinds are written side by side, in the order of the lines."""
+    rows = [(i, "rejected" if i % 3 else "rows") for i in range(90)]
+    batch = spark.newSession().createDataFrame(rows, "id bigint, kind string").coalesce(1)
+    landing.write_batch(batch, 7, str(tmp_path / "raw"))
+    back = spark.read.parquet(str(tmp_path / "raw"))
+    assert sorted((r.id, r.kind) for r in back.collect()) == sorted(rows)
+    assert {r.batch for r in back.collect()} == {7}
+    assert batch.sparkSession.conf.get(landing.OPEN_FILES) == "2"
