@@ -21,9 +21,9 @@ distance; the last takes all pairs that are left, as soon as these are no more t
 sets, or a round joins nothing.  No link between components is lost, and no
 round makes the pairs inside a component.
 
-Whole sets are computed again from the texts, for the sets with a possible partner
-only, which a Bloom filter of bounded size picks out in the tasks; a join then drops its
-errors.  Sets of the same size and shingles are told by a 128-bit hash; shingles are
+Whole sets are computed again from the texts, each in the round in which a pair first
+asks for it after the bitmaps, the wide ones too, have let it pass; a Bloom filter of
+bounded size picks them out in the tasks, and a join then drops its errors.  Sets of the same size and shingles are told by a 128-bit hash; shingles are
 64-bit hashes.
 
 Defined cases: NULL and empty texts and texts without words have an empty set, link
@@ -35,6 +35,7 @@ smallest id; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -220,7 +221,23 @@ def _near(pairs: DataFrame, sets: DataFrame, value: str, near: Callable[[bytes |
     return stored(map_batches(both, make, "a long, b long, near boolean").where("near").select("a", "b"), "near")
 
 
-def verified(pairs: DataFrame, members: DataFrame, whole: DataFrame, least: int = LEAST) -> DataFrame:
+def whole_sets_on_demand(docs: DataFrame, members: DataFrame, text: str = "text", shingle: int = SHINGLE) -> Callable[[DataFrame], DataFrame | None]:
+    """A function from pairs ``a, b`` to a table with the whole sets of their ends; no set is computed twice."""
+    held: list[DataFrame] = []
+
+    def run(pairs: DataFrame) -> DataFrame | None:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        for table in held:
+            ends = ends.join(table.select("id"), "id", "left_anti")
+        wanted = stored(members.select("id", "key").join(ends, "id", "left_semi"), "wanted")
+        if not wanted.isEmpty():
+            held.append(whole_sets(docs, wanted, text, shingle))
+        return reduce(DataFrame.unionByName, held) if held else None
+
+    return run
+
+
+def verified(pairs: DataFrame, members: DataFrame, whole: Callable[[DataFrame], DataFrame | None], least: int = LEAST) -> DataFrame:
     """The pairs ``a, b`` of sets that link, stored: by the wide bitmaps of large sets first, then by the sets."""
 
     def possible(x: bytes | None, y: bytes | None, sizes: int) -> bool:
@@ -231,7 +248,8 @@ def verified(pairs: DataFrame, members: DataFrame, whole: DataFrame, least: int
         return 100 * both >= least * (sizes - both)
 
     left = _near(pairs, members, "wide", possible)
-    return _near(left, whole, "hashes", linked)
+    found = whole(left)
+    return left if found is None else _near(left, found, "hashes", linked)  # without a set there is no pair
 
 
 def _distance(x: str, y: str) -> str:
@@ -283,7 +301,7 @@ def links(docs: DataFrame, classes: DataFrame, text: str = "text", shingle: int
     active = stored(lists.select("gid").union(others.select("gid")).distinct(), "partners")
     firsts = groups.join(active, "gid", "left_semi").select(F.col("gid").alias("id"), "key", "gid", "size", "bits", "wide")
     members = stored(firsts.unionByName(others), "members")
-    whole = whole_sets(docs, members.select("id", "key"), text, shingle)
+    whole = whole_sets_on_demand(docs, members, text, shingle)
 
     # each group's members against its first, and each list's groups against the one that meets most others
     own = members.where("id <> gid").alias("x").join(members.where("id = gid").alias("y"), F.expr(f"x.gid = y.gid AND {_may_link(least)}"))
@@ -317,9 +335,10 @@ def links(docs: DataFrame, classes: DataFrame, text: str = "text", shingle: int
 def _open_pairs(rooted: DataFrame, lists: DataFrame, least: int) -> DataFrame:
     """x, y, root_x, root_y, far: pairs of sets of different components that may link; repeated if listed so."""
     spans = rooted.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    now = lists.join(spans, "gid")
+    # the bitmaps, most of a row, come back for the lists that still hold two components
+    now = lists.select("token", "gid", "size", "reach").join(spans, "gid")
     live = now.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("token")
-    now = now.join(live, "token", "left_semi")
+    now = now.join(live, "token", "left_semi").join(rooted.where("id = gid").select("gid", "bits"), "gid")
     apart = "NOT (x.low = y.low AND x.high = y.high AND x.low = x.high)"
     met = now.alias("x").join(now.alias("y"), F.expr(f"x.token = y.token AND x.gid < y.gid AND {apart} AND {_may_link(least, 'x.reach + y.reach')}"))
     met = met.select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h"))

@@ -108,3 +108,42 @@ def test_same_sets_whatever_the_pieces(monkeypatch):
     cut = jaccard.pieces
     monkeypatch.setattr(jaccard, "pieces", lambda data, may: cut(data, may, 7))
     assert [s.tolist() for s in jaccard.shingle_sets(texts)] == whole
+
+
+def test_whole_sets_are_made_for_pairs_that_pass_the_bitmaps_only(spark, monkeypatch):
+    rnd = random.Random(3)
+    book = [f"w{rnd.randrange(4000)}" for _ in range(1300)]
+
+    def changed(n):
+        out = list(book)
+        for i in rnd.sample(range(len(out)), n):
+            out[i] = f"n{rnd.randrange(10**6)}"
+        return " ".join(out)
+
+    # far apart, but large enough to fill a narrow bitmap; two of them have a near copy
+    texts = [changed(60) for _ in range(12)]
+    texts += [texts[0] + " tail", texts[1] + " tail"]
+    rows = [(i, t, "k", 1, "p") for i, t in enumerate(texts)]
+    asked, make = [], jaccard.whole_sets
+
+    def counted(docs, wanted, *more):
+        asked.extend(r["id"] for r in wanted.select("id").collect())
+        return make(docs, wanted, *more)
+
+    monkeypatch.setattr(jaccard, "whole_sets", counted)
+    found = jaccard.similar(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, found.collect()), key=repr) == plain(rows)
+    assert len(asked) == len(set(asked)) == 4
+
+
+def test_whole_sets_are_made_once(spark, monkeypatch):
+    rows = [(i, f"a b c d{i}") for i in range(4)]
+    members = spark.createDataFrame([(i, bytearray(jaccard.set_key(jaccard.shingle_sets([t.encode()])[0]))) for i, t in rows], "id long, key binary")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = jaccard.whole_sets_on_demand(docs, members)
+    assert whole(spark.createDataFrame([], "a long, b long")) is None
+    assert {r["id"] for r in whole(spark.createDataFrame([(0, 1)], "a long, b long")).collect()} == {0, 1}
+    made = []
+    monkeypatch.setattr(jaccard, "whole_sets", lambda docs, wanted, *more: made.append({r["id"] for r in wanted.collect()}) or wanted.selectExpr("id", "0L AS size", "key AS hashes"))
+    assert {r["id"] for r in whole(spark.createDataFrame([(1, 2), (0, 1)], "a long, b long")).collect()} == {0, 1, 2}
+    assert made == [{2}]
